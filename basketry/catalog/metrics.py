@@ -10,7 +10,7 @@ from basketry.catalog.registry import query, register
 from basketry.plans.dashboards import DASHBOARDS, build_gold, dashboard, gold_builders
 from basketry.plans.metrics import METRICS, avg_delivery_time, metric
 from basketry.plans.rfm import rfm_segments, segment_sizes
-from basketry.plans.roles import star_retail
+from basketry.plans.roles import StarRetail
 from basketry.plans.sales import fanout_report, sales_table
 from basketry.session import new_folder
 from basketry.sources.lake import Lake, preview, register_views, stacked_counts
@@ -119,7 +119,7 @@ RFM_SQL = rfm_sql(UNIQUE) + " SELECT * FROM segments"
 def _metric_runner(name: str, fanout: bool = False):
     # Result tables with few rows come sorted as shown; the per-product and
     # per-customer ones are stored tables and stay unsorted.
-    return lambda spark, sf: metric(name, star_retail(spark, sf), fanout=fanout, ordered=METRICS[name].small)
+    return lambda spark, sf: metric(name, StarRetail(spark, sf), fanout=fanout, ordered=METRICS[name].small)
 
 
 for _name, _sql in SALES_SQL.items():
@@ -131,23 +131,23 @@ for _name, _sql in OTHER_SQL.items():
 
 @query("avg_delivery_time", DELIVERY_TIME_SQL)
 def _avg_delivery_time(spark, sf):
-    return avg_delivery_time(star_retail(spark, sf)).orderBy("avg_days_to_process", "courier")
+    return avg_delivery_time(StarRetail(spark, sf)).orderBy("avg_days_to_process", "courier")
 
 
 @query("rfm_scores", RFM_SQL)
 def _rfm_scores(spark, sf):
-    return rfm_segments(star_retail(spark, sf), SNAPSHOT)
+    return rfm_segments(StarRetail(spark, sf), SNAPSHOT)
 
 
 @query("rfm_scores_by_cuts", RFM_SQL)
 def _rfm_scores_by_cuts(spark, sf):
     """The path large customer tables take, at any size."""
-    return rfm_segments(star_retail(spark, sf), SNAPSHOT, window_rows=-1)
+    return rfm_segments(StarRetail(spark, sf), SNAPSHOT, window_rows=-1)
 
 
 @query("rfm_scores_fanout", rfm_sql(FANOUT) + " SELECT * FROM segments")
 def _rfm_scores_fanout(spark, sf):
-    return rfm_segments(star_retail(spark, sf), SNAPSHOT, fanout=True)
+    return rfm_segments(StarRetail(spark, sf), SNAPSHOT, fanout=True)
 
 
 # ----- dashboards ---------------------------------------------------------------------
@@ -204,7 +204,7 @@ for _name in DASHBOARDS:
     _table, _pick = _DASH_SQL[_name]
     register(
         _name,
-        lambda spark, sf, n=_name: dashboard(spark, n, star_retail(spark, sf), snapshot=SNAPSHOT),
+        lambda spark, sf, n=_name: dashboard(spark, n, StarRetail(spark, sf), snapshot=SNAPSHOT),
         f"WITH t AS ({table_sql(_table)}) {_pick}",
     )
 
@@ -222,13 +222,13 @@ GOLD_COUNTS_SQL = " UNION ALL ".join(
 def _gold_row_counts(spark, sf):
     """Write all 28 tables, then count what was written."""
     lake = Lake(spark, root=new_folder(spark, "gold"))
-    return lake.counts(build_gold(lake, star_retail(spark, sf), SNAPSHOT))
+    return lake.counts(build_gold(lake, StarRetail(spark, sf), SNAPSHOT))
 
 
 @query("gold_views", GOLD_COUNTS_SQL.replace("'gold_", "'view_"))
 def _gold_views(spark, sf):
     """Register all 28 views and count through them by name."""
-    builders = gold_builders(star_retail(spark, sf), SNAPSHOT)
+    builders = gold_builders(StarRetail(spark, sf), SNAPSHOT)
     views = register_views({name: build() for name, build in builders.items()}, "view_")
     return stacked_counts({view: spark.table(view) for view in views})
 
@@ -238,7 +238,7 @@ def _gold_views(spark, sf):
 
 def star_sales(spark, sf, *, unique: bool = True):
     """Inputs of the wide table: orders, customers, products, payments, shipping."""
-    retail = star_retail(spark, sf)
+    retail = StarRetail(spark, sf)
     orders = retail.lines.attach(["customer_id", "event_time"]).df.drop("line_count", "priced")
     orders = orders.withColumn("amount", F.col("amount_cents") / 100).drop("amount_cents")
     payments = retail.payments.df.select("payment_id", "order_id", "payment_method", "payment_status")
@@ -271,7 +271,7 @@ def _sales_fact(spark, sf):
 FROM sales ORDER BY order_id, product_id, quantity, amount LIMIT 10""")
 def _preview(spark, sf):
     """Ten rows of the wide table; only the columns shown are joined."""
-    wide = star_retail(spark, sf).lines.attach(["customer_id", "name", "product_name"]).df
+    wide = StarRetail(spark, sf).lines.attach(["customer_id", "name", "product_name"]).df
     shown = wide.select(
         "order_id", "product_id", "customer_id", "quantity", (F.col("amount_cents") / 100).alias("amount"), "name", "product_name"
     )
@@ -295,4 +295,4 @@ def _sales_fanout_report(spark, sf):
 # Segment sizes straight from the scores, without a view.
 @query("rfm_segment_sizes", rfm_sql(UNIQUE) + " SELECT segment, COUNT(*) AS customers FROM segments GROUP BY 1")
 def _rfm_segment_sizes(spark, sf):
-    return segment_sizes(rfm_segments(star_retail(spark, sf), SNAPSHOT)).orderBy(F.desc("customers"))
+    return segment_sizes(rfm_segments(StarRetail(spark, sf), SNAPSHOT)).orderBy(F.desc("customers"))

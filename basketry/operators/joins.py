@@ -1,17 +1,16 @@
 """Left joins that survive a key holding a large share of all rows.
 
 Spark broadcasts a side it estimates below its own threshold; nothing here
-forces a broadcast. Beyond the threshold a plain shuffle join would send every
-row of a hot key to one task, so hot keys are found first and spread:
-
-* ``hot_keys``: keys above a row count, at most ``HOT_KEY_LIMIT`` of them, so
-  broadcasting that list is safe by construction. The counting pass reads one
-  column and combines before it shuffles.
-* rows of a hot key get a salt in 0 .. SALTS-1 and the matching lookup rows are
+forces a large broadcast. Beyond the threshold a plain shuffle join would send
+every row of a hot key to one task, so hot keys are looked for first:
+
+* ``hot_keys`` counts one column, combining before it shuffles, and returns at
+  most ``HOT_KEY_LIMIT`` keys. A key outside the list holds less than
+  1/HOT_KEY_LIMIT of the rows, so the limit bounds what the driver sees and
+  what is broadcast without touching the result.
+* without hot keys the join is a plain one. Otherwise rows of a hot key get a
+  salt, one for each ``HOT_KEY_ROWS`` rows of the key, and its lookup rows are
   repeated once per salt. All other keys keep salt 0 and are not repeated.
-
-A key outside the list holds less than 1/HOT_KEY_LIMIT of the rows, so the
-limit bounds the broadcast without changing the result.
 """
 
 from __future__ import annotations
@@ -20,24 +19,26 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from basketry.session import fits_broadcast
 
 HOT_KEY_ROWS = 1_000_000
-HOT_KEY_LIMIT = 1024
-SALTS = 64
+HOT_KEY_LIMIT = 100_000
+MAX_SALTS = 100_000
+NULL_SALTS = 1024
 
-_SALT = "__salt"
-_HOT = "__hot"
+_SALT, _SALTS = "__salt", "__salts"
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_KEY_ROWS) -> DataFrame:
-    counted = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
-    return (
-        counted.where(F.col("rows") >= min_rows)
-        .orderBy(F.desc("rows"), key).limit(HOT_KEY_LIMIT)
-        .select(key, F.lit(True).alias(_HOT))
-    )
+def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_KEY_ROWS) -> list[tuple]:
+    """(key, rows) of the keys with at least ``min_rows`` rows, largest first.
+
+    The null key is listed too. Runs one job.
+    """
+    counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") >= min_rows)
+    top = counted.orderBy(F.desc("rows"), key).limit(HOT_KEY_LIMIT)
+    return [(r[0], r[1]) for r in top.collect()]
 
 
 def left_lookup(
@@ -45,32 +46,41 @@ def left_lookup(
     lookup: DataFrame,
     key: str,
     *,
-    salted: bool | None = None,
+    keys_from: DataFrame | None = None,
+    spread: bool | None = None,
     hot_rows: int = HOT_KEY_ROWS,
-    salts: int = SALTS,
 ) -> DataFrame:
-    """``fact`` with the columns of ``lookup`` for its ``key`` (left join)."""
-    if salted is None:
-        salted = not fits_broadcast(lookup)
-    if not salted:
+    """``fact`` with the columns of ``lookup`` for its ``key`` (left join).
+
+    ``keys_from`` is a cheaper table with the same key column to look for hot
+    keys in, say the fact before other lookups. ``spread`` overrides the size
+    check.
+    """
+    if spread is None:
+        spread = not fits_broadcast(lookup)
+    hot = []
+    if spread:
+        counted = keys_from if keys_from is not None and key in keys_from.columns else fact
+        hot = hot_keys(counted, key, hot_rows)
+    if not hot:
         return fact.join(lookup, key, "left")
 
-    hot = F.broadcast(hot_keys(fact, key, hot_rows))
-    # The partition id spreads copies of one row; both inputs are the same
+    kind = T.StructType([T.StructField(key, fact.schema[key].dataType), T.StructField(_SALTS, T.IntegerType())])
+    rows = [(k, min(MAX_SALTS, -(-n // hot_rows))) for k, n in hot if k is not None]
+    salts = F.broadcast(fact.sparkSession.createDataFrame(rows, kind))
+    # The partition id spreads copies of one row. Both inputs are the same
     # when a lost task runs again.
-    spread = F.pmod(F.xxhash64(*fact.columns) + F.spark_partition_id(), F.lit(salts)).cast("int")
-    # Rows without a key match nothing, so they are spread as well.
-    split = F.col(_HOT).isNotNull() | F.col(key).isNull()
+    spot = F.xxhash64(*fact.columns) + F.spark_partition_id()
+    salt = F.when(F.col(_SALTS).isNotNull(), F.pmod(spot, F.col(_SALTS)))
+    if any(k is None for k, _ in hot):  # rows without a key match nothing
+        salt = salt.when(F.col(key).isNull(), F.pmod(spot, F.lit(NULL_SALTS)))
     salted_fact = (
-        fact.join(hot, key, "left")
-        .withColumn(_SALT, F.when(split, spread).otherwise(F.lit(0)))
-        .drop(_HOT)
+        fact.join(salts, key, "left").withColumn(_SALT, salt.otherwise(F.lit(0)).cast("int")).drop(_SALTS)
     )
-    every_salt = F.array(*[F.lit(i) for i in range(salts)])
     salted_lookup = (
-        lookup.join(hot, key, "left")
-        .withColumn(_SALT, F.explode(F.when(F.col(_HOT), every_salt).otherwise(F.array(F.lit(0)))))
-        .drop(_HOT)
+        lookup.join(salts, key, "left")
+        .withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_SALTS), F.lit(1)) - 1)))
+        .drop(_SALTS)
     )
     return salted_fact.join(salted_lookup, [key, _SALT], "left").drop(_SALT)
 

@@ -114,9 +114,10 @@ def _measure_parts(fact: Fact, keys: list[str], parts: set[str]) -> DataFrame:
     if len(links) == 1 and unique:
         link = links[0]
         first = sorted({link, *inside})
+        unique_on = link if first == [link] else None
         if link in keys:  # the attributes hang on a key of the metric itself
             grouped = _group(fact, first, parts)
-            return Fact(grouped, fact.lookups).attach(outside).df
+            return Fact(grouped, fact.lookups).attach(outside, unique_on).df
         additive = {p for p in parts if p not in ("orders", "products") or (p == "orders" and fact.order_unique)}
         if link == "product_id" and "products" in parts and first == [link]:
             additive.add("products")
@@ -125,7 +126,7 @@ def _measure_parts(fact: Fact, keys: list[str], parts: set[str]) -> DataFrame:
             base = _group(fact, first, additive - {"products"})
             if "products" in additive:
                 base = base.withColumn("__products", F.when(F.col(link).isNotNull(), 1).otherwise(0))
-            early = _regroup(Fact(base, fact.lookups).attach(outside).df, keys, additive)
+            early = _regroup(Fact(base, fact.lookups).attach(outside, unique_on).df, keys, additive)
         rest = parts - additive
         if not rest:
             return early
@@ -262,7 +263,7 @@ def avg_delivery_time(retail: Retail) -> DataFrame:
         F.sum("shipments").alias("__shipments"),
     )
     if link != "courier":
-        parts = _regroup(Fact(parts, shipping.lookups).attach(["courier"]).df, ["courier"], {"days", "shipments"})
+        parts = _regroup(Fact(parts, shipping.lookups).attach(["courier"], link).df, ["courier"], {"days", "shipments"})
     return parts.select(
         "courier",
         rounded_ratio(F.col("__days"), F.col("__shipments"), 1).alias("avg_days_to_process"),

@@ -15,12 +15,15 @@ Measure columns of sales facts: ``amount_cents``, ``quantity``, ``line_count``
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-from dataclasses import dataclass, field, replace
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass, replace
+from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.functions import col
 
+from basketry.contracts import PRIMARY_KEY
 from basketry.functions.columns import cents, discounted_cents, to_event_date
 from basketry.operators.cleaning import dedupe_by_key
 from basketry.operators.joins import left_lookup
@@ -30,15 +33,19 @@ SALES_MEASURES = ("amount_cents", "quantity", "line_count", "priced")
 
 @dataclass(frozen=True)
 class Lookup:
-    """Attributes of a key. ``unique``: one row per key."""
+    """Attributes of a key; the table is built when one is asked for.
+
+    ``unique``: one row per key.
+    """
 
-    table: DataFrame
     key: str
+    columns: tuple[str, ...]
+    load: Callable[[], DataFrame]
     unique: bool = True
 
     @property
-    def columns(self) -> list[str]:
-        return [c for c in self.table.columns if c != self.key]
+    def table(self) -> DataFrame:
+        return self.load()
 
 
 @dataclass(frozen=True)
@@ -66,8 +73,11 @@ class Fact:
             return None
         return self.via(lookup.key) or lookup.key
 
-    def attach(self, needed: Iterable[str]) -> "Fact":
-        """Join the lookups that supply ``needed`` columns, nothing else."""
+    def attach(self, needed: Iterable[str], unique_on: str | None = None) -> "Fact":
+        """Join the lookups that supply ``needed`` columns, nothing else.
+
+        ``unique_on`` names a key the fact holds one row of, which cannot be hot.
+        """
         wanted, missing = set(), {c for c in needed if c not in self.df.columns}
         while missing:
             wanted |= missing
@@ -76,20 +86,22 @@ class Fact:
         for lookup in self.lookups:
             columns = [c for c in lookup.columns if c in wanted and c not in df.columns]
             if columns:
-                df = left_lookup(df, lookup.table.select(lookup.key, *columns), lookup.key)
+                table = lookup.table.select(lookup.key, *columns)
+                spread = False if lookup.key == unique_on else None
+                df = left_lookup(df, table, lookup.key, keys_from=self.df, spread=spread)
         return replace(self, df=df)
 
 
-@dataclass(frozen=True)
 class Retail:
+    """The roles; each is built when first asked for."""
+
     lines: Fact
+    totals: Fact | None = None
     payments: Fact
     shipping: Fact
     customers: DataFrame
     products: DataFrame
     order_dates: DataFrame  # order_id, order_date: one row per order
-    totals: Fact | None = None
-    extra: dict[str, DataFrame] = field(default_factory=dict)
 
     def sales(self, keys: Iterable[str]) -> Fact:
         """Coarsest sales fact that can be grouped by ``keys``."""
@@ -106,112 +118,173 @@ def _per_order(lines: DataFrame) -> DataFrame:
 # ----- star schema tables ------------------------------------------------------
 
 
+STAR_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+              " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,"
+                " l_extendedprice double, l_discount double, l_tax double, l_returnflag string,"
+                " l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A star table by its known schema, which spares a job that reads footers."""
+    return spark.read.schema(STAR_SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
+
 
+def _one() -> Column:
+    return F.lit(1).cast("bigint")
 
-def star_retail(spark: SparkSession, folder: str) -> Retail:
+
+class StarRetail(Retail):
     """Roles on the star tables; their primary keys are unique by definition."""
-    t = lambda name: read_table(spark, folder, name)
-    nations = (
-        t("nation").join(t("region"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
-        .select(F.col("n_nationkey").alias("nation_id"), F.col("n_name").alias("city"), F.col("r_name").alias("state"))
-    )
-    customers = (
-        t("customer").select(
-            F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("name"),
-            F.col("c_mktsegment").alias("gender"), F.col("c_nationkey").alias("nation_id"),
+
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self._spark, self._folder = spark, folder
+
+    def _read(self, name: str, *columns: Column) -> DataFrame:
+        return read_table(self._spark, self._folder, name).select(*columns)
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        nations = self._read("nation", col("n_nationkey").alias("nation_id"), col("n_name").alias("city"), col("n_regionkey"))
+        regions = self._read("region", col("r_regionkey").alias("n_regionkey"), col("r_name").alias("state"))
+        people = self._read(
+            "customer", col("c_custkey").alias("customer_id"), col("c_name").alias("name"),
+            col("c_mktsegment").alias("gender"), col("c_nationkey").alias("nation_id"),
+        )
+        return (
+            people.join(nations.join(regions, "n_regionkey", "left"), "nation_id", "left")
+            .select("customer_id", "name", "gender", col("city").alias("customer_city"), "city", "state")
+        )
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return self._read(
+            "part", col("p_partkey").alias("product_id"), col("p_name").alias("product_name"),
+            col("p_type").alias("category"), col("p_brand").alias("brand"), col("p_retailprice").alias("price"),
         )
-        .join(nations, "nation_id", "left").drop("nation_id")
-        .withColumn("customer_city", F.col("city"))
-    )
-    products = t("part").select(
-        F.col("p_partkey").alias("product_id"), F.col("p_name").alias("product_name"),
-        F.col("p_type").alias("category"), F.col("p_brand").alias("brand"),
-        F.col("p_retailprice").alias("price"),
-    )
-    headers = t("orders").select(
-        F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
-        F.col("o_orderdate").cast("timestamp").alias("event_time"),
-        F.col("o_orderdate").cast("date").alias("event_date"),
-        F.col("o_orderstatus").alias("order_status"),
-    )
-    lines = t("lineitem").select(
-        F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"),
-        F.col("l_quantity").cast("bigint").alias("quantity"),
-        F.col("l_discount").alias("discount"),
-        discounted_cents(F.col("l_extendedprice"), F.rint(F.col("l_discount") * 100).cast("int")).alias("amount_cents"),
-        F.lit(1).cast("bigint").alias("line_count"),
-        F.lit(1).cast("bigint").alias("priced"),
-    )
-    to_customers, to_products = Lookup(customers, "customer_id"), Lookup(products, "product_id")
-    totals = _per_order(lines).join(headers, "order_id", "left")  # one row per order on both sides
-    couriers = t("supplier").select(F.col("s_suppkey").alias("courier_id"), F.col("s_name").alias("courier"))
-    shipping = t("lineitem").select(
-        F.col("l_orderkey").alias("order_id"), F.col("l_suppkey").alias("courier_id"),
-        F.when(F.col("l_returnflag") == "A", "Delivered").when(F.col("l_returnflag") == "N", "Pending")
-        .when(F.col("l_returnflag") == "R", "Failed").alias("delivery_status"),
-        F.col("l_shipdate").cast("date").alias("message_date"),
-    )
-    payments = t("orders").select(
-        F.col("o_orderkey").alias("payment_id"), F.col("o_orderkey").alias("order_id"),
-        F.col("o_orderpriority").alias("payment_method"),
-        F.when(F.col("o_orderstatus") == "F", "Failed").when(F.col("o_orderstatus") == "O", "Success")
-        .otherwise("Pending").alias("payment_status"),
-        cents(F.col("o_totalprice")).alias("amount_cents"),
-        F.lit(1).cast("bigint").alias("line_count"),
-        F.lit(1).cast("bigint").alias("priced"),
-    )
-    return Retail(
-        lines=Fact(lines, (Lookup(headers, "order_id"), to_customers, to_products)),
-        totals=Fact(totals, (to_customers,), order_unique=True),
-        payments=Fact(payments),
-        shipping=Fact(shipping, (Lookup(couriers, "courier_id"),)),
-        customers=customers,
-        products=products,
-        order_dates=headers.select("order_id", F.col("event_date").alias("order_date")),
-    )
+
+    @cached_property
+    def headers(self) -> DataFrame:
+        return self._read(
+            "orders", col("o_orderkey").alias("order_id"), col("o_custkey").alias("customer_id"),
+            col("o_orderdate").cast("timestamp").alias("event_time"), col("o_orderdate").cast("date").alias("event_date"),
+            col("o_orderstatus").alias("order_status"),
+        )
+
+    @cached_property
+    def order_dates(self) -> DataFrame:
+        return self._read("orders", col("o_orderkey").alias("order_id"), col("o_orderdate").cast("date").alias("order_date"))
+
+    @cached_property
+    def _lines(self) -> DataFrame:
+        discount = F.rint(col("l_discount") * 100).cast("int")
+        return self._read(
+            "lineitem", col("l_orderkey").alias("order_id"), col("l_partkey").alias("product_id"),
+            col("l_quantity").cast("bigint").alias("quantity"), col("l_discount").alias("discount"),
+            discounted_cents(col("l_extendedprice"), discount).alias("amount_cents"),
+            _one().alias("line_count"), _one().alias("priced"),
+        )
+
+    @cached_property
+    def _to_customers(self) -> Lookup:
+        columns = ("name", "gender", "customer_city", "city", "state")
+        return Lookup("customer_id", columns, lambda: self.customers)
+
+    @cached_property
+    def lines(self) -> Fact:
+        to_headers = Lookup("order_id", ("customer_id", "event_time", "event_date", "order_status"), lambda: self.headers)
+        to_products = Lookup("product_id", ("product_name", "category", "brand", "price"), lambda: self.products)
+        return Fact(self._lines, (to_headers, self._to_customers, to_products))
+
+    @cached_property
+    def totals(self) -> Fact:
+        # one row per order on both sides, so no key of this join is hot
+        df = _per_order(self._lines).join(self.headers, "order_id", "left")
+        return Fact(df, (self._to_customers,), order_unique=True)
+
+    @cached_property
+    def payments(self) -> Fact:
+        status = F.when(col("o_orderstatus") == "F", "Failed").when(col("o_orderstatus") == "O", "Success").otherwise("Pending")
+        return Fact(self._read(
+            "orders", col("o_orderkey").alias("payment_id"), col("o_orderkey").alias("order_id"),
+            col("o_orderpriority").alias("payment_method"), status.alias("payment_status"),
+            cents(col("o_totalprice")).alias("amount_cents"), _one().alias("line_count"), _one().alias("priced"),
+        ))
+
+    @cached_property
+    def shipping(self) -> Fact:
+        flag = col("l_returnflag")
+        status = F.when(flag == "A", "Delivered").when(flag == "N", "Pending").when(flag == "R", "Failed")
+        couriers = lambda: self._read("supplier", col("s_suppkey").alias("courier_id"), col("s_name").alias("courier"))
+        return Fact(self._read(
+            "lineitem", col("l_orderkey").alias("order_id"), col("l_suppkey").alias("courier_id"),
+            status.alias("delivery_status"), col("l_shipdate").cast("date").alias("message_date"),
+        ), (Lookup("courier_id", ("courier",), couriers),))
 
 
 # ----- decoded entity tables ---------------------------------------------------
 
 
-def entity_retail(tables: dict[str, DataFrame], *, unique: bool = True) -> Retail:
+class EntityRetail(Retail):
     """Roles on decoded entity tables (see ``contracts``).
 
     ``unique`` keeps the latest row per primary key of every table. Without it
     re-delivered rows count again, as plain joins over raw tables would.
     """
-    from basketry.contracts import PRIMARY_KEY
-
-    def table(name: str) -> DataFrame:
-        df = tables[name]
-        key = PRIMARY_KEY[name]
-        return dedupe_by_key(df, [key], ["kafka_timestamp"]) if unique and key in df.columns else df
-
-    orders, payments, shipping = table("orders"), table("payments"), table("shipping")
-    customers = table("customers").withColumnRenamed("city", "customer_city")
-    customers = customers.select([c for c in ("customer_id", "name", "age", "gender", "customer_city") if c in customers.columns])
-    products = table("products").select("product_id", "product_name", "category", "brand")
-
-    def measured(df: DataFrame) -> DataFrame:
-        return df.withColumns({
-            "amount_cents": cents(F.col("amount").cast("double")),
-            "line_count": F.lit(1).cast("bigint"),
-            "priced": F.when(F.col("amount").isNotNull(), 1).otherwise(0).cast("bigint"),
+
+    def __init__(self, tables: dict[str, DataFrame], *, unique: bool = True) -> None:
+        self._tables, self._unique = tables, unique
+
+    def table(self, name: str) -> DataFrame:
+        df, key = self._tables[name], PRIMARY_KEY[name]
+        return dedupe_by_key(df, [key], ["kafka_timestamp"]) if self._unique and key in df.columns else df
+
+    @staticmethod
+    def _measured(df: DataFrame) -> DataFrame:
+        amount = cents(col("amount").cast("double"))
+        priced = F.when(col("amount").isNotNull(), 1).otherwise(0).cast("bigint")
+        return df.withColumns({"amount_cents": amount, "line_count": _one(), "priced": priced})
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        df = self.table("customers").withColumnRenamed("city", "customer_city")
+        wanted = ("customer_id", "name", "age", "gender", "customer_city")
+        return df.select([c for c in wanted if c in df.columns])
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return self.table("products").select("product_id", "product_name", "category", "brand")
+
+    @cached_property
+    def lines(self) -> Fact:
+        orders = self.table("orders")
+        df = self._measured(orders).withColumns({
+            "event_date": to_event_date(orders), "quantity": col("quantity").cast("bigint"),
         })
+        about = tuple(c for c in ("name", "age", "gender", "city") if c in self._tables["customers"].columns)
+        about = tuple("customer_city" if c == "city" else c for c in about)
+        lookups = (
+            Lookup("customer_id", about, lambda: self.customers, self._unique),
+            Lookup("product_id", ("product_name", "category", "brand"), lambda: self.products, self._unique),
+        )
+        return Fact(df, lookups, order_unique=self._unique)
+
+    @cached_property
+    def order_dates(self) -> DataFrame:
+        return self.lines.df.groupBy("order_id").agg(F.min("event_date").alias("order_date"))
+
+    @cached_property
+    def payments(self) -> Fact:
+        return Fact(self._measured(self.table("payments")))
 
-    lines = measured(orders).withColumns({
-        "event_date": to_event_date(orders), "quantity": F.col("quantity").cast("bigint"),
-    })
-    dates = lines.groupBy("order_id").agg(F.min("event_date").alias("order_date"))
-    if "kafka_timestamp" in shipping.columns:
-        shipping = shipping.withColumn("message_date", F.col("kafka_timestamp").cast("date"))
-    return Retail(
-        lines=Fact(lines, (Lookup(customers, "customer_id", unique), Lookup(products, "product_id", unique)), order_unique=unique),
-        payments=Fact(measured(payments)),
-        shipping=Fact(shipping),
-        customers=customers,
-        products=products,
-        order_dates=dates,
-    )
+    @cached_property
+    def shipping(self) -> Fact:
+        return Fact(self.table("shipping").withColumn("message_date", col("kafka_timestamp").cast("date")))

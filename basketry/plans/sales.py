@@ -29,9 +29,9 @@ def sales_table(
     who = [c for c in CUSTOMER_COLUMNS if c in customers.columns]
     what = [c for c in PRODUCT_COLUMNS if c in products.columns]
     sales = left_lookup(orders, customers.select("customer_id", *who), "customer_id")
-    sales = left_lookup(sales, products.select("product_id", *what), "product_id")
-    sales = add_new_columns(sales, payments, "order_id")
-    return add_new_columns(sales, shipping, "order_id")
+    sales = left_lookup(sales, products.select("product_id", *what), "product_id", keys_from=orders)
+    sales = add_new_columns(sales, payments, "order_id", keys_from=orders)
+    return add_new_columns(sales, shipping, "order_id", keys_from=orders)
 
 
 def fanout_report(
@@ -44,12 +44,13 @@ def fanout_report(
     key) in join order.
     """
     keys = sorted({key for _, _, key in sides})
-    packed = orders.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+    base = orders.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+    packed = base
     totals = [F.sum("rows").alias("rows_0")]
     product = F.col("rows")
     for step, (_, table, key) in enumerate(sides, start=1):
         counted = table.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias(f"__m{step}"))
-        packed = left_lookup(packed, counted, key)
+        packed = left_lookup(packed, counted, key, keys_from=base)
         product = product * F.coalesce(F.col(f"__m{step}"), F.lit(1))
         totals.append(F.sum(product).alias(f"rows_{step}"))
     names = ["orders", *[name for name, _, _ in sides]]

@@ -56,11 +56,15 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Optimizer's size estimate of ``df``; None when the session hides it."""
+def input_bytes(df: DataFrame) -> int | None:
+    """Size of the tables ``df`` reads; None when the session hides it.
+
+    An upper bound for a lookup, which holds at most one row per key. The
+    optimizer's own figure for a plan with joins multiplies its inputs.
+    """
     try:
-        plan = df._jdf.queryExecution().optimizedPlan()
-        return int(plan.stats().sizeInBytes().toString())
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
     except Exception:  # a remote session has no JVM handle
         return None
 
@@ -77,6 +81,6 @@ def broadcast_limit(spark: SparkSession) -> int:
 
 
 def fits_broadcast(df: DataFrame) -> bool:
-    """True when Spark itself will broadcast ``df``; unknown size counts as large."""
-    size = estimated_bytes(df)
+    """True when ``df`` is below Spark's own broadcast threshold; unknown counts as large."""
+    size = input_bytes(df)
     return size is not None and size <= broadcast_limit(df.sparkSession)
