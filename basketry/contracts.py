@@ -110,6 +110,48 @@ CITY_STATE = {
 }
 DEFAULT_STATE = "Delhi"
 
+# (product name, category, brand, lowest price, highest price)
+PRODUCT_CATALOG = (
+    ("iPhone 15", "Electronics", "Apple", 75000, 85000),
+    ("iPhone 15 Pro", "Electronics", "Apple", 110000, 135000),
+    ("Galaxy S25", "Electronics", "Samsung", 70000, 90000),
+    ("Galaxy A55", "Electronics", "Samsung", 28000, 35000),
+    ("MacBook Air", "Electronics", "Apple", 99000, 120000),
+    ("MacBook Pro", "Electronics", "Apple", 150000, 220000),
+    ("HP Pavilion", "Electronics", "HP", 55000, 75000),
+    ("HP Laptop 15", "Electronics", "HP", 45000, 60000),
+    ("Dell XPS 13", "Electronics", "Dell", 90000, 130000),
+    ("boAt Earbuds", "Electronics", "boAt", 1200, 3500),
+    ("Sony Headphones", "Electronics", "Sony", 5000, 25000),
+    ("Nike Air Shoes", "Fashion", "Nike", 3500, 8000),
+    ("Nike Running Shoes", "Fashion", "Nike", 2500, 6000),
+    ("Adidas T-Shirt", "Fashion", "Adidas", 999, 2500),
+    ("Adidas Track Pants", "Fashion", "Adidas", 1500, 3200),
+    ("Levi's Jeans", "Fashion", "Levi's", 1800, 4200),
+    ("Levi's Jacket", "Fashion", "Levi's", 3000, 6500),
+    ("Puma Sneakers", "Fashion", "Puma", 2200, 5500),
+    ("Office Chair", "Furniture", "IKEA", 6000, 12000),
+    ("Study Table", "Furniture", "IKEA", 8000, 15000),
+    ("Sofa Set 3-Seater", "Furniture", "Urban Ladder", 25000, 55000),
+    ("Bookshelf", "Furniture", "IKEA", 4000, 9000),
+    ("Coffee Maker", "Home Appliances", "Philips", 2500, 5000),
+    ("Air Fryer", "Home Appliances", "Philips", 4000, 9000),
+    ("Microwave Oven", "Home Appliances", "LG", 8000, 16000),
+    ("Refrigerator 250L", "Home Appliances", "Samsung", 22000, 38000),
+    ("Washing Machine", "Home Appliances", "LG", 20000, 42000),
+    ("Face Wash Combo", "Beauty", "Nivea", 300, 900),
+    ("Perfume 100ml", "Beauty", "Fogg", 500, 1500),
+    ("Hair Dryer", "Beauty", "Philips", 800, 2200),
+    ("Yoga Mat", "Sports", "Decathlon", 500, 1500),
+    ("Dumbbell Set 10kg", "Sports", "Decathlon", 1500, 3500),
+    ("Cricket Bat", "Sports", "SG", 1200, 4500),
+    ("Novel - Fiction", "Books", "Penguin", 250, 600),
+    ("Self Help Book", "Books", "HarperCollins", 300, 700),
+)
+COUNTRY = "India"
+AGES = (18, 65)
+SIGNUP_WINDOW_DAYS = 3 * 365
+
 PAYMENT_METHODS = {
     "UPI": 0.42, "Credit Card": 0.18, "Debit Card": 0.15,
     "Net Banking": 0.10, "Cash on Delivery": 0.15,

@@ -116,7 +116,7 @@ def chosen(share: float, salt: str, *key: Column) -> Column:
 
 def draw_below(count: int, salt: str, *key: Column) -> Column:
     """Even draw from 0 .. count-1."""
-    return F.shiftright(draw(salt, *key) * count, 28).cast("int")
+    return F.shiftright(draw(salt, *key) * F.lit(count), 28)
 
 
 def draw_between(low: int, high: int, salt: str, *key: Column) -> Column:
@@ -124,11 +124,18 @@ def draw_between(low: int, high: int, salt: str, *key: Column) -> Column:
     return draw_below(high - low + 1, salt, *key) + F.lit(low)
 
 
+def id_text(salt: str, *key: Column) -> Column:
+    """Id in the 8-4-4-4-12 form, the same for the same key."""
+    digest = F.md5(F.concat_ws(":", F.lit(salt), *[k.cast("string") for k in key]))
+    spans = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
+    return F.concat_ws("-", *[F.substring(digest, at, size) for at, size in spans])
+
+
 def pick(options: Iterable, salt: str, *key: Column) -> Column:
     """One of ``options``, each equally likely."""
     options = list(options)
     table = F.array(*[F.lit(o) for o in options])
-    return F.element_at(table, draw_below(len(options), salt, *key) + 1)
+    return F.element_at(table, (draw_below(len(options), salt, *key) + 1).cast("int"))
 
 
 def weighted(weights: Mapping, drawn: Column) -> Column:

@@ -1,8 +1,8 @@
 """Left joins that survive a key holding a large share of all rows.
 
-Spark broadcasts a side it estimates below its own threshold; nothing here
-forces a large broadcast. Beyond the threshold a plain shuffle join would send
-every row of a hot key to one task, so hot keys are looked for first:
+A lookup whose input tables are together below Spark's broadcast threshold is
+broadcast. Beyond it a plain shuffle join would send every row of a hot key to
+one task, so hot keys are looked for first:
 
 * ``hot_keys`` counts one column, combining before it shuffles, and returns at
   most ``HOT_KEY_LIMIT`` keys. A key outside the list holds less than
@@ -54,10 +54,12 @@ def left_lookup(
 
     ``keys_from`` is a cheaper table with the same key column to look for hot
     keys in, say the fact before other lookups. ``spread`` overrides the size
-    check.
+    check: False joins as Spark sees fit, for facts without hot keys.
     """
     if spread is None:
-        spread = not fits_broadcast(lookup)
+        if fits_broadcast(lookup):
+            return fact.join(F.broadcast(lookup), key, "left")
+        spread = True
     hot = []
     if spread:
         counted = keys_from if keys_from is not None and key in keys_from.columns else fact

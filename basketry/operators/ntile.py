@@ -142,6 +142,25 @@ def cut_points(df: DataFrame, columns: list[str], id_column: str, tiles: int) ->
     return result
 
 
+def digest_at(df: DataFrame, digest: Column, rank: int) -> str:
+    """Bound such that exactly ``rank`` rows have a hex ``digest`` up to it.
+
+    Digests must be distinct.
+    """
+    prefix = ""
+    while len(prefix) < 32:
+        band = F.substring(digest, len(prefix) + 1, HEX_DIGITS)
+        counted = df.where(digest.startswith(prefix)).groupBy(band.alias("band")).agg(F.count(F.lit(1)).alias("rows"))
+        for band_text, rows in sorted((r[0], r[1]) for r in counted.collect()):  # at most 16 ** HEX_DIGITS rows
+            if rank <= rows:
+                break
+            rank -= rows
+        prefix += band_text
+        if rank == rows:
+            return prefix + "g"  # the whole band is in, and "g" sorts after every hex digit
+    return prefix
+
+
 def tile_of(column: str, cuts: list[tuple | None], id_column: str) -> Column:
     """Tile number, 1-based, from literal cut points."""
     value, digest = _ordered(column), tie_break(id_column)

@@ -15,6 +15,7 @@ Measure columns of sales facts: ``amount_cents``, ``quantity``, ``line_count``
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, replace
 from functools import cached_property
@@ -27,6 +28,7 @@ from basketry.contracts import PRIMARY_KEY
 from basketry.functions.columns import cents, discounted_cents, to_event_date
 from basketry.operators.cleaning import dedupe_by_key
 from basketry.operators.joins import left_lookup
+from basketry.session import stage
 
 SALES_MEASURES = ("amount_cents", "quantity", "line_count", "priced")
 
@@ -110,6 +112,16 @@ class Retail:
         return self.lines
 
 
+def stored(retail: Retail) -> Retail:
+    """The same roles with the sales fact written once, for many metrics to read."""
+    kept = copy.copy(retail)
+    if kept.totals is not None:
+        kept.totals = replace(kept.totals, df=stage(kept.totals.df, "totals"))
+    else:
+        kept.lines = replace(kept.lines, df=stage(kept.lines.df, "lines"))
+    return kept
+
+
 def _per_order(lines: DataFrame) -> DataFrame:
     """Lines added up per order; copies of a hot order combine before the shuffle."""
     return lines.groupBy("order_id").agg(*[F.sum(m).alias(m) for m in SALES_MEASURES])
