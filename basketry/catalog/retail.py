@@ -13,7 +13,7 @@ from basketry.catalog import sqlkit as q
 from basketry.catalog.registry import query
 from basketry.contracts import (
     BAD_AGES, BAD_DELIVERY_STATUSES, BAD_EMAILS, BAD_ORDER_STATUSES, BAD_PAYMENT_STATUSES, BAD_PHONES, CATEGORY_SPELLINGS,
-    CITY_SPELLINGS, CITY_STATE, COUPON_VERSION_START, FAULT_SHARES, ORDER_STATUS_SPELLINGS, OUTLIER_DISCOUNTS,
+    CITY_SPELLINGS, CITY_STATE, COUPON_VERSION_START, ENTITIES, FAULT_SHARES, ORDER_STATUS_SPELLINGS, OUTLIER_DISCOUNTS,
     PAYMENT_METHOD_SPELLINGS, PRODUCT_CATALOG,
 )
 from basketry.functions.columns import chosen, draw_below, padded_id, real_null, to_event_date
@@ -534,18 +534,18 @@ def _schema_report(spark, sf):
 _DAILY = "SELECT CAST(event_time AS DATE) AS order_date, CAST(SUM(CAST(round(amount * 100) AS BIGINT)) AS DOUBLE) / 100 AS revenue, COUNT(*) AS orders FROM {t} GROUP BY 1"
 
 
-def _entities(spark, sf, unique):
+def _entities(spark, sf, unique, used=ENTITIES):
     """Messages cleaned, decoded once and stored typed: no metric parses JSON."""
     from basketry.catalog.ingest import retail_messages
 
     typed = {name: decode_entity(cleaning.clean(df), name) for name, df in retail_messages(spark, sf).items()}
-    return EntityRetail({name: stage(df, f"silver-{name}") for name, df in typed.items()}, unique=unique)
+    return EntityRetail({n: stage(df, f"silver-{n}") if n in used else df for n, df in typed.items()}, unique=unique)
 
 
 @query("entity_daily_revenue", f"{RETAIL} {_DAILY.format(t='retail')}")
 def _entity_daily_revenue(spark, sf):
     """JSON messages with re-deliveries, decoded and keyed: each order counts once."""
-    return metric("daily_revenue", _entities(spark, sf, True), ordered=True)
+    return metric("daily_revenue", _entities(spark, sf, True, ("orders",)), ordered=True)
 
 
 _COPY_PAID = q.copies("paid2", "paid", KEY, salt="copy-payments").replace("copy_no", "pc")

@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,8 +39,9 @@ def outcome(given: Column, table: Mapping[str, Mapping[str, float]], drawn: Colu
 
 def catalog_products(spark: SparkSession) -> DataFrame:
     """The fixed product list with ids, mid-range price, price range and description."""
-    rows = [(i, *entry) for i, entry in enumerate(PRODUCT_CATALOG, start=1)]
-    listed = spark.createDataFrame(rows, "seq int, product_name string, category string, brand string, low int, high int")
+    columns = dict(zip(("product_name", "category", "brand", "low", "high"), zip(*PRODUCT_CATALOG)))
+    # an Arrow table becomes a local relation of known size, so joins broadcast it
+    listed = spark.createDataFrame(pa.table({"seq": range(1, len(PRODUCT_CATALOG) + 1), **columns}))
     return listed.select(
         padded_id("PROD", F.col("seq"), 4).alias("product_id"), "product_name", "category", "brand",
         ((F.col("low") + F.col("high")) / 2).alias("price"),
@@ -109,23 +111,26 @@ def orders(
     sides = left_lookup(base, product_table.select("product_id", "low", "high"), "product_id")
     sides = left_lookup(sides, customer_table.select("customer_id", F.col("city").alias("home")), "customer_id", keys_from=base)
 
+    # a weighted choice compares its draw many times, so draws are columns first
+    drawn = {f"__{d}": draw(d, seq) for d in ("quantity", "discount", "payment-method", "order-status", "hour")}
     span = (F.col("high") - F.col("low")) * 100
     price_cents = F.col("low") * 100 + F.shiftright(draw("price", seq) * span, 28)
     stays = chosen(SAME_CITY_SHARE, "stays", seq) & F.col("home").isNotNull()
     city = F.when(stays, F.col("home")).otherwise(pick(CITIES, "order-city", seq))
     seconds = draw_between(0, 3599, "second", seq)
     day = F.date_sub(F.lit(today), draw_between(0, ORDER_WINDOW_DAYS, "day", seq).cast("int"))
-    hour = weighted(HOURS, draw("hour", seq))
+    hour = weighted(HOURS, F.col("__hour"))
     coupon = F.when(
         (seq >= COUPON_VERSION_START) & chosen(COUPON_SHARE, "coupon", seq), pick(COUPONS, "coupon-code", seq)
     )
     return (
-        sides.withColumns({"price": price_cents / 100, "quantity": weighted(QUANTITIES, draw("quantity", seq)),
-                           "discount": weighted(DISCOUNTS, draw("discount", seq)), "city": city})
+        sides.withColumns(drawn)
+        .withColumns({"price": price_cents / 100, "quantity": weighted(QUANTITIES, F.col("__quantity")),
+                      "discount": weighted(DISCOUNTS, F.col("__discount")), "city": city})
         .select(
             "order_seq", id_text("order", seq).alias("order_id"), "customer_id", "product_id", "quantity", "price", "discount",
-            weighted(PAYMENT_METHODS, draw("payment-method", seq)).alias("payment_method"),
-            weighted(ORDER_STATUSES, draw("order-status", seq)).alias("order_status"),
+            weighted(PAYMENT_METHODS, F.col("`__payment-method`")).alias("payment_method"),
+            weighted(ORDER_STATUSES, F.col("`__order-status`")).alias("order_status"),
             "city", lookup_literal(F.col("city"), CITY_STATE, DEFAULT_STATE).alias("state"), F.lit(COUNTRY).alias("country"),
             (day.cast("timestamp") + F.make_dt_interval(hours=hour, secs=seconds.cast("int"))).alias("event_time"),
             order_amount(F.col("price"), F.col("quantity"), F.col("discount")).alias("amount"),
@@ -143,18 +148,18 @@ def _one_per_order(order_table: DataFrame) -> DataFrame:
 def payments(order_table: DataFrame) -> DataFrame:
     """One payment per distinct order, status depending on the order's."""
     seq = F.col("order_seq")
-    return _one_per_order(order_table).select(
+    return _one_per_order(order_table).withColumn("__drawn", draw("payment-status", seq)).select(
         "order_seq", id_text("payment", seq).alias("payment_id"), "order_id", "payment_method",
-        outcome(F.col("order_status"), PAYMENT_OUTCOMES, draw("payment-status", seq)).alias("payment_status"), "amount",
+        outcome(F.col("order_status"), PAYMENT_OUTCOMES, F.col("__drawn")).alias("payment_status"), "amount",
     )
 
 
 def shipping(order_table: DataFrame) -> DataFrame:
     """One shipment per distinct order, status depending on the order's."""
     seq = F.col("order_seq")
-    return _one_per_order(order_table).select(
+    return _one_per_order(order_table).withColumn("__drawn", draw("delivery-status", seq)).select(
         "order_seq", id_text("shipment", seq).alias("shipment_id"), "order_id", pick(COURIERS, "courier", seq).alias("courier"),
-        outcome(F.col("order_status"), DELIVERY_OUTCOMES, draw("delivery-status", seq)).alias("delivery_status"),
+        outcome(F.col("order_status"), DELIVERY_OUTCOMES, F.col("__drawn")).alias("delivery_status"),
     )
 
 
