@@ -4,10 +4,10 @@ A lookup whose input tables are together below Spark's broadcast threshold is
 broadcast. Beyond it a plain shuffle join would send every row of a hot key to
 one task, so hot keys are looked for first:
 
-* ``hot_keys`` counts one column, combining before it shuffles, and returns at
-  most ``HOT_KEY_LIMIT`` keys. A key outside the list holds less than
-  1/HOT_KEY_LIMIT of the rows, so the limit bounds what the driver sees and
-  what is broadcast without touching the result.
+* ``hot_keys`` counts a sample of one column and returns at most
+  ``HOT_KEY_LIMIT`` keys. The list decides where rows are joined, never whether:
+  a key it misses holds too few rows to matter, so the sample and the limit
+  bound the work, the driver and the broadcast without touching the result.
 * without hot keys the join is a plain one. Otherwise rows of a hot key get a
   salt, one for each ``HOT_KEY_ROWS`` rows of the key, and its lookup rows are
   repeated once per salt. All other keys keep salt 0 and are not repeated.
@@ -25,6 +25,7 @@ from basketry.session import fits_broadcast
 
 HOT_KEY_ROWS = 1_000_000
 HOT_KEY_LIMIT = 100_000
+SAMPLED_ROWS = 1_000  # expected in the sample for a key at the threshold
 MAX_SALTS = 100_000
 NULL_SALTS = 1024
 
@@ -32,13 +33,18 @@ _SALT, _SALTS = "__salt", "__salts"
 
 
 def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_KEY_ROWS) -> list[tuple]:
-    """(key, rows) of the keys with at least ``min_rows`` rows, largest first.
+    """(key, rows) of the keys with about ``min_rows`` rows or more, largest first.
 
-    The null key is listed too. Runs one job.
+    The null key is listed too. Runs one job over a sample, or over all rows
+    when ``min_rows`` is small.
     """
-    counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") >= min_rows)
+    share = min(1.0, SAMPLED_ROWS / min_rows)
+    keys = df.select(key)
+    if share < 1:
+        keys = keys.sample(fraction=share, seed=1)
+    counted = keys.groupBy(key).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") >= min_rows * share)
     top = counted.orderBy(F.desc("rows"), key).limit(HOT_KEY_LIMIT)
-    return [(r[0], r[1]) for r in top.collect()]
+    return [(r[0], round(r[1] / share)) for r in top.collect()]
 
 
 def left_lookup(
@@ -48,7 +54,7 @@ def left_lookup(
     *,
     keys_from: DataFrame | None = None,
     spread: bool | None = None,
-    hot_rows: int = HOT_KEY_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """``fact`` with the columns of ``lookup`` for its ``key`` (left join).
 
@@ -60,7 +66,7 @@ def left_lookup(
         if fits_broadcast(lookup):
             return fact.join(F.broadcast(lookup), key, "left")
         spread = True
-    hot = []
+    hot, hot_rows = [], hot_rows or HOT_KEY_ROWS
     if spread:
         counted = keys_from if keys_from is not None and key in keys_from.columns else fact
         hot = hot_keys(counted, key, hot_rows)
@@ -72,7 +78,8 @@ def left_lookup(
     salts = F.broadcast(fact.sparkSession.createDataFrame(rows, kind))
     # The partition id spreads copies of one row. Both inputs are the same
     # when a lost task runs again.
-    spot = F.xxhash64(*fact.columns) + F.spark_partition_id()
+    plain = [f.name for f in fact.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    spot = F.xxhash64(*plain) + F.spark_partition_id()
     salt = F.when(F.col(_SALTS).isNotNull(), F.pmod(spot, F.col(_SALTS)))
     if any(k is None for k, _ in hot):  # rows without a key match nothing
         salt = salt.when(F.col(key).isNull(), F.pmod(spot, F.lit(NULL_SALTS)))

@@ -149,16 +149,17 @@ def run(metric: Metric, retail: Retail, *, fanout: bool = False, ordered: bool =
     ``fanout`` gives the figures plain left joins to customers, products,
     payments and shipping would give: every row counts once per match.
     """
-    base_keys = ["event_date" if k in DATE_KEYS else k for k in metric.keys]
-    if metric.source == "sales":
-        if fanout:
-            fact = weighted_sales(retail, base_keys)
-        else:  # a grand total needs no order grain
-            fact = retail.sales(base_keys) if base_keys else retail.lines
-    else:
-        fact = getattr(retail, metric.source)
-    # A key the tables do not carry is left out; so is a missing group column.
-    keys = [k for k, b in zip(metric.keys, base_keys) if fact.has(b)]
+    base = {k: "event_date" if k in DATE_KEYS else k for k in metric.keys}
+    carrier = retail.lines if metric.source == "sales" else getattr(retail, metric.source)
+    # A key the tables do not carry is left out of the grouping.
+    keys = [k for k in metric.keys if carrier.has(base[k])]
+    base_keys = [base[k] for k in keys]
+    if metric.source != "sales":
+        fact = carrier
+    elif fanout:
+        fact = weighted_sales(retail, base_keys)
+    else:  # a grand total needs no order grain
+        fact = retail.sales(base_keys) if base_keys else retail.lines
     if any(k in DATE_KEYS for k in keys):
         fact = fact.attach(["event_date"])
         fact = replace(fact, df=fact.df.withColumns({k: DATE_KEYS[k](F.col("event_date")) for k in keys if k in DATE_KEYS}))
@@ -241,26 +242,16 @@ def _share_of_rows(per_status: DataFrame, fact: Fact) -> DataFrame:
 
 
 def days_to_ship(retail: Retail) -> DataFrame:
-    """Shipments with the days from order to shipping message, never negative.
-
-    Equal shipments are counted together before the join, so ``shipments`` is
-    a weight.
-    """
-    shipping = retail.shipping
-    courier = "courier" if "courier" in shipping.df.columns else shipping.via("courier")
-    packed = shipping.df.groupBy("order_id", courier, "message_date").agg(F.count(F.lit(1)).alias("shipments"))
-    dated = left_lookup(packed, retail.order_dates, "order_id")
-    days = F.datediff("message_date", "order_date")
-    return dated.withColumn("days", days).where(F.col("days") >= 0)
+    """Shipments with the days from order to shipping message, never negative."""
+    dated = left_lookup(retail.shipping.df, retail.order_dates, "order_id")
+    return dated.withColumn("days", F.datediff("message_date", "order_date")).where(F.col("days") >= 0)
 
 
 def avg_delivery_time(retail: Retail) -> DataFrame:
-    dated = days_to_ship(retail)
     shipping = retail.shipping
-    link = "courier" if "courier" in shipping.df.columns else shipping.via("courier")
-    parts = dated.groupBy(link).agg(
-        F.sum(F.col("days").cast("bigint") * F.col("shipments")).alias("__days"),
-        F.sum("shipments").alias("__shipments"),
+    link = shipping.via("courier") or "courier"
+    parts = days_to_ship(retail).groupBy(link).agg(
+        F.sum(F.col("days").cast("bigint")).alias("__days"), F.count(F.lit(1)).alias("__shipments")
     )
     if link != "courier":
         parts = _regroup(Fact(parts, shipping.lookups).attach(["courier"], link).df, ["courier"], {"days", "shipments"})

@@ -1,6 +1,9 @@
 """Run registered queries against DuckDB and compare types and values.
 
-    python tests/compare.py [--sf DIR] [name ...]
+    python tests/compare.py [--sf DIR] [--spread] [name ...]
+
+``--spread`` broadcasts nothing and treats every key with a few rows as hot,
+so that all lookups take the path of large tables.
 """
 
 from __future__ import annotations
@@ -80,7 +83,14 @@ def main(argv):
         at = argv.index("--sf")
         sf = argv[at + 1]
         del argv[at:at + 2]
-    spark = build_session("compare", "8", spark__sql__shuffle__partitions="8", spark__driver__memory="12g")
+    settings = {}
+    if "--spread" in argv:
+        from basketry.operators import joins
+
+        argv.remove("--spread")
+        joins.HOT_KEY_ROWS = 3
+        settings = {"spark__sql__autoBroadcastJoinThreshold": "-1", "spark__sql__adaptive__autoBroadcastJoinThreshold": "-1"}
+    spark = build_session("compare", "8", spark__sql__shuffle__partitions="8", spark__driver__memory="12g", **settings)
     con = duck(sf)
     failed = 0
     for name, entry in REGISTRY.items():
