@@ -18,7 +18,7 @@ from basketry.contracts import (
 )
 from basketry.functions.columns import chosen, draw_below, padded_id, real_null, to_event_date
 from basketry.operators import cleaning, faults, quality, synth
-from basketry.operators.decode import decode_entity
+from basketry.operators.decode import conform_entity
 from basketry.plans.metrics import metric
 from basketry.plans.roles import EntityRetail, read_table
 from basketry.session import stage
@@ -538,7 +538,7 @@ def _entities(spark, sf, unique, used=ENTITIES):
     """Messages cleaned, decoded once and stored typed: no metric parses JSON."""
     from basketry.catalog.ingest import retail_messages
 
-    typed = {name: decode_entity(cleaning.clean(df), name) for name, df in retail_messages(spark, sf).items()}
+    typed = {name: conform_entity(cleaning.clean(df), name) for name, df in retail_messages(spark, sf).items()}
     return EntityRetail({n: stage(df, f"silver-{n}") if n in used else df for n, df in typed.items()}, unique=unique)
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketry.contracts import CONTRACTS
+from basketry.functions.columns import to_event_date
 
 
 def decode_typed(df: DataFrame, schema: T.StructType, keep: dict[str, str] | None = None) -> DataFrame:
@@ -26,6 +27,15 @@ def decode_entity(df: DataFrame, entity: str) -> DataFrame:
     return decode_typed(df, CONTRACTS[entity], keep={"timestamp": "kafka_timestamp"})
 
 
+def conform_entity(df: DataFrame, entity: str) -> DataFrame:
+    """Decoded entity with the parsing that every metric would otherwise repeat.
+
+    Orders get ``event_date`` next to the event time text.
+    """
+    typed = decode_entity(df, entity)
+    return typed.withColumn("event_date", to_event_date(typed)) if "event_time" in typed.columns else typed
+
+
 def payload_type(df: DataFrame, column: str = "value") -> DataFrame:
     """One row: type that fits every payload, merged over all rows."""
     return df.agg(F.expr(f"schema_of_variant_agg(try_parse_json({column}))").alias("payload_type"))

@@ -278,9 +278,8 @@ class EntityRetail(Retail):
     @cached_property
     def lines(self) -> Fact:
         orders = self.table("orders")
-        df = self._measured(orders).withColumns({
-            "event_date": to_event_date(orders), "quantity": col("quantity").cast("bigint"),
-        })
+        dated = col("event_date") if "event_date" in orders.columns else to_event_date(orders)
+        df = self._measured(orders).withColumns({"event_date": dated, "quantity": col("quantity").cast("bigint")})
         about = tuple(c for c in ("name", "age", "gender", "city") if c in self._tables["customers"].columns)
         about = tuple("customer_city" if c == "city" else c for c in about)
         lookups = (
