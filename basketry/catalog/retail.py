@@ -180,7 +180,7 @@ def _fault_ghost_keys(spark, sf):
 
 def _bad_orders_sql(*key):
     return q.spoiled([
-        ("quantity", f"-{q.between(1, 10, 'invalid-quantity', *key)}"),
+        ("quantity", f"CAST(-{q.between(1, 10, 'invalid-quantity', *key)} AS INTEGER)"),
         ("price", "-abs(price)"),
         ("event_time", f"{NOW_SQL} + to_days(CAST({q.between(1, 60, 'invalid-days', *key)} AS INTEGER))"),
         ("order_status", q.pick(BAD_ORDER_STATUSES, "invalid-status", *key)),
@@ -243,7 +243,7 @@ def _fault_invalid_shipping(spark, sf):
 def _outliers_sql(*key):
     return q.spoiled([
         ("amount", f"CAST({q.between(200_000_000, 5_000_000_000, 'outlier-amount', *key)} AS DOUBLE) / 100"),
-        ("quantity", q.between(1000, 9999, "outlier-quantity", *key)),
+        ("quantity", f"CAST({q.between(1000, 9999, 'outlier-quantity', *key)} AS INTEGER)"),
         ("discount", q.pick(OUTLIER_DISCOUNTS, "outlier-discount", *key)),
     ], *key, share=FAULT_SHARES["outlier"], salt="outlier")
 

@@ -28,10 +28,11 @@ def sales_table(
         customers = customers.withColumnRenamed("city", "customer_city")
     who = [c for c in CUSTOMER_COLUMNS if c in customers.columns]
     what = [c for c in PRODUCT_COLUMNS if c in products.columns]
-    sales = left_lookup(orders, customers.select("customer_id", *who), "customer_id")
-    sales = left_lookup(sales, products.select("product_id", *what), "product_id", keys_from=orders)
-    sales = add_new_columns(sales, payments, "order_id", keys_from=orders)
-    return add_new_columns(sales, shipping, "order_id", keys_from=orders)
+    # The sides that share the order key come first, so that they share its shuffle.
+    sales = add_new_columns(orders, payments, "order_id", taken=[*who, *what])
+    sales = add_new_columns(sales, shipping, "order_id", taken=[*who, *what], keys_from=orders)
+    sales = left_lookup(sales, customers.select("customer_id", *who), "customer_id", keys_from=orders)
+    return left_lookup(sales, products.select("product_id", *what), "product_id", keys_from=orders)
 
 
 def fanout_report(

@@ -51,6 +51,19 @@ def plain(value):
     return f"{type(value).__name__}:{value}"
 
 
+DUCK_TYPES = {
+    "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE", "boolean": "BOOLEAN",
+    "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP",
+}
+
+
+def type_differences(df, con, sql):
+    """Columns whose types do not correspond."""
+    theirs = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    mine = {f.name: DUCK_TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema}
+    return {c: (t, theirs.get(c)) for c, t in mine.items() if theirs.get(c) != t}
+
+
 def rows_of(columns, rows):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     return sorted(columns), sorted(tuple(plain(r[i]) for i in order) for r in rows)
@@ -70,6 +83,9 @@ def compare(spark, con, name, entry, sf):
         return f"rows {len(mine)} vs {len(theirs)}"
     if not mine:
         return "both empty"
+    types = type_differences(df, con, entry.sql)
+    if types:
+        return f"types {types}"
     bad = [(a, b) for a, b in zip(mine, theirs) if a != b]
     return f"{len(bad)} of {len(mine)} rows differ, first {bad[0]}" if bad else None
 
