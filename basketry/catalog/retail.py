@@ -19,6 +19,7 @@ from basketry.contracts import (
 from basketry.functions.columns import chosen, draw_below, padded_id, real_null, to_event_date
 from basketry.operators import cleaning, faults, quality, synth
 from basketry.operators.decode import conform_entity
+from basketry.operators.joins import unmatched
 from basketry.plans.metrics import metric
 from basketry.plans.roles import EntityRetail, read_table
 from basketry.session import stage
@@ -364,6 +365,14 @@ def _dq_referential(spark, sf):
     ])
 
 
+@query("orphan_rows", f"""{GHOSTS} SELECT order_seq, customer_id, product_id FROM x
+  WHERE customer_id NOT IN (SELECT customer_id FROM people)""")
+def _orphan_rows(spark, sf):
+    """Orders whose customer does not exist."""
+    orders = ghost_orders(spark, sf).select(KEY, "customer_id", "product_id")
+    return unmatched(orders, people(spark, sf), "customer_id")
+
+
 @query("dq_late_arrival", f"""{INGESTED} SELECT COUNT(*) AS rows, COUNT(*) FILTER (is_late_arrival) AS late,
   CAST((20000 * COUNT(*) FILTER (is_late_arrival) + COUNT(*)) // (2 * COUNT(*)) AS DOUBLE) / 100 AS late_pct FROM x""")
 def _dq_late_arrival(spark, sf):

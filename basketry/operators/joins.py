@@ -109,26 +109,27 @@ def add_new_columns(
     return left_lookup(fact, extra.select(key, *fresh), key, **options)
 
 
-def unmatched(child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None) -> DataFrame:
+def unmatched(child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None, **options) -> DataFrame:
     """Rows of ``child`` whose ``key`` is absent from ``parent``; a null key is absent.
 
-    The parent is reduced to its distinct keys first, and the anti join runs
-    on the child's distinct keys so that a hot key costs one row.
+    A lookup that keeps the misses, so hot keys are spread as in any other.
     """
-    parent_key = parent_key or key
-    known = parent.select(F.col(parent_key).alias(key)).where(F.col(key).isNotNull()).distinct()
-    return child.join(known, key, "left_anti")
+    known = _known_keys(parent, parent_key or key, key)
+    return left_lookup(child, known, key, **options).where(F.col("__known").isNull()).drop("__known").select(child.columns)
+
+
+def _known_keys(parent: DataFrame, parent_key: str, key: str) -> DataFrame:
+    keys = parent.select(F.col(parent_key).alias(key)).where(F.col(key).isNotNull())
+    return keys.distinct().withColumn("__known", F.lit(True))
 
 
 def unmatched_counts(child: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None) -> DataFrame:
-    """One row (rows, orphans): child rows in total and without a parent."""
-    parent_key = parent_key or key
+    """One row (rows, orphans): child rows in total and without a parent.
+
+    Counts per key first, so both sides of the join hold one row per key.
+    """
     per_key = child.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
-    known = (
-        parent.select(F.col(parent_key).alias(key)).where(F.col(key).isNotNull())
-        .distinct().withColumn("known", F.lit(True))
-    )
-    return per_key.join(known, key, "left").agg(
+    return per_key.join(_known_keys(parent, parent_key or key, key), key, "left").agg(
         F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
-        F.coalesce(F.sum(F.when(F.col("known").isNull(), F.col("rows"))), F.lit(0)).alias("orphans"),
+        F.coalesce(F.sum(F.when(F.col("__known").isNull(), F.col("rows"))), F.lit(0)).alias("orphans"),
     )

@@ -80,4 +80,5 @@ def test_unmatched_counts_null_and_ghost_keys(spark):
     parent = spark.createDataFrame([("a",), ("a",), (None,), ("z",)], "id string")
     assert rows(unmatched_counts(child, parent, "k", "id")) == [(5, 3)]
     assert rows(unmatched(child, parent, "k", "id")) == [(None,), ("ghost",), ("ghost",)]
+    assert rows(unmatched(child, parent, "k", "id", spread=True, hot_rows=2)) == [(None,), ("ghost",), ("ghost",)]
     assert rows(unmatched_counts(child.limit(0), parent, "k", "id")) == [(0, 0)]
