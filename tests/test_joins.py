@@ -82,3 +82,11 @@ def test_unmatched_counts_null_and_ghost_keys(spark):
     assert rows(unmatched(child, parent, "k", "id")) == [(None,), ("ghost",), ("ghost",)]
     assert rows(unmatched(child, parent, "k", "id", spread=True, hot_rows=2)) == [(None,), ("ghost",), ("ghost",)]
     assert rows(unmatched_counts(child.limit(0), parent, "k", "id")) == [(0, 0)]
+
+
+def test_shared_folder_is_the_one_the_cluster_names(spark):
+    from basketry.session import CHECKPOINT_SETTING, new_folder, shared_folder
+
+    named = spark.conf.get(CHECKPOINT_SETTING)
+    assert shared_folder(spark) == named and new_folder(spark, "x").startswith(f"{named}/basketry/x-")
+    assert new_folder(spark, "x") != new_folder(spark, "x")
