@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -42,25 +43,32 @@ def dedupe_by_key(
     latest_by: Sequence[str],
     *,
     fill: bool = False,
+    keep_unkeyed: bool = False,
 ) -> DataFrame:
     """One row per key: the greatest by ``latest_by``, ties by the whole row.
 
     An aggregate rather than a window: copies combine before the shuffle, so a
-    key with very many copies costs one row per map task. Rows without a key
-    cannot be told apart and fall into one group.
+    key with very many copies costs one row per map task.
     ``fill`` completes null fields of the survivor from other copies, taking
     the greatest non-null value of each field.
+    Null keys compare equal and make one group; with ``keep_unkeyed`` rows
+    that lack a key are told apart by all their columns instead.
     """
     rest = [c for c in df.columns if c not in keys]
     order = [c for c in latest_by if c in rest] + [c for c in rest if c not in latest_by]
+    groups = list(keys)
+    if keep_unkeyed:
+        unkeyed = functools.reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+        df = df.withColumn("__itself", F.when(unkeyed, F.struct(*rest)))
+        groups.append("__itself")
     newest = F.max(F.struct(*order)).alias("__newest")
-    if not fill:
-        return df.groupBy(*keys).agg(newest).select(*keys, *[F.col(f"__newest.{c}") for c in rest]).select(df.columns)
-    spare = [F.max(c).alias(f"__spare_{i}") for i, c in enumerate(rest)]
-    filled = [
-        F.coalesce(F.col(f"__newest.{c}"), F.col(f"__spare_{i}")).alias(c) for i, c in enumerate(rest)
-    ]
-    return df.groupBy(*keys).agg(newest, *spare).select(*keys, *filled).select(df.columns)
+    spare = [F.max(c).alias(f"__spare_{i}") for i, c in enumerate(rest)] if fill else []
+    kept = {
+        c: F.coalesce(F.col(f"__newest.{c}"), F.col(f"__spare_{i}")) if fill else F.col(f"__newest.{c}")
+        for i, c in enumerate(rest)
+    }
+    columns = [kept[c].alias(c) if c in kept else F.col(c) for c in df.columns if c != "__itself"]
+    return df.groupBy(*groups).agg(newest, *spare).select(*columns)
 
 
 def spelling_table(spellings: Mapping[str, Sequence[str]]) -> dict[str, str]:

@@ -248,8 +248,9 @@ class StarRetail(Retail):
 class EntityRetail(Retail):
     """Roles on decoded entity tables (see ``contracts``).
 
-    ``unique`` keeps the latest row per primary key of every table. Without it
-    re-delivered rows count again, as plain joins over raw tables would.
+    ``unique`` keeps the latest row per primary key of every table; different
+    rows that lack the key all stay. Without it re-delivered rows count again,
+    as plain joins over raw tables would.
     """
 
     def __init__(self, tables: dict[str, DataFrame], *, unique: bool = True) -> None:
@@ -257,7 +258,10 @@ class EntityRetail(Retail):
 
     def table(self, name: str) -> DataFrame:
         df, key = self._tables[name], PRIMARY_KEY[name]
-        return dedupe_by_key(df, [key], ["kafka_timestamp"]) if self._unique and key in df.columns else df
+        if not self._unique or key not in df.columns:
+            return df
+        counted = name in ("orders", "payments", "shipping")  # rows without a key count, lookups never match them
+        return dedupe_by_key(df, [key], ["kafka_timestamp"], keep_unkeyed=counted)
 
     @staticmethod
     def _measured(df: DataFrame) -> DataFrame:

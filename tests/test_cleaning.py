@@ -63,6 +63,14 @@ def test_dedupe_by_key_is_the_latest_whole_row(spark):
     assert rows(cleaning.dedupe_by_key(df, ["k"], ["t"], fill=True)) == [("a", 2, "old", 5), ("b", None, "x", 1)]
 
 
+def test_rows_without_a_key(spark):
+    df = spark.createDataFrame([(None, 1, "x"), (None, 1, "x"), (None, 2, "y"), ("a", 1, "z"), ("a", 2, "z")], "k string, t int, s string")
+    assert rows(cleaning.dedupe_by_key(df, ["k"], ["t"])) == [(None, 2, "y"), ("a", 2, "z")]
+    kept = cleaning.dedupe_by_key(df, ["k"], ["t"], keep_unkeyed=True)
+    assert kept.columns == df.columns
+    assert rows(kept) == [(None, 1, "x"), (None, 2, "y"), ("a", 2, "z")]
+
+
 def test_dedupe_by_key_combines_before_the_shuffle(spark):
     df = spark.createDataFrame([(1, 2, "x")], "k int, t int, s string")
     plan = cleaning.dedupe_by_key(df, ["k"], ["t"])._jdf.queryExecution().executedPlan().toString()

@@ -149,6 +149,14 @@ def test_payment_shares_sum_to_all(tables):
     }
 
 
+def test_payments_without_an_id_still_count(spark, tables):
+    lost = tables["payments"].where("payment_id = 'y2'").withColumn("payment_id", F.lit(None).cast("string"))
+    more = tables["payments"].unionByName(lost).unionByName(lost.withColumn("amount", F.lit(7.0)))
+    before = metric("payment_success_rate", EntityRetail(tables)).agg(F.sum("count"), F.sum("total_amount")).first()
+    after = metric("payment_success_rate", EntityRetail({**tables, "payments": more})).agg(F.sum("count"), F.sum("total_amount")).first()
+    assert after[0] - before[0] == 2 and round(after[1] - before[1], 2) == 57.25
+
+
 def test_payment_summary_without_status_is_a_total(tables):
     bare = {**tables, "payments": tables["payments"].drop("payment_status")}
     assert rows(metric("payment_summary", EntityRetail(bare, unique=False))) == [(6,)]
