@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import language_id, licenses, pieces, secrets
+from basketry.llm import circulant, language_id, licenses, pieces, secrets
 from basketry.llm.common import documents
+from basketry.llm.neardup import Likeness
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +34,10 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _columns(documents(spark, sf_dir), licenses.report)
 
 
+def op7_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return circulant.near_copies(documents(spark, sf_dir), Likeness(shingle=3, percent=85))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = language_id.learn(docs)
@@ -45,7 +50,7 @@ def op10_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_secret_scan, op2_license_scan, op8_language_id, op10_piece_codec,
+    op1_secret_scan, op2_license_scan, op7_circulant_minhash, op8_language_id, op10_piece_codec,
 )}
 
 #: DuckDB SQL for the queries that SQL can express.

@@ -33,3 +33,17 @@ def structs(kind: pa.StructType, rows: Iterable[tuple]) -> pa.StructArray:
 def joined_spans(spans: Iterable[tuple[int, int, str]], kinds: dict[str, int]) -> str:
     """kind:start:end by start, then by the order of the kinds, then by end."""
     return ",".join(f"{k}:{s}:{e}" for s, e, k in sorted(spans, key=lambda x: (x[0], kinds[x[2]], x[1])))
+
+
+#: Ids that may be sent to every executor: 16 MB of longs. More are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
+
+
+def with_ids(docs: DataFrame, ids: DataFrame, how: str, column: str = "doc_id") -> DataFrame:
+    """``docs`` with (how="left_semi") or without ("left_anti") the given distinct ids.
+
+    ``ids`` must be cheap to read twice: it is counted first, and sent to the executors only if it is small,
+    so that the texts need not move.
+    """
+    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(ids) if few else ids, column, how)
