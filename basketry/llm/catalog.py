@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import circulant, fingerprints, language_id, licenses, pieces, secrets
+from basketry.llm import circulant, fingerprints, language_id, licenses, pieces, secrets, spaced_seeds
 from basketry.llm.common import documents
 from basketry.llm.neardup import Likeness
 
@@ -34,6 +34,10 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _columns(documents(spark, sf_dir), licenses.report)
 
 
+def op3_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spaced_seeds.overlaps(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(documents(spark, sf_dir))
 
@@ -54,7 +58,7 @@ def op10_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_secret_scan, op2_license_scan, op4_fingerprints, op7_circulant_minhash, op8_language_id, op10_piece_codec,
+    op1_secret_scan, op2_license_scan, op3_spaced_seed_decontamination, op4_fingerprints, op7_circulant_minhash, op8_language_id, op10_piece_codec,
 )}
 
 #: DuckDB SQL for the queries that SQL can express.
