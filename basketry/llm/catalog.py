@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import circulant, fingerprints, language_id, licenses, pieces, secrets, spaced_seeds
+from basketry.llm import circulant, fingerprints, language_id, licenses, pieces, pii, secrets, spaced_seeds
 from basketry.llm.common import documents
 from basketry.llm.neardup import Likeness
 
@@ -53,12 +53,16 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "r.*")
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(documents(spark, sf_dir))
+
+
 def op10_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _columns(documents(spark, sf_dir), lambda text: pieces.digest(text, piece_model()))
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_secret_scan, op2_license_scan, op3_spaced_seed_decontamination, op4_fingerprints, op7_circulant_minhash, op8_language_id, op10_piece_codec,
+    op1_secret_scan, op2_license_scan, op3_spaced_seed_decontamination, op4_fingerprints, op7_circulant_minhash, op8_language_id, op9_personal_data, op10_piece_codec,
 )}
 
 #: DuckDB SQL for the queries that SQL can express.
