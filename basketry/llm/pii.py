@@ -158,6 +158,10 @@ def _joined(chosen: Column) -> Column:
     return F.array_join(F.transform(chosen, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def _count(chosen: Column, kind: int) -> Column:
+    return F.size(F.filter(chosen, lambda s: s["kind"] == kind)).cast("long")
+
+
 def report(docs: DataFrame) -> DataFrame:
     """One row a document: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_ctx."""
     rows = spans(docs).groupBy("doc_id", "key").agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end"))).alias("all"))
@@ -165,7 +169,7 @@ def report(docs: DataFrame) -> DataFrame:
     found = keyed.join(rows.withColumnRenamed("doc_id", "_id").withColumnRenamed("key", "_key"),
                        F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key")), "left")
     every = F.coalesce("all", F.array().cast("array<struct<start: bigint, kind: int, end: bigint>>"))
-    counts = [F.size(F.filter("all", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
+    counts = [_count(F.col("all"), k).alias(f"n_{name}") for k, name in enumerate(KINDS)]
     base = F.filter("all", lambda s: s["kind"] != CONTEXT)
     return found.select("doc_id", every.alias("all")).select(
         "doc_id", *counts[:CONTEXT], F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("all")).alias("spans"), counts[CONTEXT])
