@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import circulant, fingerprints, language_id, licenses, pieces, pii, secrets, spaced_seeds, suffix_dedup
+from basketry.llm import circulant, cotraining, fingerprints, language_id, licenses, pieces, pii, secrets, spaced_seeds, suffix_dedup
 from basketry.llm.common import documents
 from basketry.llm.neardup import Likeness
 
@@ -46,6 +46,12 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.report(documents(spark, sf_dir))
 
 
+def op6_quality_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = cotraining.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return docs.select("doc_id", cotraining.score(model).alias("r")).select("doc_id", "r.*")
+
+
 def op7_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return circulant.near_copies(documents(spark, sf_dir), Likeness(shingle=3, percent=85))
 
@@ -66,7 +72,7 @@ def op10_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_secret_scan, op2_license_scan, op3_spaced_seed_decontamination, op4_fingerprints, op5_suffix_dedup, op7_circulant_minhash, op8_language_id, op9_personal_data, op10_piece_codec,
+    op1_secret_scan, op2_license_scan, op3_spaced_seed_decontamination, op4_fingerprints, op5_suffix_dedup, op6_quality_cotraining, op7_circulant_minhash, op8_language_id, op9_personal_data, op10_piece_codec,
 )}
 
 #: DuckDB SQL for the queries that SQL can express.
