@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.catalog.registry import query, register
-from basketry.plans.dashboards import DASHBOARDS, build_gold, dashboard, gold_builders
+from basketry.plans.dashboards import DASHBOARDS, build_gold, dashboard, gold_builders, tables_in
 from basketry.plans.metrics import METRICS, avg_delivery_time, metric
 from basketry.plans.rfm import rfm_segments, segment_sizes
 from basketry.plans.roles import StarRetail
 from basketry.plans.sales import fanout_report, sales_table
-from basketry.session import new_folder
+from basketry.session import new_folder, stage
 from basketry.sources.lake import Lake, preview, register_views, stacked_counts
 
 SNAPSHOT = dt.date(2001, 8, 2)
@@ -21,8 +23,9 @@ SNAPSHOT = dt.date(2001, 8, 2)
 
 LINES = """lines AS (
   SELECT l_orderkey AS order_id, l_partkey AS product_id, o_custkey AS customer_id,
-         CAST(o_orderdate AS DATE) AS event_date, CAST(l_quantity AS BIGINT) AS quantity,
-         CAST(ROUND(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))), 2) AS DECIMAL(18,2)) AS amount
+         CAST(o_orderdate AS DATE) AS event_date, l_quantity AS quantity,
+         CAST(l_extendedprice AS DECIMAL(18,6)) * (1 - CAST(l_discount AS DECIMAL(8,6))) AS amount,
+         CAST(CAST(l_extendedprice AS DECIMAL(18,6)) * 1000000 AS HUGEINT) * CAST((1 - CAST(l_discount AS DECIMAL(8,6))) * 1000000 AS HUGEINT) AS units
   FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey)"""
 WIDE = """SELECT lines.*, c_name AS name, c_mktsegment AS gender, n_name AS customer_city, n_name AS city, r_name AS state,
          p_name AS product_name, p_type AS category, p_brand AS brand
@@ -34,17 +37,19 @@ FANOUT = (
     " LEFT JOIN lineitem ship ON ship.l_orderkey = order_id)"
 )
 PAYMENTS = """WITH payments AS (
-  SELECT o_orderkey AS order_id, o_orderpriority AS payment_method, CAST(o_totalprice AS DECIMAL(18,2)) AS amount,
+  SELECT o_orderkey AS order_id, o_orderpriority AS payment_method, CAST(o_totalprice AS DECIMAL(18,6)) AS amount,
+         CAST(CAST(o_totalprice AS DECIMAL(18,6)) * 1000000 AS HUGEINT) * 1000000 AS units,
          CASE o_orderstatus WHEN 'F' THEN 'Failed' WHEN 'O' THEN 'Success' ELSE 'Pending' END AS payment_status FROM orders)"""
 SHIPPING = """WITH shipping AS (
   SELECT l_orderkey AS order_id, s_name AS courier, CAST(l_shipdate AS DATE) AS message_date,
          CASE l_returnflag WHEN 'A' THEN 'Delivered' WHEN 'N' THEN 'Pending' WHEN 'R' THEN 'Failed' END AS delivery_status
   FROM lineitem LEFT JOIN supplier ON s_suppkey = l_suppkey)"""
 
-REVENUE = "CAST(SUM(amount) AS DOUBLE)"
-UNITS = "CAST(SUM(quantity) AS BIGINT)"
+REVENUE = "CAST(ROUND(SUM(amount), 2) AS DOUBLE)"
+UNITS = "CAST(SUM(CAST(quantity AS DECIMAL(18,6))) AS DOUBLE)"
 ORDERS = "COUNT(DISTINCT order_id)"
-MEAN = "CAST((2 * CAST(SUM(amount) * 100 AS HUGEINT) + COUNT(amount)) // (2 * COUNT(amount)) AS DOUBLE) / 100"
+# the sum in units of 1e-12, so that the mean is rounded once
+MEAN = "CAST((2 * SUM(units) + COUNT(amount) * 10000000000) // (2 * COUNT(amount) * 10000000000) AS DOUBLE) / 100"
 
 
 def share(part: str, whole: str) -> str:
@@ -99,7 +104,7 @@ FROM timed WHERE days >= 0 GROUP BY 1"""
 def rfm_sql(prefix: str) -> str:
     return f"""{prefix}, base AS (
   SELECT customer_id, CAST(date_diff('day', MAX(event_date), DATE '{SNAPSHOT}') AS INTEGER) AS recency_days,
-         {ORDERS} AS frequency, SUM(amount) AS total, {REVENUE} AS monetary
+         {ORDERS} AS frequency, ROUND(SUM(amount), 2) AS total, {REVENUE} AS monetary
   FROM sales GROUP BY 1 HAVING MAX(event_date) IS NOT NULL),
 tiled AS (SELECT *,
   CAST(ntile(3) OVER (ORDER BY recency_days, md5(CAST(customer_id AS VARCHAR))) AS INTEGER) AS R,
@@ -117,9 +122,7 @@ RFM_SQL = rfm_sql(UNIQUE) + " SELECT * FROM segments"
 
 
 def _metric_runner(name: str, fanout: bool = False):
-    # Result tables with few rows come sorted as shown; the per-product and
-    # per-customer ones are stored tables and stay unsorted.
-    return lambda spark, sf: metric(name, StarRetail(spark, sf), fanout=fanout, ordered=METRICS[name].small)
+    return lambda spark, sf: metric(name, StarRetail(spark, sf), fanout=fanout, ordered=True)
 
 
 for _name, _sql in SALES_SQL.items():
@@ -141,8 +144,8 @@ def _rfm_scores(spark, sf):
 
 @query("rfm_scores_by_cuts", RFM_SQL)
 def _rfm_scores_by_cuts(spark, sf):
-    """The path large customer tables take, at any size."""
-    return rfm_segments(StarRetail(spark, sf), SNAPSHOT, window_rows=-1)
+    """Scores written as a table and read back."""
+    return stage(rfm_segments(StarRetail(spark, sf), SNAPSHOT), "rfm-scores")
 
 
 @query("rfm_scores_fanout", rfm_sql(FANOUT) + " SELECT * FROM segments")
@@ -200,11 +203,18 @@ def table_sql(name: str) -> str:
     return f"{UNIQUE} {SALES_SQL[name]}" if name in SALES_SQL else OTHER_SQL[name]
 
 
+def _dashboard(spark, sf, name):
+    """Store the gold tables a statement reads, then run it over them."""
+    lake = Lake(spark, root=new_folder(spark, "dashboard"))
+    build_gold(lake, StarRetail(spark, sf), SNAPSHOT, only=tables_in(DASHBOARDS[name]))
+    return dashboard(lake, name)
+
+
 for _name in DASHBOARDS:
     _table, _pick = _DASH_SQL[_name]
     register(
         _name,
-        lambda spark, sf, n=_name: dashboard(spark, n, StarRetail(spark, sf), snapshot=SNAPSHOT),
+        lambda spark, sf, n=_name: _dashboard(spark, sf, n),
         f"WITH t AS ({table_sql(_table)}) {_pick}",
     )
 
@@ -218,17 +228,60 @@ GOLD_COUNTS_SQL = " UNION ALL ".join(
 )
 
 
-@query("gold_build", f"""SELECT 'gold_revenue_by_state' AS "table", state AS key, revenue FROM ({table_sql('revenue_by_state')})
-UNION ALL SELECT 'gold_yearly_revenue', CAST(order_year AS VARCHAR), revenue FROM ({table_sql('yearly_revenue')})""")
+# gold table -> its key columns and the figures compared
+GOLD_VALUES: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {
+    "daily_revenue": (("order_date",), ("revenue", "orders")),
+    "monthly_revenue": (("order_month",), ("revenue", "orders")),
+    "yearly_revenue": (("order_year",), ("revenue", "orders")),
+    "revenue_by_category": (("category",), ("revenue", "orders")),
+    "revenue_by_city": (("city",), ("revenue", "orders")),
+    "revenue_by_state": (("state",), ("revenue", "orders")),
+    "top_products": (("product_id",), ("units_sold", "revenue")),
+    "bottom_products": (("product_id",), ("units_sold", "revenue")),
+    "units_sold": (("product_id",), ("units_sold",)),
+    "revenue_per_product": (("product_id",), ("total_revenue", "units_sold", "orders", "avg_order_revenue")),
+    "sales_by_category": (("category",), ("revenue", "units_sold", "orders", "products")),
+    "customer_lifetime_value": (("customer_id",), ("lifetime_value", "orders")),
+    "repeat_customers": (("customer_id",), ("order_count", "total_spend")),
+    "new_vs_returning": (("segment",), ("customers", "total_orders")),
+    "rfm_segmentation": (("customer_id",), ("recency_days", "frequency", "monetary", "rfm_score")),
+    "top_customers": (("customer_id",), ("lifetime_value", "orders", "avg_order_value")),
+    "average_order_value": ((), ("average_order_value",)),
+    "order_trend": (("order_date",), ("orders", "revenue")),
+    "orders_by_day": (("day_num",), ("orders", "revenue")),
+    "orders_by_month": (("order_month",), ("orders", "revenue")),
+    "payment_summary": (("payment_status",), ("count",)),
+    "payment_success_rate": (("payment_status",), ("count", "total_amount", "pct_of_total")),
+    "failed_payments": (("payment_status", "payment_method"), ("failed_count", "revenue_at_risk")),
+    "revenue_by_payment_method": (("payment_method",), ("transactions", "revenue", "avg_transaction")),
+    "delivery_performance": (("courier",), ("total_shipments", "delivered", "pending_or_failed", "delivery_rate_pct")),
+    "late_deliveries": (("courier", "delivery_status"), ("count",)),
+    "avg_delivery_time": (("courier",), ("avg_days_to_process", "shipments")),
+    "shipping_status_distribution": (("delivery_status", "courier"), ("shipments",)),
+}
+
+
+def _values_sql(name: str) -> str:
+    keys, values = GOLD_VALUES[name]
+    key = "concat_ws('|', " + ", ".join(["''", *[f"COALESCE(CAST({k} AS VARCHAR), '~')" for k in keys]]) + ")"
+    listed = ", ".join(f"'{v}'" for v in values)
+    figures = ", ".join(f'CAST("{v}" AS DOUBLE)' for v in values)
+    return f"SELECT 'gold_{name}' AS \"table\", {key} AS key, unnest([{listed}]) AS \"column\", unnest([{figures}]) AS value FROM ({_GOLD_SQL[name]})"
+
+
+@query("gold_build", " UNION ALL ".join(map(_values_sql, GOLD_VALUES)))
 def _gold_build(spark, sf):
-    """Two gold tables over stale ones of another schema: rows and columns are replaced."""
+    """All 28 gold tables, two of them over stale ones of another schema: rows and columns are replaced."""
     lake, retail = Lake(spark, root=new_folder(spark, "gold")), StarRetail(spark, sf)
-    parts = []
-    for name, key in (("revenue_by_state", "state"), ("yearly_revenue", "order_year")):
+    for name in ("revenue_by_state", "yearly_revenue"):
         lake.overwrite(retail.customers.select("customer_id", F.lit("stale").alias("note")), f"gold_{name}")
-        written = lake.overwrite(metric(name, retail), f"gold_{name}")
-        parts.append(written.select(F.lit(f"gold_{name}").alias("table"), F.col(key).cast("string").alias("key"), "revenue"))
-    return parts[0].unionByName(parts[1])
+    build_gold(lake, retail, SNAPSHOT)
+    parts = []
+    for name, (keys, values) in GOLD_VALUES.items():
+        key = F.concat_ws("|", F.lit(""), *[F.coalesce(F.col(k).cast("string"), F.lit("~")) for k in keys])
+        figures = F.array(*[F.struct(F.lit(v).alias("column"), F.col(v).cast("double").alias("value")) for v in values])
+        parts.append(lake.read(f"gold_{name}").select(F.lit(f"gold_{name}").alias("table"), key.alias("key"), F.inline(figures)))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("gold_row_counts", GOLD_COUNTS_SQL)
@@ -253,7 +306,7 @@ def star_sales(spark, sf, *, unique: bool = True):
     """Inputs of the wide table: orders, customers, products, payments, shipping."""
     retail = StarRetail(spark, sf)
     orders = retail.lines.attach(["customer_id", "event_time"]).df.drop("line_count", "priced")
-    orders = orders.withColumn("amount", F.col("amount_cents") / 100).drop("amount_cents")
+    orders = orders.withColumns({"amount": F.col("exact_amount").cast("double"), "quantity": F.col("quantity").cast("double")}).drop("exact_amount")
     payments = retail.payments.df.select("payment_id", "order_id", "payment_method", "payment_status")
     shipping = retail.shipping.df.select("order_id", "courier_id", "delivery_status", "message_date")
     if unique:  # the latest shipment of each order
@@ -273,7 +326,7 @@ SELECT order_id, product_id, customer_id, event_date, quantity, CAST(amount AS D
   s.c AS courier_id, s.s AS delivery_status, s.d AS message_date
 FROM sales LEFT JOIN orders ON o_orderkey = order_id LEFT JOIN last_ship ON l_orderkey = order_id""")
 def _sales_fact(spark, sf):
-    return sales_table(*star_sales(spark, sf)).select(
+    return sales_table(*star_sales(spark, sf), owners=StarRetail(spark, sf).owners).select(
         "order_id", "product_id", "customer_id", F.col("event_time").cast("date").alias("event_date"), "quantity", "amount",
         "name", "gender", "customer_city", "product_name", "category", "brand",
         "payment_id", "payment_method", "payment_status", "courier_id", "delivery_status", "message_date",
@@ -286,7 +339,8 @@ def _preview(spark, sf):
     """Ten rows of the wide table; only the columns shown are joined."""
     wide = StarRetail(spark, sf).lines.attach(["customer_id", "name", "product_name"]).df
     shown = wide.select(
-        "order_id", "product_id", "customer_id", "quantity", (F.col("amount_cents") / 100).alias("amount"), "name", "product_name"
+        "order_id", "product_id", "customer_id", F.col("quantity").cast("double").alias("quantity"),
+        F.col("exact_amount").cast("double").alias("amount"), "name", "product_name"
     )
     return preview(shown, 10, ["order_id", "product_id", "quantity", "amount"])
 

@@ -57,23 +57,30 @@ def padded_id(prefix: str, number: Column, width: int) -> Column:
 
 
 # ----- money ----------------------------------------------------------------
-# Sums run on whole cents: exact, independent of the row order, and cheaper
-# than wide decimals. A total beyond 9.2e16 currency units raises under ANSI.
+# Sums run on decimals: exact and independent of the row order. Nothing is rounded
+# before the result; of a DOUBLE six decimals are taken, which is noise beyond.
 
+EXACT = "decimal(18,6)"
 
-def cents(amount: Column) -> Column:
-    """Amount with at most two decimals as a whole number of cents."""
-    return F.rint(amount * 100).cast("bigint")
 
+def exact(number: Column) -> Column:
+    """A number as a decimal whose sums are exact."""
+    return number.cast(EXACT)
 
-def discounted_cents(price: Column, discount_percent: Column) -> Column:
-    """Cents of ``price`` less a whole percentage, half up; price must not be negative."""
-    hundredths = cents(price) * (F.lit(100) - discount_percent)
-    return F.floor((hundredths + 50) / 100)
 
+def discounted(price: Column, share: Column) -> Column:
+    """``price`` less a share of it (0.075 is 7.5 %), unrounded; returns and credits may be negative."""
+    return exact(price) * (F.lit(1) - share.cast("decimal(8,6)"))
 
-def money(total_cents: Column) -> Column:
-    return total_cents / F.lit(100)
+
+def money(total: Column) -> Column:
+    """A sum as shown: two decimals, half away from zero."""
+    return F.round(total, 2).cast("double")
+
+
+def whole_cents(total: Column) -> Column:
+    """A sum as shown, as a number of cents."""
+    return (F.round(total, 2) * 100).cast("bigint")
 
 
 def rounded_ratio(top: Column, bottom: Column, places: int) -> Column:
@@ -82,9 +89,9 @@ def rounded_ratio(top: Column, bottom: Column, places: int) -> Column:
     return F.round(quotient, places).cast("double")
 
 
-def mean_money(total_cents: Column, rows: Column, places: int = 2) -> Column:
-    """Mean of an amount held in cents, rounded to ``places`` decimals."""
-    return rounded_ratio(total_cents, rows * 100, places)
+def mean_money(total: Column, rows: Column, places: int = 2) -> Column:
+    """Mean of an exact sum, rounded to ``places`` decimals."""
+    return F.round(total / F.when(rows != 0, rows).cast("decimal(18,0)"), places).cast("double")
 
 
 def percent(part: Column, whole: Column, places: int = 2) -> Column:

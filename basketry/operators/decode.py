@@ -41,15 +41,28 @@ def payload_type(df: DataFrame, column: str = "value") -> DataFrame:
     return df.agg(F.expr(f"schema_of_variant_agg(try_parse_json({column}))").alias("payload_type"))
 
 
-def spark_type(variant_type: str) -> str:
-    """DDL of a merged variant type.
+def _plain_type(kind: T.DataType) -> T.DataType:
+    """The type with STRING wherever values are null everywhere or of several kinds."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _plain_type(f.dataType)) for f in kind])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_plain_type(kind.elementType))
+    return T.StringType() if isinstance(kind, (T.NullType, T.VariantType)) else kind
 
-    Fields that are null everywhere become STRING and decimals DOUBLE, which
-    is how JSON schema inference types them.
+
+_FIELD = re.compile(r"(OBJECT<|, )(`(?:[^`]|``)*`|[^`:<>, ]+): ")
+
+
+def spark_type(variant_type: str) -> T.DataType:
+    """Type of a merged variant; decimals keep their digits.
+
+    Names are quoted first, so that a field may be called like a type.
     """
-    text = variant_type.replace("OBJECT<", "STRUCT<")
-    text = re.sub(r"DECIMAL\(\d+,\s*\d+\)", "DOUBLE", text)
-    return re.sub(r"\b(VOID|VARIANT)\b", "STRING", text)
+    text = _FIELD.sub(lambda m: f"{m[1]}{m[2] if m[2].startswith('`') else f'`{m[2]}`'}: ", variant_type)
+    # outside of quotes only types are left
+    parts = text.split("`")
+    parts[::2] = [p.replace("OBJECT<", "STRUCT<") for p in parts[::2]]
+    return _plain_type(T.DataType.fromDDL("`".join(parts)))
 
 
 def infer_schema(df: DataFrame, column: str = "value") -> T.StructType:
@@ -60,7 +73,7 @@ def infer_schema(df: DataFrame, column: str = "value") -> T.StructType:
     found = payload_type(df, column).first()[0]
     if not found or not found.startswith("OBJECT<") or found == "OBJECT<>":
         return T.StructType([])
-    return T.DataType.fromDDL(spark_type(found))
+    return spark_type(found)
 
 
 def decode_inferred(df: DataFrame) -> DataFrame:

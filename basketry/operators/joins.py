@@ -1,15 +1,16 @@
 """Left joins that survive a key holding a large share of all rows.
 
-A lookup whose input tables are together below Spark's broadcast threshold is
-broadcast. Beyond it a plain shuffle join would send every row of a hot key to
-one task, so hot keys are looked for first:
-
-* ``hot_keys`` counts a sample of one column and returns at most
-  ``HOT_KEY_LIMIT`` keys. The list decides where rows are joined, never whether:
-  a key it misses holds too few rows to matter, so the sample and the limit
-  bound the work, the driver and the broadcast without touching the result.
-* without hot keys the join is a plain one. Otherwise rows of a hot key get a
-  salt, one for each ``HOT_KEY_ROWS`` rows of the key, and its lookup rows are
+How two tables are joined is left to Spark: a side it knows to be small is broadcast,
+skewed partitions are split at run time. What it cannot split is a key whose rows
+arrive from an aggregate or a window, so for facts of rows (``spread=True``) hot keys are
+looked for first:
+
+* ``hot_keys`` counts a sample of one column of ``keys_from``, a stored table that owns the key.
+  A key is hot from ``HOT_KEY_ROWS`` rows, or one in ``MOST_HOT_KEYS`` of all rows if that is more, so there are
+  never more than that many and they can be sent to every executor. They decide where rows are joined,
+  never whether: the result is the same with any of them missing.
+* without hot keys the join is a plain one. Otherwise rows of a hot key, the null key too, get a
+  salt, one for each ``hot_rows`` rows counted, and its lookup rows are
   repeated once per salt. All other keys keep salt 0 and are not repeated.
 """
 
@@ -21,30 +22,54 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketry.session import fits_broadcast
+from basketry.session import stage
 
 HOT_KEY_ROWS = 1_000_000
-HOT_KEY_LIMIT = 100_000
+MOST_HOT_KEYS = 100_000
 SAMPLED_ROWS = 1_000  # expected in the sample for a key at the threshold
-MAX_SALTS = 100_000
-NULL_SALTS = 1024
 
-_SALT, _SALTS = "__salt", "__salts"
+_SALT, _SALTS, _ROWS = "__salt", "__salts", "__rows"
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_KEY_ROWS) -> list[tuple]:
-    """(key, rows) of the keys with about ``min_rows`` rows or more, largest first.
+class Owner:
+    """A stored table with key columns; each is searched for hot keys once, and not at all if the table is too short."""
 
-    The null key is listed too. Runs one job over a sample, or over all rows
+    def __init__(self, table: DataFrame) -> None:
+        self.table = table
+        self._rows: int | None = None
+        self._found: dict[tuple[str, int], DataFrame | None] = {}
+
+    def __contains__(self, key: str) -> bool:
+        return key in self.table.columns
+
+    def least(self, min_rows: int) -> int:
+        """Rows that make a key hot: no more than MOST_HOT_KEYS keys can have them."""
+        if self._rows is None:
+            self._rows = self.table.select().count()  # from the footers
+        return max(min_rows, -(-self._rows // MOST_HOT_KEYS))
+
+    def hot_keys(self, key: str, min_rows: int) -> DataFrame | None:
+        """Table of ``hot_keys``, None if there are none."""
+        if self.least(min_rows) > self._rows:
+            return None
+        if (key, min_rows) not in self._found:
+            found = hot_keys(self.table, key, min_rows)
+            self._found[key, min_rows] = None if found.isEmpty() else found
+        return self._found[key, min_rows]
+
+
+def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    """(key, __rows) of the keys with about ``min_rows`` rows or more, as a written table.
+
+    The null key is listed too. Reads a sample of the key column, or all of it
     when ``min_rows`` is small.
     """
     share = min(1.0, SAMPLED_ROWS / min_rows)
     keys = df.select(key)
     if share < 1:
         keys = keys.sample(fraction=share, seed=1)
-    counted = keys.groupBy(key).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") >= min_rows * share)
-    top = counted.orderBy(F.desc("rows"), key).limit(HOT_KEY_LIMIT)
-    return [(r[0], round(r[1] / share)) for r in top.collect()]
+    counted = keys.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_rows * share)
+    return stage(counted.select(key, F.ceil(F.col("n") / share).alias(_ROWS)), "hot-keys")
 
 
 def left_lookup(
@@ -52,37 +77,34 @@ def left_lookup(
     lookup: DataFrame,
     key: str,
     *,
-    keys_from: DataFrame | None = None,
-    spread: bool | None = None,
+    keys_from: Owner | None = None,
+    spread: bool = False,
     hot_rows: int | None = None,
+    spot: Sequence[str] | None = None,
 ) -> DataFrame:
     """``fact`` with the columns of ``lookup`` for its ``key`` (left join).
 
-    ``keys_from`` is a cheaper table with the same key column to look for hot
-    keys in, say the fact before other lookups. ``spread`` overrides the size
-    check: False joins as Spark sees fit, for facts without hot keys.
+    ``spread`` looks for hot keys, in ``keys_from`` if it is given: a stored table that owns the key, which is
+    cheaper to read than the fact. ``spot`` names the columns that tell rows of one key apart (default: all plain
+    ones); naming few spares the scan the others.
     """
-    if spread is None:
-        if fits_broadcast(lookup):
-            return fact.join(F.broadcast(lookup), key, "left")
-        spread = True
-    hot, hot_rows = [], hot_rows or HOT_KEY_ROWS
-    if spread:
-        counted = keys_from if keys_from is not None and key in keys_from.columns else fact
-        hot = hot_keys(counted, key, hot_rows)
-    if not hot:
+    if not spread:
+        return fact.join(lookup, key, "left")
+    owner = keys_from or Owner(fact)
+    hot_rows = owner.least(hot_rows or HOT_KEY_ROWS)
+    hot = owner.hot_keys(key, hot_rows)
+    if hot is None:
         return fact.join(lookup, key, "left")
 
-    kind = T.StructType([T.StructField(key, fact.schema[key].dataType), T.StructField(_SALTS, T.IntegerType())])
-    rows = [(k, min(MAX_SALTS, -(-n // hot_rows))) for k, n in hot if k is not None]
-    salts = F.broadcast(fact.sparkSession.createDataFrame(rows, kind))
+    salts = F.broadcast(hot.where(F.col(key).isNotNull()).select(key, F.ceil(F.col(_ROWS) / hot_rows).cast("int").alias(_SALTS)))
+    nulls = hot.where(F.col(key).isNull()).agg(F.ceil(F.max(_ROWS) / hot_rows)).first()[0]  # rows without a key match nothing
+    plain = [f.name for f in fact.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
     # The partition id spreads copies of one row. Both inputs are the same
     # when a lost task runs again.
-    plain = [f.name for f in fact.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    spot = F.xxhash64(*plain) + F.spark_partition_id()
-    salt = F.when(F.col(_SALTS).isNotNull(), F.pmod(spot, F.col(_SALTS)))
-    if any(k is None for k, _ in hot):  # rows without a key match nothing
-        salt = salt.when(F.col(key).isNull(), F.pmod(spot, F.lit(NULL_SALTS)))
+    place = F.xxhash64(*(spot or plain)) + F.spark_partition_id()
+    salt = F.when(F.col(_SALTS).isNotNull(), F.pmod(place, F.col(_SALTS)))
+    if nulls:
+        salt = salt.when(F.col(key).isNull(), F.pmod(place, F.lit(nulls)))
     salted_fact = (
         fact.join(salts, key, "left").withColumn(_SALT, salt.otherwise(F.lit(0)).cast("int")).drop(_SALTS)
     )

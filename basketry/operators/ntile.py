@@ -9,7 +9,7 @@ result is bounded (bands x targets), no matter how the values are spread, and
 a value shared by a third of all rows is just one band. The tiles then are
 plain comparisons with literals.
 
-Ties are broken by md5 of the id and then the id, which spreads evenly.
+Ties are broken by md5 of the id, which spreads evenly; ids must be distinct.
 """
 
 from __future__ import annotations
@@ -19,12 +19,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 BAND_BITS = 12
 BANDS = 1 << BAND_BITS
 HEX_DIGITS = 4  # tie-break bands per round: 16 ** HEX_DIGITS
-WINDOW_ROWS = 200_000
 
 _NO_VALUE = -(1 << 63)  # rank of null: before every other value
 
@@ -56,8 +54,9 @@ class _Target:
 
     @property
     def shift(self) -> int:
-        """Bands are 2**shift wide, so that at most ``BANDS`` of them span the range."""
-        return max(0, (self.high - self.low).bit_length() - BAND_BITS)
+        """Bands are 2**shift wide, so that about ``BANDS`` of them span the range."""
+        span = (self.high - self.low).bit_length()
+        return max(0, span - BAND_BITS, span - 62)
 
 
 def _ordered(column: str) -> Column:
@@ -73,7 +72,8 @@ def _pass_over(df: DataFrame, targets: list[_Target], id_column: str) -> dict[in
         value = _ordered(t.column)
         if t.low < t.high:
             inside = value.between(t.low, t.high)
-            band = F.shiftright(value - F.lit(t.low), t.shift).cast("string")
+            # bands begin at multiples of their width; the difference of shifted numbers cannot overflow
+            band = (F.shiftright(value, t.shift) - F.shiftright(F.lit(t.low), t.shift)).cast("string")
         else:
             digest = tie_break(id_column)
             inside = (value == t.low) & digest.startswith(t.prefix)
@@ -128,8 +128,8 @@ def cut_points(df: DataFrame, columns: list[str], id_column: str, tiles: int) ->
                     break
                 t.rank -= rows
             if on_value:
-                start = t.low + (int(band) << t.shift)
-                t.low, t.high = start, min(t.high, start + (1 << t.shift) - 1)
+                start = ((t.low >> t.shift) + int(band)) << t.shift
+                t.low, t.high = max(t.low, start), min(t.high, start + (1 << t.shift) - 1)
             else:
                 t.prefix += band
                 t.done = len(t.prefix) == 32
@@ -179,19 +179,11 @@ def add_ntiles(
     columns: Mapping[str, str],
     id_column: str,
     tiles: int = 3,
-    window_rows: int = WINDOW_ROWS,
 ) -> DataFrame:
     """Add ``name: ntile(tiles) over (order by column, md5(id))`` columns.
 
     ``columns`` maps the new name to the ordering column (whole numbers, nulls
-    first) and ``df`` must be a stored table with one row per id. Up to
-    ``window_rows`` rows, a checked count, the built-in window is used as its
-    one task is then small.
+    first) and ``df`` must be a stored table with one row per id.
     """
-    if df.count() <= window_rows:
-        return df.withColumns({
-            name: F.ntile(tiles).over(Window.orderBy(F.col(c).asc_nulls_first(), tie_break(id_column)))
-            for name, c in columns.items()
-        })
     cuts = cut_points(df, sorted(set(columns.values())), id_column, tiles)
     return df.withColumns({name: tile_of(c, cuts[c], id_column) for name, c in columns.items()})

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from basketry.plans.metrics import METRICS, avg_delivery_time, metric
 from basketry.plans.rfm import rfm_segments
@@ -67,16 +67,21 @@ def gold_builders(retail: Retail, snapshot: dt.date | None = None, *, fanout: bo
     return builders
 
 
-def build_gold(lake: Lake, retail: Retail, snapshot: dt.date | None = None, *, fanout: bool = False) -> list[str]:
-    """Write every gold table; returns the table names.
+def build_gold(
+    lake: Lake, retail: Retail, snapshot: dt.date | None = None, *, fanout: bool = False, only: Iterable[str] | None = None,
+) -> list[str]:
+    """Write every gold table, or the ones named; returns the names of the written tables.
 
     The sales fact is stored first: 21 of the tables come from it, and each
     would otherwise add up the order lines again.
     """
+    wanted = None if only is None else set(only)
+    builders = gold_builders(stored(retail) if wanted is None else retail, snapshot, fanout=fanout)
     names = []
-    for name, build in gold_builders(stored(retail), snapshot, fanout=fanout).items():
-        lake.overwrite(build(), f"gold_{name}")
-        names.append(f"gold_{name}")
+    for name, build in builders.items():
+        if wanted is None or name in wanted:
+            lake.overwrite(build(), f"gold_{name}")
+            names.append(f"gold_{name}")
     return names
 
 
@@ -85,17 +90,8 @@ def tables_in(statement: str) -> list[str]:
     return re.findall(r"\{p\}(\w+)", statement)
 
 
-def dashboard(
-    spark: SparkSession,
-    name: str,
-    retail: Retail | None = None,
-    *,
-    prefix: str = "vw_",
-    snapshot: dt.date | None = None,
-) -> DataFrame:
-    """Run a statement over views; with ``retail`` the views it needs are registered first."""
+def dashboard(lake: Lake, name: str, *, prefix: str = "vw_") -> DataFrame:
+    """Run a statement over views of the stored gold tables."""
     statement = DASHBOARDS[name]
-    if retail is not None:
-        builders = gold_builders(retail, snapshot)
-        register_views({t: builders[t]() for t in tables_in(statement)}, prefix)
-    return spark.sql(statement.format(p=prefix))
+    register_views({t: lake.read(f"gold_{t}") for t in tables_in(statement)}, prefix)
+    return lake.spark.sql(statement.format(p=prefix))

@@ -19,13 +19,13 @@ from basketry.functions.columns import (
     mean_money, money, month_start, month_text, percent, rounded_ratio, weekday_name, weekday_number,
 )
 from basketry.operators.joins import left_lookup
-from basketry.plans.roles import SALES_MEASURES, Fact, Retail
+from basketry.plans.roles import EXACT_MEASURES, SALES_MEASURES, Fact, Retail
 
 # ----- measures -----------------------------------------------------------------
 # A measure is built from parts that add up, so it can be computed in two steps.
 
 PARTS: dict[str, Callable[[], Column]] = {
-    "cents": lambda: F.sum("amount_cents"),
+    "amount": lambda: F.sum("exact_amount"),
     "units": lambda: F.sum("quantity"),
     "rows": lambda: F.sum("line_count"),
     "priced": lambda: F.sum("priced"),
@@ -46,13 +46,13 @@ def _part(name: str) -> Column:
 
 
 MEASURES: dict[str, Measure] = {
-    "revenue": Measure(("cents",), lambda: money(_part("cents"))),
-    "units": Measure(("units",), lambda: _part("units")),
+    "revenue": Measure(("amount",), lambda: money(_part("amount"))),
+    "units": Measure(("units",), lambda: _part("units").cast("double")),
     "rows": Measure(("rows",), lambda: _part("rows")),
     "orders": Measure(("orders",), lambda: _part("orders")),
     "products": Measure(("products",), lambda: _part("products")),
-    "mean": Measure(("cents", "priced"), lambda: money(_part("cents")) / F.when(_part("priced") > 0, _part("priced"))),
-    "rounded_mean": Measure(("cents", "priced"), lambda: mean_money(_part("cents"), _part("priced"))),
+    "mean": Measure(("amount", "priced"), lambda: money(_part("amount")) / F.when(_part("priced") > 0, _part("priced"))),
+    "rounded_mean": Measure(("amount", "priced"), lambda: mean_money(_part("amount"), _part("priced"))),
     "shipments": Measure(("shipments",), lambda: _part("shipments")),
     "delivered": Measure(("delivered",), lambda: _part("delivered")),
     "undelivered": Measure(("undelivered",), lambda: _part("undelivered")),
@@ -81,7 +81,6 @@ class Metric:
     order: tuple[str, ...] = ()  # "-" prefix for descending
     rename: Mapping[str, str] = field(default_factory=dict)
     finish: Callable[[DataFrame, Fact], DataFrame] | None = None
-    small: bool = True  # few result rows: worth sorting when shown whole
 
 
 def _group(fact: Fact, keys: list[str], parts: set[str]) -> DataFrame:
@@ -217,7 +216,10 @@ def weighted_sales(retail: Retail, keys: list[str]) -> Fact:
     for w in weights:
         weight = weight * F.coalesce(F.col(w), F.lit(1))
     df = df.withColumn("__weight", weight)
-    df = df.withColumns({m: F.col(m) * F.col("__weight") for m in SALES_MEASURES}).drop("__weight", *weights)
+    # the products keep their scale: sums of a key times its matches have 26 digits before the point
+    narrow = {m: F.col(m).cast("decimal(28,12)") if m in EXACT_MEASURES else F.col(m) for m in SALES_MEASURES}
+    times = {m: F.col("__weight").cast("decimal(9,0)") if m in EXACT_MEASURES else F.col("__weight") for m in SALES_MEASURES}
+    df = df.withColumns({m: narrow[m] * times[m] for m in SALES_MEASURES}).drop("__weight", *weights)
     duplicated = any(not l.unique for l in start.lookups)
     return replace(
         start, df=df, order_unique=start.order_unique and not duplicated,
@@ -276,25 +278,25 @@ METRICS: dict[str, Metric] = {m.name: m for m in (
     Metric("revenue_by_state", "sales", ("state",), {"revenue": "revenue", "orders": "orders"}, order=("-revenue",)),
     # products
     Metric("top_products", "sales", ("product_id",), {"units_sold": "units", "revenue": "revenue"},
-           order=("-revenue", "product_id"), small=False),
+           order=("-revenue", "product_id")),
     Metric("bottom_products", "sales", _PRODUCT, {"units_sold": "units", "revenue": "revenue"},
-           order=("revenue", "product_id"), small=False),
-    Metric("units_sold", "sales", _PRODUCT, {"units_sold": "units"}, order=("-units_sold", "product_id"), small=False),
+           order=("revenue", "product_id")),
+    Metric("units_sold", "sales", _PRODUCT, {"units_sold": "units"}, order=("-units_sold", "product_id")),
     Metric("revenue_per_product", "sales", _PRODUCT,
            {"total_revenue": "revenue", "units_sold": "units", "orders": "orders", "avg_order_revenue": "rounded_mean"},
-           order=("-total_revenue", "product_id"), small=False),
+           order=("-total_revenue", "product_id")),
     Metric("sales_by_category", "sales", ("category",),
            {"revenue": "revenue", "units_sold": "units", "orders": "orders", "products": "products"}, order=("-revenue",)),
     # customers
     Metric("customer_lifetime_value", "sales", ("customer_id",), {"lifetime_value": "revenue", "orders": "orders"},
-           order=("-lifetime_value", "customer_id"), small=False),
+           order=("-lifetime_value", "customer_id")),
     Metric("repeat_customers", "sales", ("customer_id", "name", "gender", "customer_city"),
            {"order_count": "orders", "total_spend": "revenue"}, having=lambda: F.col("order_count") > 1,
-           order=("-order_count", "customer_id"), small=False),
+           order=("-order_count", "customer_id")),
     Metric("new_vs_returning", "sales", ("customer_id",), {"order_count": "orders"}, finish=_segment_by_orders, order=("segment",)),
     Metric("top_customers", "sales", ("customer_id", "name", "gender", "age", "customer_city"),
            {"lifetime_value": "revenue", "orders": "orders", "avg_order_value": "rounded_mean"},
-           order=("-lifetime_value", "customer_id"), small=False),
+           order=("-lifetime_value", "customer_id")),
     # orders
     Metric("average_order_value", "sales", (), {"average_order_value": "mean"}),
     Metric("order_trend", "sales", ("order_date",), {"orders": "orders", "revenue": "revenue"}, order=("order_date",)),

@@ -7,8 +7,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.functions.columns import money
-from basketry.operators.ntile import WINDOW_ROWS, add_ntiles
+from basketry.functions.columns import whole_cents
+from basketry.operators.ntile import add_ntiles
 from basketry.plans.metrics import weighted_sales
 from basketry.plans.roles import Retail
 from basketry.session import stage
@@ -25,7 +25,7 @@ def rfm_base(retail: Retail, snapshot: dt.date | None = None, *, fanout: bool =
         .agg(
             F.datediff(today, F.max("event_date")).alias("recency_days"),
             orders.alias("frequency"),
-            F.sum("amount_cents").alias("monetary_cents"),
+            whole_cents(F.sum("exact_amount")).alias("monetary_cents"),
         )
         .where(F.col("recency_days").isNotNull())
     )
@@ -36,7 +36,6 @@ def rfm_segments(
     snapshot: dt.date | None = None,
     *,
     fanout: bool = False,
-    window_rows: int = WINDOW_ROWS,
 ) -> DataFrame:
     """Tertile scores and segment per customer.
 
@@ -44,16 +43,14 @@ def rfm_segments(
     it comes from and is read several times to place the tile borders.
     """
     base = stage(rfm_base(retail, snapshot, fanout=fanout), "rfm")
-    scored = add_ntiles(
-        base, {"R": "recency_days", "F": "frequency", "M": "monetary_cents"}, "customer_id", 3, window_rows
-    )
+    scored = add_ntiles(base, {"R": "recency_days", "F": "frequency", "M": "monetary_cents"}, "customer_id", 3)
     score = F.lit(4) - F.col("R") + F.col("F") + F.col("M")
     segment = (
         F.when(F.col("rfm_score") >= 8, "Champions").when(F.col("rfm_score") >= 6, "Loyal")
         .when(F.col("rfm_score") >= 4, "Potential").otherwise("At Risk")
     )
     return scored.withColumn("rfm_score", score).select(
-        "customer_id", "recency_days", "frequency", money(F.col("monetary_cents")).alias("monetary"),
+        "customer_id", "recency_days", "frequency", (F.col("monetary_cents") / 100).alias("monetary"),
         "R", "F", "M", "rfm_score", segment.alias("segment"),
     )
 

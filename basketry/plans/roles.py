@@ -9,7 +9,7 @@ totals    lines added up per order, where that grain exists
 payments  one row per payment
 shipping  one row per shipment
 
-Measure columns of sales facts: ``amount_cents``, ``quantity``, ``line_count``
+Measure columns of sales facts: ``exact_amount`` and ``quantity`` (decimals), ``line_count``
 (rows stood for) and ``priced`` (rows stood for that carry an amount).
 """
 
@@ -25,12 +25,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import col
 
 from basketry.contracts import PRIMARY_KEY
-from basketry.functions.columns import cents, discounted_cents, to_event_date
+from basketry.functions.columns import discounted, exact, to_event_date
 from basketry.operators.cleaning import dedupe_by_key
-from basketry.operators.joins import left_lookup
+from basketry.operators.joins import Owner, left_lookup
 from basketry.session import stage
 
-SALES_MEASURES = ("amount_cents", "quantity", "line_count", "priced")
+EXACT_MEASURES = ("exact_amount", "quantity")
+SALES_MEASURES = (*EXACT_MEASURES, "line_count", "priced")
 
 
 @dataclass(frozen=True)
@@ -55,6 +56,7 @@ class Fact:
     df: DataFrame
     lookups: tuple[Lookup, ...] = ()
     order_unique: bool = False  # at most one row per order_id
+    owners: tuple[Owner, ...] = ()  # stored tables of the row-level keys, to look for hot ones in
 
     def has(self, column: str) -> bool:
         return column in self.df.columns or any(column in l.columns for l in self.lookups)
@@ -78,19 +80,22 @@ class Fact:
     def attach(self, needed: Iterable[str], unique_on: str | None = None) -> "Fact":
         """Join the lookups that supply ``needed`` columns, nothing else.
 
-        ``unique_on`` names a key the fact holds one row of, which cannot be hot.
+        Hot keys are looked for only in ``owners``, never in a plan. ``unique_on`` names a key the fact holds one row
+        of, which cannot be hot.
         """
+        needed = list(needed)
         wanted, missing = set(), {c for c in needed if c not in self.df.columns}
         while missing:
             wanted |= missing
             missing = {self.source_of(c).key for c in missing} - wanted - set(self.df.columns)
-        df = self.df
+        df, rows = self.df, self.df.columns
         for lookup in self.lookups:
             columns = [c for c in lookup.columns if c in wanted and c not in df.columns]
             if columns:
                 table = lookup.table.select(lookup.key, *columns)
-                spread = False if lookup.key == unique_on else None
-                df = left_lookup(df, table, lookup.key, keys_from=self.df, spread=spread)
+                owner = next((o for o in self.owners if lookup.key in o), None)
+                spot = [c for c in (lookup.key, "order_id", *needed) if c in rows]
+                df = left_lookup(df, table, lookup.key, keys_from=owner, spread=owner is not None and lookup.key != unique_on, spot=sorted(set(spot)))
         return replace(self, df=df)
 
 
@@ -197,11 +202,10 @@ class StarRetail(Retail):
 
     @cached_property
     def _lines(self) -> DataFrame:
-        discount = F.rint(col("l_discount") * 100).cast("int")
         return self._read(
             "lineitem", col("l_orderkey").alias("order_id"), col("l_partkey").alias("product_id"),
-            col("l_quantity").cast("bigint").alias("quantity"), col("l_discount").alias("discount"),
-            discounted_cents(col("l_extendedprice"), discount).alias("amount_cents"),
+            exact(col("l_quantity")).alias("quantity"), col("l_discount").alias("discount"),
+            discounted(col("l_extendedprice"), col("l_discount")).alias("exact_amount"),
             _one().alias("line_count"), _one().alias("priced"),
         )
 
@@ -214,13 +218,19 @@ class StarRetail(Retail):
     def lines(self) -> Fact:
         to_headers = Lookup("order_id", ("customer_id", "event_time", "event_date", "order_status"), lambda: self.headers)
         to_products = Lookup("product_id", ("product_name", "category", "brand", "price"), lambda: self.products)
-        return Fact(self._lines, (to_headers, self._to_customers, to_products))
+        return Fact(self._lines, (to_headers, self._to_customers, to_products), owners=self.owners)
+
+    @cached_property
+    def owners(self) -> tuple[Owner, ...]:
+        """The tables that own the keys of rows."""
+        lines = self._read("lineitem", col("l_orderkey").alias("order_id"), col("l_partkey").alias("product_id"), col("l_suppkey").alias("courier_id"))
+        return Owner(lines), Owner(self._read("orders", col("o_custkey").alias("customer_id")))
 
     @cached_property
     def totals(self) -> Fact:
         # one row per order on both sides, so no key of this join is hot
         df = _per_order(self._lines).join(self.headers, "order_id", "left")
-        return Fact(df, (self._to_customers,), order_unique=True)
+        return Fact(df, (self._to_customers,), order_unique=True, owners=self.owners[1:])
 
     @cached_property
     def payments(self) -> Fact:
@@ -228,7 +238,7 @@ class StarRetail(Retail):
         return Fact(self._read(
             "orders", col("o_orderkey").alias("payment_id"), col("o_orderkey").alias("order_id"),
             col("o_orderpriority").alias("payment_method"), status.alias("payment_status"),
-            cents(col("o_totalprice")).alias("amount_cents"), _one().alias("line_count"), _one().alias("priced"),
+            exact(col("o_totalprice")).alias("exact_amount"), _one().alias("line_count"), _one().alias("priced"),
         ))
 
     @cached_property
@@ -239,7 +249,7 @@ class StarRetail(Retail):
         return Fact(self._read(
             "lineitem", col("l_orderkey").alias("order_id"), col("l_suppkey").alias("courier_id"),
             status.alias("delivery_status"), col("l_shipdate").cast("date").alias("message_date"),
-        ), (Lookup("courier_id", ("courier",), couriers),))
+        ), (Lookup("courier_id", ("courier",), couriers),), owners=self.owners)
 
 
 # ----- decoded entity tables ---------------------------------------------------
@@ -265,9 +275,9 @@ class EntityRetail(Retail):
 
     @staticmethod
     def _measured(df: DataFrame) -> DataFrame:
-        amount = cents(col("amount").cast("double"))
+        amount = exact(col("amount").cast("double"))
         priced = F.when(col("amount").isNotNull(), 1).otherwise(0).cast("bigint")
-        return df.withColumns({"amount_cents": amount, "line_count": _one(), "priced": priced})
+        return df.withColumns({"exact_amount": amount, "line_count": _one(), "priced": priced})
 
     @cached_property
     def customers(self) -> DataFrame:
@@ -283,7 +293,7 @@ class EntityRetail(Retail):
     def lines(self) -> Fact:
         orders = self.table("orders")
         dated = col("event_date") if "event_date" in orders.columns else to_event_date(orders)
-        df = self._measured(orders).withColumns({"event_date": dated, "quantity": col("quantity").cast("bigint")})
+        df = self._measured(orders).withColumns({"event_date": dated, "quantity": exact(col("quantity").cast("double"))})
         about = tuple(c for c in ("name", "age", "gender", "city") if c in self._tables["customers"].columns)
         about = tuple("customer_city" if c == "city" else c for c in about)
         lookups = (

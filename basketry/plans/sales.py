@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.operators.joins import add_new_columns, left_lookup
+from basketry.operators.joins import Owner, add_new_columns, left_lookup
 
 CUSTOMER_COLUMNS = ("name", "age", "gender", "customer_city")
 PRODUCT_COLUMNS = ("product_name", "category", "brand")
@@ -17,22 +19,27 @@ def sales_table(
     products: DataFrame,
     payments: DataFrame,
     shipping: DataFrame,
+    owners: Iterable[Owner] = (),
 ) -> DataFrame:
     """Orders with customer, product, payment and shipping columns (left joins).
 
     A payment or shipping column that the left side already has keeps the left
     value. Rows multiply when a right side repeats a key; pass sides that hold
-    one row per key to keep one row per order.
+    one row per key to keep one row per order. ``owners`` gives stored tables with the order's keys, to look
+    for hot ones in.
     """
     if "customer_city" not in customers.columns:
         customers = customers.withColumnRenamed("city", "customer_city")
     who = [c for c in CUSTOMER_COLUMNS if c in customers.columns]
     what = [c for c in PRODUCT_COLUMNS if c in products.columns]
     # The sides that share the order key come first, so that they share its shuffle.
+    # Spark splits a hot order there; the hot keys of the others are looked for in the table that owns them.
     sales = add_new_columns(orders, payments, "order_id", taken=[*who, *what])
-    sales = add_new_columns(sales, shipping, "order_id", taken=[*who, *what], keys_from=orders)
-    sales = left_lookup(sales, customers.select("customer_id", *who), "customer_id", keys_from=orders)
-    return left_lookup(sales, products.select("product_id", *what), "product_id", keys_from=orders)
+    sales = add_new_columns(sales, shipping, "order_id", taken=[*who, *what])
+    for key, table in (("customer_id", customers.select("customer_id", *who)), ("product_id", products.select("product_id", *what))):
+        owner = next((o for o in owners if key in o), None)
+        sales = left_lookup(sales, table, key, keys_from=owner, spread=owner is not None, spot=["order_id", key])
+    return sales
 
 
 def fanout_report(
@@ -51,7 +58,7 @@ def fanout_report(
     product = F.col("rows")
     for step, (_, table, key) in enumerate(sides, start=1):
         counted = table.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias(f"__m{step}"))
-        packed = left_lookup(packed, counted, key, keys_from=base)
+        packed = left_lookup(packed, counted, key)
         product = product * F.coalesce(F.col(f"__m{step}"), F.lit(1))
         totals.append(F.sum(product).alias(f"rows_{step}"))
     names = ["orders", *[name for name, _, _ in sides]]

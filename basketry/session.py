@@ -1,8 +1,7 @@
-"""Session helpers: builder, shared work folder, size check before broadcast."""
+"""Session helpers: builder, shared work folder, staged tables."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,58 +28,52 @@ def build_session(app: str = "basketry", cores: str = "*", **settings: str) -> S
 def shared_folder(spark: SparkSession) -> str:
     """Root for tables that cut lineage and for stream checkpoints.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local master may
-    go without: there the machine's own temporary folder is the shared one.
+    The cluster names it in ``spark.checkpoint.dir``. A session without that setting gets it below its
+    warehouse, which executors share too, whatever the master.
     """
     named = spark.conf.get(CHECKPOINT_SETTING, None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder every executor can reach")
-    return tempfile.mkdtemp(prefix="basketry-")
+    if not named:
+        named = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
+        spark.conf.set(CHECKPOINT_SETTING, named)
+    return named.rstrip("/")
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below the shared root, never reused between calls."""
-    return f"{shared_folder(spark)}/basketry/{purpose}-{uuid.uuid4().hex}"
+    """A fresh folder below the shared root, never reused between calls.
 
-
-def stage(df: DataFrame, purpose: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
-
-    Unlike ``checkpoint()`` the result is columnar, so later passes read only
-    the columns they use; unlike ``cache()`` it survives lost executors.
+    The session owns it: it is deleted when the session's JVM ends. ``drop_folders`` does so at once.
     """
-    folder = new_folder(df.sparkSession, purpose)
-    df.write.mode("errorifexists").parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    folder = f"{shared_folder(spark)}/basketry/{purpose}-{uuid.uuid4().hex}"
+    files, path = _files(spark, folder)
+    files.deleteOnExit(path)
+    _FOLDERS.append(folder)
+    return folder
 
 
-def input_bytes(df: DataFrame) -> int | None:
-    """Size of the tables ``df`` reads; None when the session hides it.
+_FOLDERS: list[str] = []
 
-    An upper bound for a lookup, which holds at most one row per key. The
-    optimizer's own figure for a plan with joins multiplies its inputs.
-    """
-    try:
-        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-        return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-    except Exception:  # a remote session has no JVM handle
-        return None
 
+def _files(spark: SparkSession, folder: str):
+    """File system of a folder, and its path there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
 
-def _as_bytes(text: str) -> int:
-    units = {"k": 10, "kb": 10, "m": 20, "mb": 20, "g": 30, "gb": 30, "b": 0, "": 0}
-    text = text.strip().lower()
-    digits = text.rstrip("bkmg")
-    return int(digits) << units[text[len(digits):]]
 
+def drop_folders(spark: SparkSession) -> int:
+    """Delete every folder handed out so far; tables staged in them can no longer be read. Returns how many there were."""
+    dropped = 0
+    while _FOLDERS:
+        files, path = _files(spark, _FOLDERS.pop())
+        dropped += bool(files.delete(path, True))
+    return dropped
 
-def broadcast_limit(spark: SparkSession) -> int:
-    return _as_bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760"))
 
+def stage(df: DataFrame, purpose: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back.
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """True when ``df`` is below Spark's own broadcast threshold; unknown counts as large."""
-    size = input_bytes(df)
-    return size is not None and size <= broadcast_limit(df.sparkSession)
+    Unlike ``checkpoint()`` the result is columnar, so later passes read only
+    the columns they use; unlike ``cache()`` it survives lost executors.
+    """
+    folder = new_folder(df.sparkSession, purpose)
+    df.write.mode("errorifexists").parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -19,6 +19,7 @@ HEADLINE = (
     # metrics
     "daily_revenue", "revenue_by_category", "revenue_by_city", "sales_by_category", "revenue_per_product",
     "customer_lifetime_value", "repeat_customers", "top10_customers", "new_vs_returning", "rfm_scores",
+    "rfm_scores_by_cuts", "gold_row_counts", "dash_daily_revenue", "sales_fanout_report", "entity_daily_revenue",
     "payment_success_rate", "delivery_performance", "avg_delivery_time", "daily_revenue_fanout",
     # tables
     "sales_fact", "dedupe_by_key", "dedupe_rows", "silver_clean", "decode_typed", "decode_inferred", "jsonl_encode",

@@ -40,13 +40,13 @@ def entity_tables(spark, folder: str) -> dict[str, DataFrame]:
     ships = retail.shipping.attach(["courier"]).df
     return {
         "orders": sold.select(
-            text("order_id"), text("customer_id"), text("product_id"), "quantity", (F.col("amount_cents") / 100).alias("amount"),
+            text("order_id"), text("customer_id"), text("product_id"), F.col("quantity").cast("double").alias("quantity"), F.col("exact_amount").cast("double").alias("amount"),
             "city", "state", F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss").alias("event_time"),
         ),
         "customers": retail.customers.select(text("customer_id"), "name", "gender", "city"),
         "products": retail.products.select(text("product_id"), "product_name", "category", "brand", "price"),
         "payments": retail.payments.df.select(
-            text("payment_id"), text("order_id"), "payment_method", "payment_status", (F.col("amount_cents") / 100).alias("amount"),
+            text("payment_id"), text("order_id"), "payment_method", "payment_status", F.col("exact_amount").cast("double").alias("amount"),
         ),
         "shipping": ships.select(text("order_id"), "courier", status, "message_date"),
     }

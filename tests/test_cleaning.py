@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from basketry.contracts import CONTRACTS, ORDER_PREVIEW, PAYMENT_METHOD_SPELLINGS
 from basketry.functions.columns import (
-    cents, discounted_cents, mean_money, padded_id, percent, rounded_ratio, to_event_date, to_event_timestamp,
+    discounted, exact, mean_money, money, padded_id, percent, rounded_ratio, to_event_date, to_event_timestamp,
 )
 from basketry.operators import cleaning
 from basketry.operators.decode import (
@@ -122,7 +122,7 @@ def test_schema_merges_all_records(spark):
     df = lines(spark, '{"a": 1, "b": null}', '{"a": 2.5, "c": "x"}', '{"b": {"d": [1]}}', "junk", None)
     schema = infer_schema(df)
     assert {f.name: f.dataType.simpleString() for f in schema.fields} == {
-        "a": "double", "b": "struct<d:array<bigint>>", "c": "string"
+        "a": "decimal(21,1)", "b": "struct<d:array<bigint>>", "c": "string"
     }
     assert decode_inferred(df).columns == ["a", "b", "c", "kafka_timestamp"]
 
@@ -131,7 +131,14 @@ def test_null_fields_become_text_and_empty_tables_do_not_fail(spark):
     assert infer_schema(lines(spark, '{"a": null}')).fields[0].dataType == T.StringType()
     assert infer_schema(lines(spark).limit(0)).fields == []
     assert decode_inferred(lines(spark, "junk")).columns == ["kafka_timestamp"]
-    assert spark_type("OBJECT<a: DECIMAL(21,1), b: VOID>") == "STRUCT<a: DOUBLE, b: STRING>"
+    assert spark_type("OBJECT<a: DECIMAL(21,1), b: VOID>") == T.DataType.fromDDL("STRUCT<a: DECIMAL(21,1), b: STRING>")
+
+
+def test_inferred_types_keep_names_and_decimals(spark):
+    kind = spark_type("OBJECT<VOID: DECIMAL(3,1), `a VARIANT`: VARIANT, b: ARRAY<VOID>, c: OBJECT<d: BIGINT>>")
+    assert kind == T.StructType([
+        T.StructField("VOID", T.DecimalType(3, 1)), T.StructField("a VARIANT", T.StringType()),
+        T.StructField("b", T.ArrayType(T.StringType())), T.StructField("c", T.StructType([T.StructField("d", T.LongType())]))])
 
 
 def test_drift_report_and_unreadable_rows(spark):
@@ -143,12 +150,18 @@ def test_drift_report_and_unreadable_rows(spark):
 # ----- numbers -------------------------------------------------------------------------------
 
 
-def test_money_helpers_round_half_up_exactly(spark):
-    df = spark.createDataFrame([(10.05, 50), (0.5, 1), (-0.29, 10)], "price double, d int")
-    assert [r[0] for r in df.select(cents(F.col("price"))).collect()] == [1005, 50, -29]
-    assert [r[0] for r in df.where("price > 0").select(discounted_cents(F.col("price"), F.col("d"))).collect()] == [503, 50]
+def test_sums_are_exact_and_rounded_once(spark):
+    df = spark.createDataFrame([(10.05, 0.5), (0.5, 0.01), (-0.29, 0.1), (10.005, 0.075), (1.5, None)], "price double, d double")
+    assert [float(r[0]) for r in df.select(exact(F.col("price"))).collect()] == [10.05, 0.5, -0.29, 10.005, 1.5]
+    less = [r[0] for r in df.select(discounted(F.col("price"), F.col("d"))).collect()]
+    assert [None if v is None else float(v) for v in less] == [5.025, 0.495, -0.261, 9.254625, None]
+    assert df.select(money(F.sum(discounted(F.col("price"), F.col("d"))))).first()[0] == 14.51  # by rows: 5.03 + 0.50 - 0.26 + 9.25
+    halves = spark.createDataFrame([(0.005,), (-0.005,), (0.0049,)], "v double").select(money(exact(F.col("v"))))
+    assert [r[0] for r in halves.collect()] == [0.01, -0.01, 0.0]
     one = spark.createDataFrame([(5, 2, 0), (-5, 2, 0), (1, 3, 0)], "s bigint, n bigint, z bigint")
-    assert [r[0] for r in one.select(mean_money(F.col("s"), F.col("n"))).collect()] == [0.03, -0.03, 0.0]
+    total = (F.col("s") / 100).cast("decimal(38,12)")
+    assert [r[0] for r in one.select(mean_money(total, F.col("n"))).collect()] == [0.03, -0.03, 0.0]
+    assert [r[0] for r in one.select(mean_money(total, F.col("z"))).collect()] == [None] * 3
     assert [r[0] for r in one.select(rounded_ratio(F.col("s"), F.col("z"), 2)).collect()] == [None] * 3
     assert [r[0] for r in one.select(percent(F.col("s"), F.col("n"))).collect()] == [250.0, -250.0, 33.33]
 

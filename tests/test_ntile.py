@@ -29,6 +29,7 @@ def cases():
     yield "ties", [(i, rng.choice([1, 1, 1, 2])) for i in range(301)]
     yield "all equal", [(i, 42) for i in range(100)]
     yield "one outlier", [(i, i % 5) for i in range(200)] + [(999, 10**15)]
+    yield "widest", [(i, (-(1 << 63) + 1 + i) if i % 2 else (1 << 63) - 1 - i) for i in range(60)]
     yield "nulls", [(i, None if i % 3 else i) for i in range(100)]
     yield "only nulls", [(i, None) for i in range(10)]
     yield "negative", [(i, rng.randrange(-1000, 1000)) for i in range(250)]
@@ -41,14 +42,13 @@ def cases():
 def test_cut_points_give_exact_tiles(spark, name, data, tiles):
     df = spark.createDataFrame(data, "id long, v long")
     want = expected(data, tiles)
-    for window_rows in (-1, 1000):
-        got = add_ntiles(df, {"t": "v"}, "id", tiles, window_rows)
-        assert {r["id"]: r["t"] for r in got.collect()} == want
+    got = add_ntiles(df, {"t": "v"}, "id", tiles)
+    assert {r["id"]: r["t"] for r in got.collect()} == want
 
 
 def test_large_path_has_no_single_partition_window(spark):
     df = stage(spark.createDataFrame([(i, i * 7 % 11) for i in range(100)], "id long, v long"), "t")
-    plan = add_ntiles(df, {"t": "v"}, "id", 3, -1)._jdf.queryExecution().executedPlan().toString()
+    plan = add_ntiles(df, {"t": "v"}, "id", 3)._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan and "Window" not in plan
 
 

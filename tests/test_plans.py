@@ -64,8 +64,8 @@ def test_order_attributes_are_grouped_after_the_order_rollup(retail):
     for name in ("daily_revenue", "customer_lifetime_value", "top_customers", "revenue_by_city"):
         text = plan(metric(name, retail))
         assert "count(distinct" not in text
-        join, rollup = text.index("Join [order_id"), text.index("partial_sum(amount_cents")
-        assert join < rollup or text.count("partial_sum(amount_cents") > 1
+        join, rollup = text.index("Join [order_id"), text.index("partial_sum(exact_amount")
+        assert join < rollup or text.count("partial_sum(exact_amount") > 1
 
 
 def test_partial_aggregation_everywhere(retail):
@@ -103,14 +103,14 @@ def test_large_lookups_are_never_broadcast(spark, monkeypatch):
             df = metric(name, retail)
             hinted = re.findall(r"BroadcastHashJoin \[(\w+)#", plan(df))
             assert all(key in ("product_id", "order_id", "customer_id") for key in hinted)
-            assert plan(df).count("BroadcastExchange") <= plan(df).count("Scan ExistingRDD")  # salts only
+            assert plan(df).count("BroadcastExchange") <= plan(df).count("hot-keys-")  # salts only
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_hot_keys_come_from_a_sample(spark):
     df = spark.range(400_000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"))
-    [(key, rows_seen)] = hot_keys(df, "k", 50_000)
+    [(key, rows_seen)] = hot_keys(df, "k", 50_000).collect()
     assert key == 0 and abs(rows_seen - 133_334) < 15_000
     sampled = df.select("k").sample(fraction=0.02, seed=1)
     assert sampled.count() < 10_000
