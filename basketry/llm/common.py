@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +20,17 @@ def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def ranges(*columns: pa.Array, most: int = 1 << 21) -> Iterator[tuple[int, int]]:
+    """Runs of rows whose texts have about ``most`` bytes together, so that the arrays made of them stay small."""
+    sizes = sum(pc.fill_null(pc.binary_length(c), 0).to_numpy(zero_copy_only=False).astype(np.int64) for c in columns)
+    ends = np.cumsum(sizes)
+    at = 0
+    while at < len(ends):
+        end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, side="right")))
+        yield at, end
+        at = end
+
+
 def strings(values: pa.Array) -> list[str]:
     """An Arrow text column as Python strings, empty for nulls."""
     return [v or "" for v in values.to_pylist()]

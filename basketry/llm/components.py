@@ -2,7 +2,7 @@
 
 Every step is a minimum per vertex (combined before the shuffle) and a join of the
 edges with those minima, so a vertex with very many edges is never gathered. Steps
-are cut by written tables; the loop ends when a round leaves the edges as they were.
+are cut by written tables; the loop ends when the edges are stars around the least node of each component.
 """
 
 from __future__ import annotations
@@ -29,9 +29,13 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return stage(out.where("u > v").distinct(), "star-edges")
 
 
-def _state(edges: DataFrame) -> tuple:
-    """Edge count and an order-free digest."""
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _are_stars(edges: DataFrame) -> bool:
+    """True if every node is either a root or has one edge, to a root."""
+    ends = edges.select(F.explode(F.array(
+        F.struct(F.col("u").alias("node"), F.lit(1).alias("child"), F.lit(0).alias("root")),
+        F.struct(F.col("v").alias("node"), F.lit(0).alias("child"), F.lit(1).alias("root")))).alias("e")).select("e.*")
+    wrong = ends.groupBy("node").agg(F.sum("child").alias("child"), F.max("root").alias("root")).where("child + root > 1")
+    return wrong.isEmpty()
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -41,8 +45,6 @@ def connected(edges: DataFrame) -> DataFrame:
     """
     edges = stage(
         edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    before, now = None, _state(edges)
-    while before != now:
+    while not _are_stars(edges):
         edges = _star(_star(edges, large=True), large=False)
-        before, now = now, _state(edges)
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))

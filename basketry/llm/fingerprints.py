@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import strings, whole_text
+from basketry.llm.common import ranges, strings, whole_text
 from basketry.llm.neardup import Likeness, near_duplicates
 from basketry.llm.tokens import U64, groups
 
@@ -84,7 +84,7 @@ def fingerprint(text: Column) -> Column:
 
     @F.arrow_udf("string")
     def run(column: pa.Array) -> pa.Array:
-        return pa.array(fingerprints(strings(column)), pa.string())
+        return pa.array([f for a, b in ranges(column) for f in fingerprints(strings(column[a:b]))], pa.string())
 
     return run(text)
 

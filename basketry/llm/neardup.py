@@ -1,11 +1,9 @@
 """Near-duplicate groups from MinHash signatures: bands, exact Jaccard, components.
 
 Documents with equal shingle sets are one node from the start. Nodes whose band
-hashes agree meet in buckets. No bucket is expanded into all its pairs: in each
-round every bucket compares its members with a few pivots, links that hold join
-components, and a bucket whose members are in one component is done. Pivots
-grow fourfold a round until every pair of different components has been seen,
-so the result does not depend on the order of the rounds. A link holds when
+hashes agree meet in buckets. No large bucket is expanded into all its pairs: its members
+are compared with one of them, and only pairs that can still be linked after that, and are not in one
+component by then, are compared (see ``_resolve``); none that can is left out. A link holds when
 the whole shingle sets meet the threshold.
 
 Defined results: null or empty text has no shingles, is linked with nothing and is
@@ -25,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import strings, whole_text, with_ids
+from basketry.llm.common import ranges, strings, whole_text, with_ids
 from basketry.llm.components import connected
 from basketry.llm.tokens import SPACES, U64, byte_table, distinct, mix, shingles, sums, word_hashes
 from basketry.session import stage
@@ -36,6 +34,8 @@ Signer = Callable[[np.ndarray, np.ndarray, int], np.ndarray]
 MISS = 1e-8
 #: Pairs whose estimated similarity is this far below the threshold are not compared: over six standard errors.
 SLACK = 0.2
+#: Buckets of at most so many members compare them all.
+SMALL = 16
 
 
 @dataclass(frozen=True)
@@ -82,24 +82,28 @@ def features(text: Column, like: Likeness, signer: Signer) -> Column:
 
     @F.arrow_udf("n long, k1 long, k2 long, bands array<long>, sig binary")
     def run(column: pa.Array) -> pa.Array:
-        values, offsets = like.sets(strings(column))
-        sizes = np.diff(offsets)
-        coords = signer(values, offsets, rows * bands)
-        hashes = band_hashes(coords, rows, bands)
-        full = sizes > 0
-        ends = np.concatenate([[0], np.cumsum(full * bands)]).astype(np.int32)
-        low = (coords & np.uint32(255)).astype(np.uint8)
-        return pa.StructArray.from_arrays([
-            pa.array(sizes, pa.int64()),
-            pa.array(sums(mix(values), offsets).view(np.int64)),
-            pa.array(sums(mix(values ^ U64(0x5851F42D4C957F2D)), offsets).view(np.int64)),
-            pa.ListArray.from_arrays(ends, pa.array(hashes[full].ravel())),
-            pa.array([s.tobytes() if f else None for s, f in zip(low, full)], pa.binary()),
-        ], fields=list(FEATURES))
+        parts = [_features(like, signer, rows, bands, strings(column[a:b])) for a, b in ranges(column)]
+        return pa.concat_arrays(parts) if parts else pa.array([], FEATURES)
 
     return run(text)
 
 
+def _features(like: Likeness, signer: Signer, rows: int, bands: int, texts: list[str]) -> pa.StructArray:
+    values, offsets = like.sets(texts)
+    sizes = np.diff(offsets)
+    coords = signer(values, offsets, rows * bands)
+    full = sizes > 0
+    ends = np.concatenate([[0], np.cumsum(full * bands)]).astype(np.int32)
+    low = (coords & np.uint32(255)).astype(np.uint8)
+    return pa.StructArray.from_arrays([
+        pa.array(sizes, pa.int64()),
+        pa.array(sums(mix(values), offsets).view(np.int64)),
+        pa.array(sums(mix(values ^ U64(0x5851F42D4C957F2D)), offsets).view(np.int64)),
+        pa.ListArray.from_arrays(ends, pa.array(band_hashes(coords, rows, bands)[full].ravel())),
+        pa.array([s.tobytes() if f else None for s, f in zip(low, full)], pa.binary()),
+    ], fields=list(FEATURES))
+
+
 def _agreement(a: Column, b: Column) -> Column:
     """Share of equal bytes of two signatures."""
 
@@ -111,30 +115,41 @@ def _agreement(a: Column, b: Column) -> Column:
     return run(a, b)
 
 
-def _holds(a: Column, b: Column, like: Likeness) -> Column:
-    """Whether the shingle sets of two texts meet the threshold."""
+PROFILE_DDL = "linked boolean, n long, common long, own array<long>"
+
 
-    @F.arrow_udf("boolean")
+def _profile(a: Column, b: Column, like: Likeness) -> Column:
+    """Of texts a and b: whether they are linked, the size of b's set, its share with a's, and what b alone has."""
+
+    @F.arrow_udf(PROFILE_DDL)
     def run(x: pa.Array, y: pa.Array) -> pa.Array:
-        (u, p), (v, q) = like.sets(strings(x)), like.sets(strings(y))
-        out = []
-        for i in range(len(x)):
-            one, two = u[p[i]:p[i + 1]], v[q[i]:q[i + 1]]
-            both = len(np.intersect1d(one, two, assume_unique=True))
-            out.append(100 * both >= like.percent * (len(one) + len(two) - both))
-        return pa.array(out, pa.bool_())
+        linked, sizes, common, own = [], [], [], []
+        for lo, hi in ranges(x, y):
+            (u, p), (v, q) = like.sets(strings(x[lo:hi])), like.sets(strings(y[lo:hi]))
+            for i in range(hi - lo):
+                one, two = u[p[i]:p[i + 1]], v[q[i]:q[i + 1]]
+                alone = two[~np.isin(two, one, assume_unique=True)]
+                both = len(two) - len(alone)
+                linked.append(100 * both >= like.percent * (len(one) + len(two) - both))
+                sizes.append(len(two))
+                common.append(both)
+                own.append(alone.view(np.int64))
+        ends = np.concatenate([[0], np.cumsum([len(o) for o in own])]).astype(np.int32)
+        flat = np.concatenate([np.zeros(0, np.int64), *own])
+        return pa.StructArray.from_arrays(
+            [pa.array(linked, pa.bool_()), pa.array(sizes, pa.int64()), pa.array(common, pa.int64()), pa.ListArray.from_arrays(ends, pa.array(flat))],
+            names=["linked", "n", "common", "own"])
 
     return run(a, b)
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, like: Likeness) -> DataFrame:
-    """The pairs (a, b) of ids whose texts are linked."""
-    ids = stage(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "pair-ids")
+def _met(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (a, b) of ids with their texts."""
+    ids = stage(pairs.select("a").unionAll(pairs.select("b")).withColumnRenamed("a", "doc_id").distinct(), "pair-ids")
     texts = with_ids(docs.select("doc_id", whole_text().alias("text")), ids, "left_semi")
     one = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     two = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    met = pairs.select("a", "b").join(one, "a").join(two, "b")
-    return met.where(_holds(F.col("text_a"), F.col("text_b"), like)).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    return pairs.select("a", "b").join(one, "a").join(two, "b")
 
 
 class _Links:
@@ -151,9 +166,19 @@ class _Links:
         labels = self.labels.select(F.col("node").alias(node), F.col("component").alias("_c"))
         return rows.join(labels, node, "left").withColumn(to, F.coalesce("_c", node)).drop("_c")
 
-    def add(self, pairs: DataFrame) -> None:
+    def profiles(self, pairs: DataFrame) -> DataFrame:
+        """a, b and the profile of b's text beside a's, for pairs of ids; a written table."""
+        met = _met(pairs, self.docs).select("a", "b", _profile(F.col("text_a"), F.col("text_b"), self.like).alias("p"))
+        return stage(met.select("a", "b", "p.*"), "profiles")
+
+    def compare(self, pairs: DataFrame) -> None:
         """Compare the pairs and join the components of those that hold."""
-        found = stage(_verified(pairs, self.docs, self.like), "links")
+        met = _met(pairs, self.docs)
+        self.add(met.where(_profile(F.col("text_a"), F.col("text_b"), self.like)["linked"]))
+
+    def add(self, pairs: DataFrame) -> None:
+        """Join the components of linked pairs (a, b)."""
+        found = stage(pairs.select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
         if self.labels is not None:
             found = found.unionByName(self.labels.select(F.col("node").alias("u"), F.col("component").alias("v")))
         self.labels = stage(connected(found), "labels")
@@ -163,35 +188,87 @@ class _Links:
         return self.of(self.of(pairs, "a", "_x"), "b", "_y").where("_x <> _y").drop("_x", "_y")
 
 
-def _compare(nodes: DataFrame, members: DataFrame, links: _Links) -> None:
-    """Rounds of pivots over the buckets until each holds one component."""
-    slots = 1
+def _check(nodes: DataFrame, pairs: DataFrame, links: _Links) -> None:
+    """Compare distinct pairs (a, b) of nodes whose sizes and signatures allow a link: first each b with its likeliest a."""
+    one = nodes.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("sig").alias("sig_a"))
+    two = nodes.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("sig").alias("sig_b"))
+    percent = links.like.percent
+    near = (pairs.join(one, "a").join(two, "b")
+            .where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
+            .select("a", "b", _agreement(F.col("sig_a"), F.col("sig_b")).alias("est"))
+            .where(F.col("est") >= percent / 100 - SLACK))
+    near = stage(near, "candidates")
+    if near.isEmpty():
+        return
+    links.compare(near.groupBy("b").agg(F.max(F.struct("est", "a")).alias("p")).select("p.a", "b"))
+    rest = stage(links.apart(near.select("a", "b")), "rest")
+    if not rest.isEmpty():
+        links.compare(rest)
+
+
+def _open(members: DataFrame, links: _Links) -> DataFrame:
+    """Members (bucket, node) of buckets with several components: adds comp and size; a written table."""
+    rows = links.of(members, "node", "comp")
+    ends = rows.groupBy("bucket").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    open_ = stage(ends.where("lo <> hi").select("bucket", "size"), "open")
+    return stage(rows.join(open_, "bucket"), "members")
+
+
+def _ordered(a: str, b: str) -> list[Column]:
+    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
+
+def _resolve(nodes: DataFrame, members: DataFrame, links: _Links) -> None:
+    """Find all links between members (bucket, node) of a bucket.
+
+    Small buckets compare all their members. A large one compares them with its centre c, the member that meets the most
+    others. Two members x and y without a common shingle outside of c share at most min(|x & c|, |y & c|) shingles, which
+    with the sizes bounds their similarity: pairs that the bound allows are compared, by groups of equal profile (size, shared with c), and
+    members with a common shingle outside of c make the buckets of the next level.
+    """
     while True:
-        rows = links.of(members, "node", "comp")
-        open_ = stage(rows.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("bucket"), "open")
-        members = stage(rows.join(open_, "bucket").select("bucket", "node", "comp"), "members")
+        members = _open(members, links)
         if members.isEmpty():
             return
-        slot = F.pmod(F.xxhash64("node", F.lit(slots)), F.lit(slots))
-        pivots = stage(members.groupBy("bucket", slot.alias("slot")).agg(F.min(F.struct("node", "comp")).alias("p"))
-                       .select("bucket", F.col("p.node").alias("pivot"), F.col("p.comp").alias("pivot_comp")), "pivots")
-        pairs = members.join(pivots, "bucket").where("comp <> pivot_comp").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-        one = nodes.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("sig").alias("sig_a"))
-        two = nodes.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("sig").alias("sig_b"))
-        percent = links.like.percent
-        near = (pairs.join(one, "a").join(two, "b")
-                .where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
-                .select("a", "b", _agreement(F.col("sig_a"), F.col("sig_b")).alias("est"))
-                .where(F.col("est") >= percent / 100 - SLACK))
-        near = stage(near, "candidates")
-        if not near.isEmpty():
-            links.add(near.groupBy("b").agg(F.max(F.struct("est", "a")).alias("p")).select("p.a", "b"))
-            rest = stage(links.apart(near.select("a", "b")), "rest")
-            if not rest.isEmpty():
-                links.add(rest)
-        # every pair with a pivot has been seen
-        members = members.join(pivots.select("bucket", F.col("pivot").alias("node")), ["bucket", "node"], "left_anti").select("bucket", "node")
-        slots *= 4
+        small = members.where(F.col("size") <= SMALL)
+        one, two = small.select("bucket", F.col("node").alias("x"), F.col("comp").alias("cx")), small.select("bucket", F.col("node").alias("y"), F.col("comp").alias("cy"))
+        _check(nodes, one.join(two, "bucket").where("x < y AND cx <> cy").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), links)
+
+        large = members.where(F.col("size") > SMALL).select("bucket", "node", "size")
+        if large.isEmpty():
+            return
+        degree = stage(large.groupBy("node").agg(F.sum("size").alias("degree")), "degrees")
+        centre = large.join(degree, "node").groupBy("bucket").agg(F.max(F.struct("degree", (-F.col("node")).alias("last"))).alias("top"))
+        centre = stage(centre.select("bucket", (-F.col("top.last")).alias("a")), "centres")
+        around = large.join(centre, "bucket").where("node <> a").select("a", F.col("node").alias("b")).distinct()
+        profiles = links.profiles(stage(around, "around"))
+        links.add(profiles.where("linked"))
+
+        rows = stage(links.of(profiles.drop("linked"), "b", "comp"), "profile-rows")
+        _check(nodes, _allowed(rows, links.like.percent), links)
+        members = _own_buckets(rows)
+
+
+def _own_buckets(rows: DataFrame) -> DataFrame:
+    """Members by the shingles they have outside of their centre."""
+    return rows.select("a", F.col("b").alias("node"), F.explode("own").alias("shingle")).select(
+        F.xxhash64("a", "shingle").alias("bucket"), "node")
+
+
+def _allowed(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs around one centre, of different components, that the bound allows to be linked."""
+    groups_ = stage(rows.groupBy("a", "n", "common").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")), "profile-groups")
+    one, two = (groups_.select("a", *[F.col(c).alias(f"{c}_{i}") for c in ("n", "common", "lo", "hi")]) for i in (1, 2))
+    least = F.least("common_1", "common_2")
+    # each pair of groups once, the smaller profile first; groups that are in one and the same component need nothing
+    once = (F.col("n_1") < F.col("n_2")) | ((F.col("n_1") == F.col("n_2")) & (F.col("common_1") <= F.col("common_2")))
+    apart = (F.least("lo_1", "lo_2") != F.greatest("hi_1", "hi_2"))
+    fits = (100 + percent) * least >= percent * (F.col("n_1") + F.col("n_2"))
+    pairs = stage(one.join(two, "a").where(once & apart & fits).select("a", "n_1", "common_1", "n_2", "common_2"), "profile-pairs")
+    x = rows.select("a", F.col("n").alias("n_1"), F.col("common").alias("common_1"), F.col("b").alias("x"), F.col("comp").alias("cx"))
+    y = rows.select("a", F.col("n").alias("n_2"), F.col("common").alias("common_2"), F.col("b").alias("y"), F.col("comp").alias("cy"))
+    met = pairs.join(x, ["a", "n_1", "common_1"]).join(y, ["a", "n_2", "common_2"]).where("cx <> cy")
+    return met.select(*_ordered("x", "y")).distinct()
 
 
 def near_duplicates(docs: DataFrame, signer: Signer, like: Likeness = Likeness()) -> DataFrame:
@@ -202,9 +279,9 @@ def near_duplicates(docs: DataFrame, signer: Signer, like: Likeness = Likeness()
     nodes = stage(found.join(firsts, ["doc_id", "k1", "k2"], "left_semi").dropDuplicates(["doc_id", "k1", "k2"])
                   .select(F.col("doc_id").alias("node"), "n", "bands", "sig"), "nodes")
     buckets = nodes.select("node", F.explode("bands").alias("bucket"))
-    shared = stage(buckets.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1").select("bucket"), "shared-buckets")
+    shared = stage(buckets.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1").select("bucket"), "shared-buckets")
     links = _Links(docs, like)
-    _compare(nodes, stage(buckets.join(shared, "bucket").select("bucket", "node"), "bucket-members"), links)
+    _resolve(nodes, stage(buckets.join(shared, "bucket"), "bucket-members"), links)
     groups = stage(links.of(sets, "node", "component_id").select("k1", "k2", "component_id"), "groups")
     out = found.select("doc_id", F.col("n").alias("n_shingles"), "k1", "k2").join(groups, ["k1", "k2"], "left")
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
