@@ -28,12 +28,12 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from basketry.llm.common import strings, structs
+from basketry.llm.common import ranges, strings, structs
 
 MARK = "▁"
 CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
 #: Distinct chunks a task remembers between batches; beyond it the table starts anew (no effect on results).
-REMEMBERED = 800_000
+REMEMBERED = 300_000
 #: Characters taken up at once.
 GROUP = 1 << 18
 
@@ -127,14 +127,22 @@ def digest(text: Column, model: str) -> Column:
     return run(text)
 
 
+def _lists(rows: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
+    return pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.zeros(0, np.int32), *rows])))
+
+
+def _numbers(joined: str) -> np.ndarray:
+    return np.fromstring(joined, np.int32, sep=",")
+
+
 def encode(text: Column, model: str) -> Column:
     """Array of ids."""
 
     @F.arrow_udf("array<int>")
     def run(column: pa.Array) -> pa.Array:
-        rows = [np.fromstring(joined, np.int32, sep=",") for joined in codec(model).encode(strings(column))]
-        ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
-        return pa.ListArray.from_arrays(ends, pa.array(np.concatenate([np.zeros(0, np.int32), *rows])))
+        own = codec(model)
+        return _lists([_numbers(j) for a, b in ranges(column) for j in own.encode(strings(column[a:b]))])
 
     return run(text)
 
@@ -145,6 +153,23 @@ def decode(ids: Column, model: str) -> Column:
     @F.arrow_udf("string")
     def run(column: pa.Array) -> pa.Array:
         library = codec(model).model
-        return pa.array([library.decode(v) if v else "" for v in column.to_pylist()], pa.string())
+        rows = (column[i].values for i in range(len(column)))  # one row's numbers as Python objects at a time
+        return pa.array([library.decode(v.to_pylist()) if v is not None and len(v) else "" for v in rows], pa.string())
 
     return run(ids)
+
+
+def round_trip(text: Column, model: str) -> Column:
+    """Struct of the ids and whether they decode to the text."""
+
+    @F.arrow_udf("ids array<int>, decodes boolean")
+    def run(column: pa.Array) -> pa.Array:
+        own, rows, same = codec(model), [], []
+        for a, b in ranges(column):
+            texts = strings(column[a:b])
+            for given, joined in zip(texts, own.encode(texts)):
+                rows.append(_numbers(joined))
+                same.append(own.decode(joined) == given.encode())
+        return pa.StructArray.from_arrays([_lists(rows), pa.array(same, pa.bool_())], names=["ids", "decodes"])
+
+    return run(text)

@@ -57,10 +57,8 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All columns but the text, which becomes ids; n_tokens; and whether the ids decode to the text."""
     rest = [c for c in docs.columns if c not in ("text", "ids", "n_tokens", "decodes")]
-    ids = docs.select(*rest, "text", pieces.encode(F.col("text"), piece_model()).alias("ids"))
-    text = F.coalesce(F.col("text"), F.lit(""))
-    return ids.select(*rest, "ids", F.size("ids").cast("long").alias("n_tokens"),
-                      (pieces.decode(F.col("ids"), piece_model()) == text).alias("decodes"))
+    coded = docs.select(F.struct(F.lit(0).alias("_"), *rest).alias("row"), pieces.round_trip(F.col("text"), piece_model()).alias("code"))
+    return coded.select(*[F.col("row")[c].alias(c) for c in rest], "code.ids", F.size("code.ids").cast("long").alias("n_tokens"), "code.decodes")
 
 
 STAGES = [
