@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm.anchors import WIDTH, leading, segments, substring_hashes
-from basketry.llm.common import strings, whole_text, with_ids
+from basketry.llm.common import ranges, strings, whole_text, with_ids
 from basketry.llm.tokens import U64, mix, prefix_hashes
 from basketry.session import stage
 
@@ -159,11 +159,15 @@ def _distinct(data: bytes) -> tuple[list[np.ndarray], list[np.ndarray]]:
 def _parts(text: Column) -> Column:
     @F.arrow_udf(PARTS_DDL)
     def run(column: pa.Array) -> pa.Array:
-        data = [t.encode() for t in strings(column)]
-        found = [_distinct(d) for d in data]
+        sizes, shas, found = [], [], []
+        for a, b in ranges(column):
+            for text in strings(column[a:b]):
+                data = text.encode()
+                sizes.append(len(data))
+                shas.append(hashlib.sha256(data).hexdigest())
+                found.append(_distinct(data))
         return pa.StructArray.from_arrays(
-            [pa.array(map(len, data), pa.int64()), pa.array([hashlib.sha256(d).hexdigest() for d in data], pa.string()),
-             _list([f[0] for f in found], SEGMENT), _list([f[1] for f in found], OWN)],
+            [pa.array(sizes, pa.int64()), pa.array(shas, pa.string()), _list([f[0] for f in found], SEGMENT), _list([f[1] for f in found], OWN)],
             names=["n_bytes", "sha", "segments", "own"])
 
     return run(text)
@@ -189,9 +193,10 @@ def _cut(text: Column, open_: Column) -> Column:
     @F.arrow_udf("array<binary>")
     def run(texts: pa.Array, lists: pa.Array) -> pa.Array:
         out = []
-        for text, found in zip(strings(texts), lists.to_pylist()):
-            data = text.encode()
-            out.append([data[s["start"]:s["start"] + s["count"] + WIDTH - 1] for s in found])
+        for a, b in ranges(texts):
+            for text, found in zip(strings(texts[a:b]), lists[a:b].to_pylist()):
+                data = text.encode()
+                out.append([data[s["start"]:s["start"] + s["count"] + WIDTH - 1] for s in found])
         return pa.array(out, pa.list_(pa.binary()))
 
     return run(text, open_)
@@ -273,24 +278,25 @@ def _merged(spans: Column) -> Column:
 
     @F.arrow_udf(MERGED_DDL)
     def run(column: pa.Array) -> pa.Array:
-        runs, sizes, removed = [], [], []
-        for spans in column.to_pylist():
-            rows: list[list[int]] = []
-            for s, e in sorted((x["start"], x["end"] - 1 + WIDTH) for x in spans):
-                if rows and s <= rows[-1][1]:
-                    rows[-1][1] = max(rows[-1][1], e)
-                else:
-                    rows.append([s, e])
-            runs.append([{"start": s, "end": e} for s, e in rows])
-            sizes.append(len(rows))
-            removed.append(sum(e - s for s, e in rows))
-        kind = pa.list_(pa.struct([pa.field(n, t) for n, t in OWN]))
+        at = column.offsets.to_numpy()
+        start, end = (column.values.field(i).to_numpy().astype(np.int64) for i in (0, 1))
+        runs = [_runs(start[a:b], end[a:b] - 1 + WIDTH) for a, b in zip(at[:-1], at[1:])]
+        removed = [int((e - s).sum()) for s, e in runs]
         return pa.StructArray.from_arrays(
-            [pa.array(removed, pa.int64()), pa.array(sizes, pa.int64()), pa.array(runs, kind)], names=["n_removed", "n_spans", "runs"])
+            [pa.array(removed, pa.int64()), pa.array([len(s) for s, _ in runs], pa.int64()), _list(runs, OWN)], names=["n_removed", "n_spans", "runs"])
 
     return run(spans)
 
 
+def _runs(start: np.ndarray, end: np.ndarray) -> list[np.ndarray]:
+    """Intervals merged where they overlap or touch."""
+    order = np.argsort(start, kind="stable")
+    start, reach = start[order], np.maximum.accumulate(end[order])
+    first = np.flatnonzero(np.concatenate([[True], start[1:] > reach[:-1]])) if len(start) else np.zeros(0, np.int64)
+    last = np.concatenate([first[1:], [len(start)]])[:len(first)] - 1
+    return [start[first], reach[last]]
+
+
 def kept_bytes(data: bytes, runs: list[dict]) -> bytes:
     """The bytes outside of the runs."""
     out, at = [], 0
@@ -303,7 +309,9 @@ def kept_bytes(data: bytes, runs: list[dict]) -> bytes:
 def _kept_sha(text: Column, runs: Column) -> Column:
     @F.arrow_udf("string")
     def run(texts: pa.Array, lists: pa.Array) -> pa.Array:
-        return pa.array([hashlib.sha256(kept_bytes(t.encode(), r)).hexdigest() for t, r in zip(strings(texts), lists.to_pylist())], pa.string())
+        return pa.array([
+            hashlib.sha256(kept_bytes(t.encode(), r)).hexdigest()
+            for a, b in ranges(texts) for t, r in zip(strings(texts[a:b]), lists[a:b].to_pylist())], pa.string())
 
     return run(text, runs)
 
