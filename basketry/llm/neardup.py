@@ -34,8 +34,8 @@ Signer = Callable[[np.ndarray, np.ndarray, int], np.ndarray]
 MISS = 1e-8
 #: Pairs whose estimated similarity is this far below the threshold are not compared: over six standard errors.
 SLACK = 0.2
-#: Buckets of at most so many members compare them all.
-SMALL = 16
+#: Buckets of at most so many members compare them all; four times as many on every further level.
+SMALL = 24
 
 
 @dataclass(frozen=True)
@@ -115,15 +115,15 @@ def _agreement(a: Column, b: Column) -> Column:
     return run(a, b)
 
 
-PROFILE_DDL = "linked boolean, n long, common long, own array<long>"
+PROFILE_DDL = "linked boolean, m long, n long, common long, own array<long>"
 
 
 def _profile(a: Column, b: Column, like: Likeness) -> Column:
-    """Of texts a and b: whether they are linked, the size of b's set, its share with a's, and what b alone has."""
+    """Of texts a and b: whether they are linked, the sizes of their sets and of what they share, and what b alone has."""
 
     @F.arrow_udf(PROFILE_DDL)
     def run(x: pa.Array, y: pa.Array) -> pa.Array:
-        linked, sizes, common, own = [], [], [], []
+        linked, others, sizes, common, own = [], [], [], [], []
         for lo, hi in ranges(x, y):
             (u, p), (v, q) = like.sets(strings(x[lo:hi])), like.sets(strings(y[lo:hi]))
             for i in range(hi - lo):
@@ -131,14 +131,15 @@ def _profile(a: Column, b: Column, like: Likeness) -> Column:
                 alone = two[~np.isin(two, one, assume_unique=True)]
                 both = len(two) - len(alone)
                 linked.append(100 * both >= like.percent * (len(one) + len(two) - both))
+                others.append(len(one))
                 sizes.append(len(two))
                 common.append(both)
                 own.append(alone.view(np.int64))
         ends = np.concatenate([[0], np.cumsum([len(o) for o in own])]).astype(np.int32)
         flat = np.concatenate([np.zeros(0, np.int64), *own])
         return pa.StructArray.from_arrays(
-            [pa.array(linked, pa.bool_()), pa.array(sizes, pa.int64()), pa.array(common, pa.int64()), pa.ListArray.from_arrays(ends, pa.array(flat))],
-            names=["linked", "n", "common", "own"])
+            [pa.array(linked, pa.bool_()), *[pa.array(c, pa.int64()) for c in (others, sizes, common)], pa.ListArray.from_arrays(ends, pa.array(flat))],
+            names=["linked", "m", "n", "common", "own"])
 
     return run(a, b)
 
@@ -207,10 +208,10 @@ def _check(nodes: DataFrame, pairs: DataFrame, links: _Links) -> None:
 
 
 def _open(members: DataFrame, links: _Links) -> DataFrame:
-    """Members (bucket, node) of buckets with several components: adds comp and size; a written table."""
+    """Members (bucket, node, pending) of buckets with several components and pending members: adds comp and size; a written table."""
     rows = links.of(members, "node", "comp")
-    ends = rows.groupBy("bucket").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    open_ = stage(ends.where("lo <> hi").select("bucket", "size"), "open")
+    ends = rows.groupBy("bucket").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max("pending").alias("any"))
+    open_ = stage(ends.where("lo <> hi AND any").select("bucket", "size"), "open")
     return stage(rows.join(open_, "bucket"), "members")
 
 
@@ -223,36 +224,46 @@ def _resolve(nodes: DataFrame, members: DataFrame, links: _Links) -> None:
 
     Small buckets compare all their members. A large one compares them with its centre c, the member that meets the most
     others. Two members x and y without a common shingle outside of c share at most min(|x & c|, |y & c|) shingles, which
-    with the sizes bounds their similarity: pairs that the bound allows are compared, by groups of equal profile (size, shared with c), and
-    members with a common shingle outside of c make the buckets of the next level.
+    with the sizes bounds their similarity. Of the members near c, pairs that the bound allows are compared, by groups of
+    equal profile (size, shared with c), and members with a common shingle outside of c make new buckets.
+    A member far from c stays pending: by the triangle inequality of the Jaccard distance it can be linked only with
+    members at some distance from c, which stay in the bucket for it. From level to level larger buckets count as small,
+    so the levels end.
     """
+    members = members.withColumn("pending", F.lit(True))
+    most, percent = SMALL, links.like.percent
     while True:
         members = _open(members, links)
         if members.isEmpty():
             return
-        small = members.where(F.col("size") <= SMALL)
-        one, two = small.select("bucket", F.col("node").alias("x"), F.col("comp").alias("cx")), small.select("bucket", F.col("node").alias("y"), F.col("comp").alias("cy"))
-        _check(nodes, one.join(two, "bucket").where("x < y AND cx <> cy").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), links)
+        small = members.where(F.col("size") <= most)
+        one = small.where("pending").select("bucket", F.col("node").alias("x"), F.col("comp").alias("cx"))
+        two = small.select("bucket", F.col("node").alias("y"), F.col("comp").alias("cy"))
+        _check(nodes, one.join(two, "bucket").where("cx <> cy").select(*_ordered("x", "y")).distinct(), links)
 
-        large = members.where(F.col("size") > SMALL).select("bucket", "node", "size")
+        large = members.where(F.col("size") > most).select("bucket", "node", "size", "pending")
+        most *= 4
         if large.isEmpty():
             return
         degree = stage(large.groupBy("node").agg(F.sum("size").alias("degree")), "degrees")
-        centre = large.join(degree, "node").groupBy("bucket").agg(F.max(F.struct("degree", (-F.col("node")).alias("last"))).alias("top"))
-        centre = stage(centre.select("bucket", (-F.col("top.last")).alias("a")), "centres")
-        around = large.join(centre, "bucket").where("node <> a").select("a", F.col("node").alias("b")).distinct()
-        profiles = links.profiles(stage(around, "around"))
+        top = F.max(F.struct("degree", (-F.col("node")).alias("last")))
+        centre = large.where("pending").join(degree, "node").groupBy("bucket").agg(top.alias("top")).select("bucket", (-F.col("top.last")).alias("a"))
+        around = stage(large.join(stage(centre, "centres"), "bucket").where("node <> a").select("bucket", "a", F.col("node").alias("b"), "pending"), "around")
+        profiles = links.profiles(stage(around.select("a", "b").distinct(), "around-pairs"))
         links.add(profiles.where("linked"))
 
-        rows = stage(links.of(profiles.drop("linked"), "b", "comp"), "profile-rows")
-        _check(nodes, _allowed(rows, links.like.percent), links)
-        members = _own_buckets(rows)
+        alike = 100 * F.col("common") / (F.col("m") + F.col("n") - F.col("common"))
+        near = stage(links.of(profiles.where(alike >= percent - 25).select("a", "b", "n", "common", "own"), "b", "comp"), "profile-rows")
+        _check(nodes, _allowed(near, percent), links)
+        left = around.drop("pending").join(profiles.where(alike < 75).select("a", "b", (alike < percent - 25).alias("far")), ["a", "b"])
+        left = left.select("bucket", F.col("b").alias("node"), F.col("far").alias("pending"))
+        members = left.unionByName(_own_buckets(near))
 
 
 def _own_buckets(rows: DataFrame) -> DataFrame:
     """Members by the shingles they have outside of their centre."""
     return rows.select("a", F.col("b").alias("node"), F.explode("own").alias("shingle")).select(
-        F.xxhash64("a", "shingle").alias("bucket"), "node")
+        F.xxhash64("a", "shingle").alias("bucket"), "node", F.lit(True).alias("pending"))
 
 
 def _allowed(rows: DataFrame, percent: int) -> DataFrame:
