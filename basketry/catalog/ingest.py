@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,8 +18,8 @@ from basketry.plans.roles import STAR_SCHEMAS, StarRetail, read_table
 from basketry.session import new_folder
 from basketry.sources import files
 from basketry.sources.lake import Lake, layer_counts, preview
-from basketry.sources.messages import envelope, publish_stats, to_messages
-from basketry.streaming.ingest import as_topic, folder_stream, land, land_all, parsed
+from basketry.sources.messages import envelope, number_lines, publish_stats, to_messages
+from basketry.streaming.ingest import as_topic, folder_stream, land, land_all, parsed, preview_stream
 
 # ----- messages of the events table ---------------------------------------------------
 
@@ -113,10 +115,8 @@ def _ingest_all_topics(spark, sf):
 
 @query("stream_preview_raw", f"SELECT * FROM ({ENVELOPE_SQL}) ORDER BY \"offset\" LIMIT 50")
 def _stream_preview_raw(spark, sf):
-    """First fifty messages by offset of a landed topic."""
-    lake = Lake(spark, root=new_folder(spark, "preview-raw"))
-    land(lake, event_stream(spark, sf), "raw", f"{lake.root}/checkpoints/raw")
-    return preview(lake.read("raw"), 50, ["offset"])
+    """The first fifty messages to arrive, from the memory sink."""
+    return preview_stream(envelope(event_stream(spark, sf)), f"preview_raw_{uuid.uuid4().hex}", 50)
 
 
 _PARSED_ORDER = ["order_id", "product_id", "quantity", "amount", "event_time"]
@@ -162,7 +162,9 @@ _NO_KEY, _NULL_KEY, _CUT = (q.chosen(0.03, s, "event_id") for s in ("no-key", "n
   CASE WHEN {_NO_KEY} THEN '{{' || {_REST_SQL} WHEN {_NULL_KEY} THEN '{{"event_id":null,' || {_REST_SQL} ELSE '{{"event_id":' || event_id || ',' || {_REST_SQL} END AS value,
   'events' AS topic FROM events WHERE {_NO_KEY} OR {_NULL_KEY} OR NOT {_CUT}""")
 def _publish_messages(spark, sf):
-    return to_messages(event_lines(spark, sf).drop("topic"), "events", F.col("event_id"), "event_id")
+    """A line without its key field takes its running number; events are stored in the order of their ids."""
+    numbered = number_lines(event_lines(spark, sf).drop("topic"))
+    return to_messages(numbered, "events", F.col("line"), "event_id")
 
 
 @query("publish_stats", f"""SELECT event_type AS topic, COUNT(*) FILTER ({_NO_KEY} OR {_NULL_KEY} OR NOT {_CUT}) AS published,

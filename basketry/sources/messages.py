@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from basketry.contracts import PRIMARY_KEY
+from basketry.session import stage
 
 
 def broker_options(servers: str, user: str | None = None, password: str | None = None) -> dict[str, str]:
@@ -23,8 +24,12 @@ def broker_options(servers: str, user: str | None = None, password: str | None =
     return options
 
 
-def topic_stream(spark: SparkSession, topics: str, options: dict[str, str], per_batch: int | None = None) -> DataFrame:
-    """Unbounded scan of one topic or a comma separated list, from the first offset."""
+#: Messages of a micro-batch: a run over a long topic commits as it goes.
+PER_BATCH = 10_000_000
+
+
+def topic_stream(spark: SparkSession, topics: str, options: dict[str, str], per_batch: int | None = PER_BATCH) -> DataFrame:
+    """Unbounded scan of one topic or a comma separated list, from the first offset; None takes all at once."""
     reader = (
         spark.readStream.format("kafka").options(**options)
         .option("subscribe", topics).option("startingOffsets", "earliest")
@@ -45,16 +50,16 @@ def envelope(raw: DataFrame) -> DataFrame:
 def number_lines(lines: DataFrame) -> DataFrame:
     """Add ``line``: dense 0-based position in scan order, without gathering the rows.
 
-    Rows are numbered inside their scan partition; partition sizes (one row
-    per partition) are summed up and broadcast.
+    Rows are numbered inside their scan partition and written, so that counting and numbering see the same
+    partitions; the window runs over one row per partition.
     """
     inside = F.monotonically_increasing_id()
-    numbered = lines.withColumns({"__part": F.spark_partition_id(), "__at": inside.bitwiseAND((1 << 33) - 1)})
+    numbered = stage(lines.withColumns({"__part": F.spark_partition_id(), "__at": inside.bitwiseAND((1 << 33) - 1)}), "numbered-lines")
     sizes = numbered.groupBy("__part").agg(F.count(F.lit(1)).alias("rows"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("__part", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("__start"))
     return (
-        numbered.join(F.broadcast(starts), "__part")
+        numbered.join(starts, "__part")
         .withColumn("line", F.col("__start") + F.col("__at")).drop("__part", "__at", "__start")
     )
 

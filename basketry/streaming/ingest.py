@@ -14,8 +14,12 @@ from basketry.sources.lake import Lake
 from basketry.sources.messages import envelope
 
 
-def folder_stream(spark: SparkSession, folder: str, schema: T.StructType | str, files: str = "*", per_batch: int | None = None) -> DataFrame:
-    """Parquet files of a folder as a stream, oldest first: stands in for a topic."""
+#: Files of a micro-batch.
+PER_BATCH = 1_000
+
+
+def folder_stream(spark: SparkSession, folder: str, schema: T.StructType | str, files: str = "*", per_batch: int | None = PER_BATCH) -> DataFrame:
+    """Parquet files of a folder as a stream, oldest first, ``per_batch`` files at a time: stands in for a topic."""
     reader = spark.readStream.schema(schema).option("pathGlobFilter", files)
     if per_batch:
         reader = reader.option("maxFilesPerTrigger", per_batch)
