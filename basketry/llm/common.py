@@ -11,7 +11,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Rows of a batch that goes to a Python worker: texts are long, and a batch is held twice on its way.
+BATCH_ROWS = 1_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Send fewer rows at once to Python workers, for the rest of the session."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(setting)) <= BATCH_ROWS:
+        spark.conf.set(setting, str(BATCH_ROWS))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 

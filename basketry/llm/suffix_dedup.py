@@ -74,9 +74,10 @@ def multikey_order(columns: list[np.ndarray]) -> np.ndarray:
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One range: rows in order with what they share with their neighbours."""
-    table = pa.Table.from_batches(batches)
-    if not len(table):
+    held = [b for b in batches if len(b)]
+    if not held:
         return
+    table = pa.Table.from_batches(held)
     lead, one, two = (table.column(c).to_numpy() for c in ("lead", "k1", "k2"))
     order = multikey_order([lead, one, two])
     lead, one, two = lead[order], one[order], two[order]

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from basketry.llm import circulant, language_id, pieces, secrets, spaced_seeds
 from basketry.llm.catalog import piece_model
-from basketry.llm.common import with_ids
+from basketry.llm.common import documents, small_batches, with_ids
 from basketry.session import stage
 
 #: SQL has no language model, signatures, structure checks or token merges.
@@ -27,6 +27,7 @@ ORACLE_SQL = None
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with one clear language."""
+    small_batches(spark)
     model = language_id.learn(docs)
     found = docs.select(F.struct(*docs.columns).alias("row"), language_id.predict(F.col("text"), model).alias("language"))
     return found.where((F.col("language.lang_pred") != language_id.UNKNOWN) & ~F.col("language.ambiguous")).select("row.*")
@@ -67,7 +68,7 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents table, each written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = documents(spark, sf_dir)
     for name, function in STAGES:
         docs = stage(function(spark, docs, sf_dir), f"pipeline-{name}")
     return docs
