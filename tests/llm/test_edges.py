@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from fixtures import edge, empty  # noqa: F401
 from basketry.llm import circulant, cotraining, fingerprints, language_id, licenses, pieces, pii, secrets, spaced_seeds, suffix_dedup
 from basketry.llm.catalog import QUERIES, piece_model
 

@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import plain
+from fixtures import docs_of  # noqa: F401
 import pytest
 from pyspark.sql import functions as F
 

@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import plain
+from fixtures import docs_of  # noqa: F401
 import pytest
 
 from basketry.llm import circulant, fingerprints, neardup

@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import plain
+from fixtures import docs_of  # noqa: F401
 from basketry.llm import pieces
 from basketry.llm.catalog import piece_model
 
