@@ -75,5 +75,18 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_secret_scan, op2_license_scan, op3_spaced_seed_decontamination, op4_fingerprints, op5_suffix_dedup, op6_quality_cotraining, op7_circulant_minhash, op8_language_id, op9_personal_data, op10_piece_codec,
 )}
 
-#: DuckDB SQL for the queries that SQL can express.
-SQL: dict[str, str] = {}
+#: DuckDB SQL for the queries that SQL can express: all pairs by shared shingles, groups by reachability.
+_NEAR_COPIES = """WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\\x20\\x09-\\x0D]+'), lambda v: v <> '') AS w FROM documents),
+sets AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+  ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))) END AS s FROM words),
+items AS (SELECT doc_id, unnest(s) AS g FROM sets),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, COUNT(*) AS n FROM items a JOIN items b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT x, y FROM pairs JOIN sets p ON p.doc_id = x JOIN sets q ON q.doc_id = y WHERE 100 * n >= 85 * (len(p.s) + len(q.s) - n)),
+ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT doc_id, doc_id AS r FROM documents UNION SELECT reach.doc_id, ways.y FROM reach JOIN ways ON ways.x = reach.r),
+least AS (SELECT doc_id, MIN(r) AS component_id FROM reach GROUP BY 1)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN least USING (doc_id)"""
+
+SQL: dict[str, str] = {"op7_circulant_minhash": _NEAR_COPIES}

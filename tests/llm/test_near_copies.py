@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import random
 
 import numpy as np
@@ -9,7 +10,7 @@ import plain
 from fixtures import docs_of  # noqa: F401
 import pytest
 
-from basketry.llm import circulant, fingerprints, neardup
+from basketry.llm import catalog, circulant, fingerprints, neardup
 from basketry.llm.components import connected
 from basketry.llm.neardup import Likeness
 from basketry.llm.tokens import SPACES, byte_table, shingles, word_hashes
@@ -40,6 +41,16 @@ def test_groups_equal_all_pairs(docs_of, operator, k, percent):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test tables")
+def test_registered_query_equals_its_sql(spark):
+    duckdb = pytest.importorskip("duckdb")
+    sf = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
+    want = sorted(con.execute(catalog.SQL["op7_circulant_minhash"]).fetchall())
+    assert sorted(map(tuple, catalog.op7_circulant_minhash(spark, sf).collect())) == want
+
+
 def test_a_chain_of_links_needs_several_pivots(docs_of):
     """Neighbours are alike, ends are not: the first pivot links only its neighbours."""
     words = [f"v{i}" for i in range(400)]
