@@ -87,6 +87,28 @@ def test_views_teach_each_other():
         assert ((model.logit(pool) > 0) == (hidden > 0)).mean() > 0.88
 
 
+def test_every_unlabelled_document_may_get_a_pseudo_label(spark, monkeypatch):
+    """Pseudo-labels grow with the pool, rare sources get theirs, and tables give what memory gives."""
+    made = []
+    table = cotraining.Table
+    monkeypatch.setattr(cotraining, "Table", lambda rows: made.append(table(rows)) or made[-1])
+    good, bad = "the plain words of a good text number {} follow. ", "zz$$ {} 0x77 ## "
+    rows = [(i, (good, bad)[i % 2].format(i) * 3, "en", ("a", "b")[i % 2], 40 + i % 2 * 900) for i in range(9000)]
+    rows += [(None, good.format(i) * 3, "xx", "rare", 40) for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    cotraining.learn(docs, spark.createDataFrame([(i, 1 - i % 2) for i in range(400)], "doc_id long, quality int"))
+    [pool] = made
+    assert pool.rows.count() == 8603
+    n = pool.pseudo.where("for_text >= 0").count()
+    assert n >= 4 * int(0.05 * 8603) * 0.9  # of a pool of 4000 it was 800 at most
+    x = [np.stack([np.frombuffer(r[v], np.float16) for r in pool.rows.collect()]).astype(np.float32) for v in ("text", "meta")]
+    block = cotraining.Block(x)
+    for a, b in zip(pool.moments(), block.moments()):
+        assert a[0] == b[0] and np.allclose(a[1], b[1]) and np.allclose(a[2], b[2])
+    models = [cotraining.Linear(np.zeros(w), np.ones(w), np.linspace(-9, 9, w), 0.1) for w in cotraining.WIDTHS]
+    assert sorted(pool.surest([], models)) == sorted(block.surest([], models))
+
+
 # personal data --------------------------------------------------------------------------
 
 
