@@ -5,12 +5,13 @@ checked. They seed a search for identifiers of unknown form (tokens with three
 digits in a row): the one or two words before an entity are its lexical
 pattern; patterns and instances make a graph, scored in rounds:
 
-  pattern  = (sum of the scores of its distinct instances) / (all occurrences of its words in the corpus)
+  pattern  = (sum over its instances of their score times how often they follow it) / (all occurrences of its words in the corpus)
   instance = 1 - product over its patterns of (1 - pattern score); a seed has 1
 
 A pattern counts with SUPPORT distinct instances that already have a score, and a score of
 SURE or more. Instances of such patterns are reported as ``ctx`` wherever they follow one.
 Dividing by all occurrences keeps common words, which stand before anything, from becoming patterns.
+Both counts take every row, so copies of documents change no score.
 
 Positions are code points: matches are marked in the text, the text is split at
 the marks, and lengths of the parts are added up per document.
@@ -72,7 +73,7 @@ def _valid(kind: Column, value: Column) -> Column:
 
 
 def matches(docs: DataFrame) -> DataFrame:
-    """Valid matches of every kind: doc_id, key (hash of the text), kind, start, end, value, before (one or two words)."""
+    """Valid matches of every kind: doc_id, key (hash of the text), times (rows of that id and text), kind, start, end, value, before (one or two words)."""
     text = whole_text()
     kinds = F.array(*[F.struct(F.lit(k).alias("kind"), _parts(text, k).alias("parts")) for k in range(len(KINDS))])
     rows = (docs.select("doc_id", F.xxhash64(text).alias("key"), F.explode(kinds).alias("k"))
@@ -81,12 +82,13 @@ def matches(docs: DataFrame) -> DataFrame:
     narrow = rows.select(
         "doc_id", "key", "kind", "at", F.length("part").cast("long").alias("size"), F.when(F.col("at") % 2 == 1, F.col("part")).alias("value"),
         F.when(F.col("at") % 2 == 0, F.lower(F.concat_ws(" ", F.regexp_extract(tail, BEFORE, 1), F.regexp_extract(tail, BEFORE, 2)))).alias("words"))
-    narrow = narrow.dropDuplicates(["doc_id", "key", "kind", "at"])
+    same = [F.first(c).alias(c) for c in ("size", "value", "words")]
+    narrow = narrow.groupBy("doc_id", "key", "kind", "at").agg(*same, F.count("*").alias("times"))
     order = Window.partitionBy("doc_id", "key", "kind").orderBy("at")
     start = F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    placed = narrow.select("doc_id", "key", "kind", "value", "size", start.alias("start"), F.lag("words").over(order).alias("before"))
+    placed = narrow.select("doc_id", "key", "times", "kind", "value", "size", start.alias("start"), F.lag("words").over(order).alias("before"))
     return placed.where(F.col("value").isNotNull() & _valid(F.col("kind"), F.col("value"))).select(
-        "doc_id", "key", "kind", "start", (F.col("start") + F.col("size")).alias("end"), "value", F.trim("before").alias("before"))
+        "doc_id", "key", "times", "kind", "start", (F.col("start") + F.col("size")).alias("end"), "value", F.trim("before").alias("before"))
 
 
 def _apart(found: DataFrame) -> DataFrame:
@@ -111,7 +113,8 @@ def _occurrences(docs: DataFrame, patterns: DataFrame) -> DataFrame:
     w = F.split(F.lower(whole_text()), r"[^\p{L}]+")
     rows = docs.select(w.alias("w")).select("w", F.explode(F.sequence(F.lit(0), F.size("w") - 1)).alias("at"))
     one, two = F.get("w", F.col("at")), F.concat_ws(" ", F.get("w", F.col("at") - 1), F.get("w", F.col("at")))
-    rows = rows.select(F.explode(F.array(one, two)).alias("pattern"))
+    # at the first word both are the same
+    rows = rows.select(F.explode(F.array_distinct(F.array(one, two))).alias("pattern"))
     few = patterns.limit(PATTERNS_AT_ONCE + 1).count() <= PATTERNS_AT_ONCE
     return rows.join(F.broadcast(patterns) if few else patterns, "pattern").groupBy("pattern").agg(F.count("*").alias("total"))
 
@@ -119,14 +122,16 @@ def _occurrences(docs: DataFrame, patterns: DataFrame) -> DataFrame:
 def score_patterns(edges: DataFrame, totals: DataFrame) -> DataFrame:
     """Patterns that are sure after the rounds: pattern, score.
 
-    ``edges``: distinct (pattern, instance, seed); ``totals``: occurrences of every pattern that can count.
+    ``edges``: distinct (pattern, instance, seed), with ``times`` the instance follows the pattern (once without the column);
+    ``totals``: occurrences of every pattern that can count.
     """
+    edges = edges if "times" in edges.columns else edges.withColumn("times", F.lit(1))
     edges = stage(edges.join(totals, "pattern"), "pii-edges")
     scores = stage(edges.where("seed").select("instance", F.lit(1.0).alias("score")).distinct(), "pii-instances")
     sure = None
     for _ in range(ROUNDS):
         sure = stage(
-            edges.join(scores, "instance").groupBy("pattern", "total").agg(F.sum("score").alias("weight"), F.count("*").alias("n"))
+            edges.join(scores, "instance").groupBy("pattern", "total").agg(F.sum(F.col("score") * F.col("times")).alias("weight"), F.count("*").alias("n"))
             .select("pattern", "n", F.least(F.col("weight") / F.col("total"), F.lit(1.0)).alias("score"))
             .where((F.col("n") >= SUPPORT) & (F.col("score") >= SURE)).select("pattern", "score"), "pii-patterns")
         doubt = F.sum(F.log(F.greatest(1 - F.col("score"), F.lit(1e-9))))
@@ -142,14 +147,14 @@ def spans(docs: DataFrame) -> DataFrame:
     """All spans: doc_id, key, kind, start, end, value."""
     found = stage(_apart(matches(docs)), "pii-matches")
     linked = found.where("before <> ''").select(
-        F.explode(_patterns(F.col("before"))).alias("pattern"), F.lower("value").alias("instance"), (F.col("kind") != CONTEXT).alias("seed"))
-    edges = stage(linked.groupBy("pattern", "instance").agg(F.max("seed").alias("seed")), "pii-graph")
+        F.explode(_patterns(F.col("before"))).alias("pattern"), F.lower("value").alias("instance"), (F.col("kind") != CONTEXT).alias("seed"), "times")
+    edges = stage(linked.groupBy("pattern", "instance").agg(F.max("seed").alias("seed"), F.sum("times").alias("times")), "pii-graph")
     able = stage(edges.groupBy("pattern").agg(F.count("*").alias("n")).where(F.col("n") >= SUPPORT).select("pattern"), "pii-able")
     totals = stage(_occurrences(docs, able), "pii-totals")
     sure = score_patterns(edges, totals).select("pattern")
     places = found.where(F.col("kind") == CONTEXT).where("before <> ''").withColumn("pattern", F.explode(_patterns(F.col("before"))))
     unseen = places.join(sure, "pattern", "left_semi").drop("pattern").distinct()
-    return found.where(F.col("kind") != CONTEXT).unionByName(unseen).drop("before")
+    return found.where(F.col("kind") != CONTEXT).unionByName(unseen).drop("before", "times")
 
 
 def _joined(chosen: Column) -> Column:

@@ -139,6 +139,16 @@ def test_contexts_of_known_entities_find_unseen_ones(docs_of):
     assert got[10] == "ctx:20:28" and got[11] == "" and got[0] == "email:23:37"
 
 
+def test_copies_of_the_corpus_change_no_span(docs_of):
+    """Other ids, the same rows again, and an entity that stands in many documents."""
+    docs = [(i, f"hello my badge holder: user{i}@mail.com and more") for i in range(5)] + [(10, "so my badge holder: ZZ-99887 thing")]
+    once = {r["doc_id"]: r["spans"] for r in pii.report(docs_of(docs)).collect()}
+    assert once[10] == "ctx:20:28"
+    for more in ([(i + 100 * k, t) for k in range(1, 4) for i, t in docs], docs, [(i, docs[0][1]) for i in range(200, 230)]):
+        for r in pii.report(docs_of(docs + more)).collect():
+            assert r["spans"] == once[0 if r["doc_id"] >= 200 and len(more) == 30 else r["doc_id"] % 100]
+
+
 def test_scores_follow_the_graph_over_rounds(spark):
     """A pattern that only newly found instances support counts in the next round."""
     edges = [("p", f"s{i}", True) for i in range(4)] + [("p", f"n{i}", False) for i in range(4)] + [("q", f"n{i}", False) for i in range(4)]
