@@ -51,8 +51,11 @@ PATTERNS = {
 }
 #: Cheap tests that a text has a match.
 TESTS = PATTERNS | {CARD: r"[0-9](?:[ -]?[0-9]){11}", CONTEXT: r"[0-9]{3}"}
-#: The words before a match, at the end of what precedes it.
-BEFORE = r"""(?:([A-Za-z\p{L}]{1,24})[ \t]+)?([A-Za-z\p{L}]{1,24})[ \t]*[:#=]?[ \t]*["'(]?$"""
+#: The one or two whole words before a match, at the end of what precedes it in lower case. Each word is tried once.
+_END = r"""[ \t]*+[:#=]?[ \t]*+["'(]?$"""
+BEFORE = rf"(?<!\p{{L}})(?:(\p{{L}}++)[ \t]++)?(\p{{L}}++){_END}"
+#: The last letters of a text settle its words, unless two words or fewer fill them.
+TAIL, FILLED = 64, rf"^\p{{L}}*+[ \t]*+\p{{L}}*+{_END}"
 PART = r"0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]{1,2})"
 
 
@@ -78,10 +81,12 @@ def matches(docs: DataFrame) -> DataFrame:
     kinds = F.array(*[F.struct(F.lit(k).alias("kind"), _parts(text, k).alias("parts")) for k in range(len(KINDS))])
     rows = (docs.select("doc_id", F.xxhash64(text).alias("key"), F.explode(kinds).alias("k"))
             .select("doc_id", "key", "k.kind", F.posexplode("k.parts").alias("at", "part")))
-    tail = F.right("part", F.lit(64))
+    tail = F.lower(F.right("part", F.lit(TAIL)))
+    words = lambda end: F.concat_ws(" ", F.regexp_extract(end, BEFORE, 1), F.regexp_extract(end, BEFORE, 2))
+    before = F.when((F.length("part") > TAIL) & tail.rlike(FILLED), words(F.lower("part"))).otherwise(words(tail))
     narrow = rows.select(
         "doc_id", "key", "kind", "at", F.length("part").cast("long").alias("size"), F.when(F.col("at") % 2 == 1, F.col("part")).alias("value"),
-        F.when(F.col("at") % 2 == 0, F.lower(F.concat_ws(" ", F.regexp_extract(tail, BEFORE, 1), F.regexp_extract(tail, BEFORE, 2)))).alias("words"))
+        F.when(F.col("at") % 2 == 0, before).alias("words"))
     same = [F.first(c).alias(c) for c in ("size", "value", "words")]
     narrow = narrow.groupBy("doc_id", "key", "kind", "at").agg(*same, F.count("*").alias("times"))
     order = Window.partitionBy("doc_id", "key", "kind").orderBy("at")

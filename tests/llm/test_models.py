@@ -149,6 +149,12 @@ def test_copies_of_the_corpus_change_no_span(docs_of):
             assert r["spans"] == once[0 if r["doc_id"] >= 200 and len(more) == 30 else r["doc_id"] % 100]
 
 
+@pytest.mark.parametrize("words", ["Donaudampfschifffahrtsgesellschaft:", "kunden " + "Lang" * 30 + " ", "工号" * 20 + " ", "İ" + "x" * 90 + ":"])
+def test_long_words_are_patterns(docs_of, words):
+    docs = [(i, f"see {words} user{i}@mail.com and more") for i in range(5)] + [(10, f"so {words} ZZ-99887 thing")]
+    assert pii.report(docs_of(docs)).where("doc_id = 10").first()["n_ctx"] == 1
+
+
 def test_scores_follow_the_graph_over_rounds(spark):
     """A pattern that only newly found instances support counts in the next round."""
     edges = [("p", f"s{i}", True) for i in range(4)] + [("p", f"n{i}", False) for i in range(4)] + [("q", f"n{i}", False) for i in range(4)]
