@@ -3,9 +3,12 @@
 A mask lays over consecutive words and ignores some of them; the hash of the
 rest is a seed. Seeds of the benchmark items are joined with the seeds at every
 word of every document. Around a hit, item and document are laid side by side and
-their words compared one to one: an overlap holds when WINDOW words of the item (all of
-a shorter item), placed to begin or to end at the hit, agree in at least 80 %.
-Substituted words that fall on ignored positions do not cost the hit.
+their words compared one to one: an overlap holds when any WINDOW words of the item (all of
+a shorter item) that contain the hit agree in at least 80 %.
+
+No overlap is missed. A window of B blocks of words with at most K words changed keeps B - K
+blocks whole, so the masks that keep B - K of B blocks, tried at every word, hit it wherever the
+changes are. Items of different lengths allow different K and have masks of their own.
 
 The seeds of the items are sent to the executors only below SEEDS_AT_ONCE, else both
 sides are joined by a shuffle.
@@ -18,14 +21,27 @@ Rows without an id are reported under a null id. Columns other than id and text
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm.common import whole_text
 
-#: Masks for items of 12 words or more, and for shorter ones.
-LONG, SHORT = ("111001011001", "110100110101"), ("111011", "110111")
 WINDOW, LEAST = 24, 0.8
+
+
+def covering(blocks: int, size: int, changed: int) -> tuple[str, ...]:
+    """Masks that keep all but ``changed`` of so many blocks of words, each once wherever it lies, the longest first."""
+    kept = {tuple(i - chosen[0] for i in chosen) for chosen in combinations(range(blocks), blocks - changed)}
+    masks = ["".join("10"[i not in chosen] * size for i in range(chosen[-1] + 1)) for chosen in kept]
+    return tuple(sorted(masks, key=lambda m: (-len(m), m)))
+
+
+LONG, SHORT = covering(6, 4, 4), covering(6, 1, 1)
+#: Least words of an item and its masks. Of 6 words one may be changed, of 10 two, of 15 three, of 20 and of a window of 24 four.
+MASKS = {6: SHORT, 10: covering(5, 2, 2), 15: covering(5, 3, 3), 20: covering(6, 3, 4), WINDOW: LONG}
+SHORTEST = min(MASKS)
 #: Most seeds, and words of items, that are sent to every executor.
 SEEDS_AT_ONCE = 500_000
 
@@ -36,17 +52,18 @@ def words(text: Column) -> Column:
 
 
 def _seed(row: Column, at: Column, mask: str) -> Column:
-    """Hash of the words a mask keeps when it is laid at a position."""
-    return F.xxhash64(F.lit(mask), *[F.get(row, at + F.lit(i)) for i, c in enumerate(mask) if c == "1"])
+    """Hash of the words, given by their hashes, that a mask keeps when it is laid at a position."""
+    return F.xxhash64(F.lit(int(mask, 2)), *[F.get(row, at + F.lit(i)) for i, c in enumerate(mask) if c == "1"])
 
 
-def seeds(rows: DataFrame, masks: tuple[str, ...]) -> DataFrame:
-    """Rows with (w: words), once for every position and mask: adds at and seed."""
-    span = len(masks[0])
-    # without a filter on the size, which would split the text twice
-    places = F.when(F.size("w") >= span, F.sequence(F.lit(0), F.size("w") - F.lit(span)))
-    placed = rows.select("*", F.explode_outer(places).alias("at"))
-    return placed.select("*", F.explode(F.array(*[_seed(F.col("w"), F.col("at"), m) for m in masks])).alias("seed"))
+def seeds(rows: DataFrame, masks: list[str]) -> DataFrame:
+    """Rows with (w: words), once for every position and mask that fits there: adds at and seed (null past the end)."""
+    # without a filter on the size, which would split the text twice; a word is hashed once, not once a mask
+    least = min(map(len, masks))
+    places = F.when(F.size("w") >= least, F.sequence(F.lit(0), F.size("w") - F.lit(least)))
+    placed = rows.select("*", F.transform("w", lambda x: F.xxhash64(x)).alias("hashes"), F.explode_outer(places).alias("at"))
+    made = [F.when(F.col("at") + len(m) <= F.size("w"), _seed(F.col("hashes"), F.col("at"), m)) for m in masks]
+    return placed.select("*", F.explode(F.array(*made)).alias("seed"))
 
 
 def _trimmed(row: Column) -> Column:
@@ -54,11 +71,13 @@ def _trimmed(row: Column) -> Column:
     return F.filter(row, lambda w: w != "")
 
 
-def _agreeing(start: Column, length: Column) -> Column:
-    """Share of the item's words [start, start + length) that equal the document's beside them."""
-    places = F.sequence(start, start + length - 1)
-    same = F.filter(places, lambda j: F.get(F.col("beside"), j - F.col("skipped")) == F.get(F.col("item"), j))
-    return F.size(same) / length
+def _agreeing(first: Column, last: Column, length: Column) -> Column:
+    """Largest share of the item's words [start, start + length) that equal the document's beside them, first <= start <= last."""
+    places = F.sequence(first, last + length - 1)
+    same = F.transform(places, lambda j: F.coalesce(F.get(F.col("beside"), j - F.col("skipped")) == F.get(F.col("item"), j), F.lit(False)))
+    counts = lambda agree: F.transform(
+        F.sequence(F.lit(0), last - first), lambda k: F.size(F.filter(F.slice(agree, k + 1, length), lambda x: x)))
+    return F.array_max(F.get(F.transform(F.array(same), counts), F.lit(0))) / length
 
 
 def overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -68,35 +87,41 @@ def overlaps(docs: DataFrame, items: DataFrame) -> DataFrame:
     first word would lie (below 0 if the document begins inside the item), ``n_hits`` the number of confirmed hits.
     """
     texts = docs.select("doc_id", words(whole_text()).alias("w"))
-    items = items.select("item_id", _trimmed(words(whole_text())).alias("w")).where(F.size("w") >= len(SHORT[0])).distinct()
-    found = None
-    for masks, kept in ((LONG, F.size("w") >= len(LONG[0])), (SHORT, F.size("w") < len(LONG[0]))):
-        part = items.where(kept)
+    items = items.select("item_id", _trimmed(words(whole_text())).alias("w")).where(F.size("w") >= SHORTEST).distinct()
+    ends = [*list(MASKS)[1:], None]
+    marks, used, n = None, [], 0
+    for (least, masks), end in zip(MASKS.items(), ends):
+        part = items.where((F.size("w") >= least) & (F.size("w") < end if end else F.lit(True)))
         size = part.agg(F.count("*").alias("n"), F.sum(F.size("w")).alias("words")).first()
         if size["n"]:
-            rows = _confirmed(texts, part, masks, size["words"] * len(masks) <= SEEDS_AT_ONCE)
-            found = rows if found is None else found.unionByName(rows)
-    if found is None:
+            used, n = [*used, *(m for m in masks if m not in used)], n + size["words"] * len(masks)
+            rows = None
+            for mask in masks:
+                of = seeds(part, [mask]).select("item_id", F.size("w").alias("length"), F.col("at").alias("item_at"), F.lit(len(mask)).alias("span"), "seed")
+                rows = of if rows is None else rows.unionByName(of)
+            marks = rows if marks is None else marks.unionByName(rows)
+    if marks is None:
         found = texts.where(F.lit(False)).select(
             "doc_id", F.lit(0).cast("long").alias("item_id"), F.lit(0.0).alias("overlap"), F.lit(0).alias("starts"))
+    else:
+        found = _confirmed(texts, items, marks.where("seed is not null").distinct(), used, n <= SEEDS_AT_ONCE)
     return found.groupBy("doc_id", "item_id").agg(
         F.max("overlap").alias("overlap"), F.min("starts").cast("long").alias("first_word"), F.count("*").alias("n_hits"))
 
 
-def _confirmed(texts: DataFrame, items: DataFrame, masks: tuple[str, ...], small: bool) -> DataFrame:
+def _confirmed(texts: DataFrame, items: DataFrame, marks: DataFrame, masks: list[str], small: bool) -> DataFrame:
     """Hits whose overlap holds: doc_id, item_id, overlap, starts."""
-    span = len(masks[0])
     send = F.broadcast if small else (lambda df: df)
-    marks = send(seeds(items, masks).select("item_id", F.size("w").alias("length"), F.col("at").alias("item_at"), "seed").distinct())
+    marks = send(marks)
     whole = send(items.select("item_id", F.col("w").alias("item")))
     starts = F.col("at") - F.col("item_at")
     # the document's words beside the item; those before the document's first are skipped
     beside = F.slice("w", F.greatest(starts, F.lit(0)) + 1, F.col("length"))
-    hits = seeds(texts, masks).where("at is not null").join(marks, "seed").select(
-        "doc_id", "item_id", "item_at", starts.alias("starts"), F.greatest(-starts, F.lit(0)).alias("skipped"), beside.alias("beside")).join(whole, "item_id")
+    hits = seeds(texts, masks).where("seed is not null").join(marks, "seed").select(
+        "doc_id", "item_id", "item_at", "span", starts.alias("starts"), F.greatest(-starts, F.lit(0)).alias("skipped"), beside.alias("beside")).join(whole, "item_id")
     length = F.least(F.size("item"), F.lit(WINDOW))
     last = F.size("item") - length
-    forward = F.least(F.col("item_at"), last)
-    backward = F.greatest(F.col("item_at") + F.lit(span) - length, F.lit(0))
-    rated = hits.select("doc_id", "item_id", "starts", F.greatest(_agreeing(forward, length), _agreeing(backward, length)).alias("overlap"))
+    # the hit lies in the window; a mask that keeps blocks at the end of a window is found there too
+    first, end = F.greatest(F.col("item_at") + F.col("span") - length, F.lit(0)), F.least(F.col("item_at"), last)
+    rated = hits.select("doc_id", "item_id", "starts", _agreeing(first, end, length).alias("overlap"))
     return rated.where(F.col("overlap") >= LEAST)

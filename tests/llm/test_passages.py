@@ -115,3 +115,30 @@ def test_substituted_words_do_not_hide_an_item(spark, docs_of):
     items = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
     [row] = spaced_seeds.overlaps(docs_of([(5, "lead in " + " ".join(doc)), (6, "quite another text " * 20)]), items).collect()
     assert (row["doc_id"], row["item_id"], row["first_word"]) == (5, 1, 2)
+
+
+def whole_rule(doc: list[str], item: list[str]) -> float:
+    """The rule without seeds: the best share of equal words of any window of the item anywhere in the document."""
+    size, best = min(len(item), spaced_seeds.WINDOW), 0
+    for starts in range(-len(item) + 1, len(doc)):
+        same = [0 <= starts + j < len(doc) and doc[starts + j] == w for j, w in enumerate(item)]
+        best = max(best, *(sum(same[k:k + size]) for k in range(len(item) - size + 1)))
+    return best / size
+
+
+def test_overlaps_equal_all_windows_without_seeds(spark, docs_of):
+    draw = random.Random(11)
+    items, docs = [], []
+    for i, n in enumerate([6, 7, 9, 10, 12, 14, 15, 17, 19, 20, 23, 24, 24, 30, 60]):
+        items.append((i, [f"i{i}w{j}" for j in range(n)]))
+        for _ in range(12):
+            at = draw.randrange(n - min(n, 24) + 1)
+            copy = items[-1][1][at:at + 24]
+            for j in draw.sample(range(len(copy)), draw.choice([len(copy) // 5, len(copy) // 5, len(copy) // 5 + 1])):
+                copy[j] = "changed"
+            docs.append(["lead"] * draw.randrange(5) + copy + ["tail"] * draw.randrange(5))
+    got = spaced_seeds.overlaps(
+        docs_of([(k, " ".join(d)) for k, d in enumerate(docs)]), spark.createDataFrame([(i, " ".join(t)) for i, t in items], "item_id long, text string"))
+    want = {(k, i): share for k, d in enumerate(docs) for i, t in items if (share := whole_rule(d, t)) >= spaced_seeds.LEAST}
+    assert {(r["doc_id"], r["item_id"]): r["overlap"] for r in got.collect()} == want
+    assert 60 < len(want) < len(docs)
