@@ -61,7 +61,8 @@ def seeds(rows: DataFrame, masks: list[str]) -> DataFrame:
     # without a filter on the size, which would split the text twice; a word is hashed once, not once a mask
     least = min(map(len, masks))
     places = F.when(F.size("w") >= least, F.sequence(F.lit(0), F.size("w") - F.lit(least)))
-    placed = rows.select("*", F.transform("w", lambda x: F.xxhash64(x)).alias("hashes"), F.explode_outer(places).alias("at"))
+    hashed = rows.select("*", F.transform("w", lambda x: F.xxhash64(x)).alias("hashes"))  # below the explode, not for every position
+    placed = hashed.select("*", F.explode_outer(places).alias("at"))
     made = [F.when(F.col("at") + len(m) <= F.size("w"), _seed(F.col("hashes"), F.col("at"), m)) for m in masks]
     return placed.select("*", F.explode(F.array(*made)).alias("seed"))
 
