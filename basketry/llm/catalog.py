@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm import circulant, cotraining, fingerprints, language_id, licenses, pieces, pii, secrets, spaced_seeds, suffix_dedup
+from basketry.llm import (
+    circulant, cotraining, fingerprints, language_id, licenses, packing, pieces, pii, secrets, spaced_seeds, spellings, suffix_dedup, vector_codes)
 from basketry.llm.common import documents
 from basketry.llm.neardup import Likeness
 
@@ -21,6 +22,12 @@ def piece_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def word_model() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def _columns(docs: DataFrame, report) -> DataFrame:
     """doc_id with the fields of a struct computed from the text."""
     return docs.select("doc_id", report(F.col("text")).alias("r")).select("doc_id", "r.*")
@@ -71,8 +78,21 @@ def op10_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _columns(documents(spark, sf_dir), lambda text: pieces.digest(text, piece_model()))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.report(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spellings.variants(documents(spark, sf_dir))
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pieces(documents(spark, sf_dir), word_model())
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_secret_scan, op2_license_scan, op3_spaced_seed_decontamination, op4_fingerprints, op5_suffix_dedup, op6_quality_cotraining, op7_circulant_minhash, op8_language_id, op9_personal_data, op10_piece_codec,
+    op11_vector_codes, op12_spelling_variants, op13_packing,
 )}
 
 #: DuckDB SQL for the queries that SQL can express: all pairs by shared shingles, groups by reachability.
@@ -89,4 +109,29 @@ reach AS (SELECT doc_id, doc_id AS r FROM documents UNION SELECT reach.doc_id, w
 least AS (SELECT doc_id, MIN(r) AS component_id FROM reach GROUP BY 1)
 SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN least USING (doc_id)"""
 
-SQL: dict[str, str] = {"op7_circulant_minhash": _NEAR_COPIES}
+def _lloyd(rounds: int = 4) -> str:
+    """Lloyd rounds, each a nearest entry of every part and the floored means of the members."""
+    steps = """WITH vectors AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS (SELECT vec_id, p, v[p * (len(v) // 4) + 1 : (p + 1) * (len(v) // 4)] AS x FROM vectors CROSS JOIN (SELECT unnest(range(4)) AS p)),
+seeds AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM vectors ORDER BY vec_id LIMIT 256),
+book0 AS (SELECT p, e, x AS c FROM parts JOIN seeds USING (vec_id)),
+"""
+    for r in range(rounds + 1):
+        steps += f"""near{r} AS (SELECT vec_id, p, MIN({{'d': list_dot_product(x, x) - 2 * list_dot_product(x, c) + list_dot_product(c, c), 'e': e}}) AS b
+  FROM parts JOIN book{r} USING (p) GROUP BY vec_id, p),
+"""
+        if r < rounds:
+            steps += f"""means{r} AS (SELECT p, e, list(m ORDER BY i) AS c FROM (SELECT p, b.e AS e, i, floor(SUM(y) / COUNT(*)) AS m
+  FROM (SELECT p, b, unnest(x) AS y, unnest(range(len(x))) AS i FROM near{r} JOIN parts USING (vec_id, p)) GROUP BY p, b.e, i) GROUP BY p, e),
+book{r + 1} AS (SELECT p, e, COALESCE(n.c, o.c) AS c FROM book{r} o LEFT JOIN means{r} n USING (p, e)),
+"""
+    return steps + f"""digest AS (SELECT sha256(string_agg(CAST(CAST(y AS BIGINT) AS VARCHAR), ',' ORDER BY p, e, i)) AS d
+  FROM (SELECT p, e, unnest(c) AS y, unnest(range(len(c))) AS i FROM book{rounds})),
+coded AS (SELECT vec_id, string_agg(lpad(lower(to_hex(b.e)), 2, '0'), '' ORDER BY p) AS code, CAST(SUM(b.d) AS BIGINT) AS error FROM near{rounds} GROUP BY vec_id)
+SELECT vec_id, code, error, CAST(SUM(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, d AS codebooks_sha256
+FROM coded JOIN vectors USING (vec_id) CROSS JOIN digest"""
+
+
+SQL: dict[str, str] = {"op7_circulant_minhash": _NEAR_COPIES, "op11_vector_codes": _lloyd()}
