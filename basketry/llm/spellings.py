@@ -5,7 +5,8 @@ ordered by how few words hold them. A word's prefix is its three rarest bigrams,
 that do not touch cannot both be destroyed by one change: the pivots are the two disjoint ones with the least postings, chosen by
 dynamic programming. Of two near words, a pivot of the one with the lower last prefix bigram stays whole and is in the prefix of
 the other. The change lies before or behind it, so the words agree from their beginning to the end of the pivot, or from
-the pivot to their end; that places it exactly, and the join of pivots with prefixes is on the agreeing stretch and the length.
+the pivot to their end, and in the first or the second half of the rest; that places it exactly. The join of pivots with prefixes
+is on the agreeing stretches and the length, so pairs meet that are near or almost so, however many words share a rare bigram.
 Every pair that meets is verified.
 
 A word's form is its near word of most occurrences if it has at least twice as many; forms are followed to the root by doubling.
@@ -115,9 +116,21 @@ def pivots(grams: list[tuple[int, str, int]]) -> list[tuple[int, str, int]]:
 
 
 def _keys(word: str, at: int, length: int) -> list[int]:
-    """One key for what stands up to the end of the bigram at a place, one for what stands from it on, in words of a length."""
-    sides = (b"<%d:" % length + word[:at + 2].encode(), b">%d:" % length + word[at:].encode())
-    return [xxhash.xxh3_64_intdigest(s) - (1 << 63) for s in sides]
+    """Keys of a word with a bigram at a place, for pairs of which the word indexed by its prefix has ``length`` code points.
+
+    The words agree up to the bigram's end, or from its beginning on. In the rest, of which the word indexed by its prefix
+    has m code points, one change leaves the first m // 2 or the last m - 1 - m // 2 as they are: each choice is a key.
+    """
+    keys = []
+    m = length - at - 2  # behind the bigram, if the beginnings agree
+    if m >= 0:
+        first, last = at + 2 + m // 2, m - 1 - m // 2
+        keys += [(b"<%d:%d:", m, word[:first]), (b"(%d:%d:", m, word[:at + 2] + "|" + word[len(word) - last:] if last > 0 else word[:at + 2])]
+    m = at + length - len(word)  # before it, if the ends agree
+    if m >= 0:
+        first, last = m // 2, m - 1 - m // 2
+        keys += [(b">%d:%d:", m, word[at - last if last > 0 else at:]), (b")%d:%d:", m, word[:first] + "|" + word[at:])]
+    return [xxhash.xxh3_64_intdigest(kind % (length, rest) + text.encode()) - (1 << 63) for kind, rest, text in keys]
 
 
 def _index(postings: dict[str, int], of_pivots: bool) -> Callable[[Batches], Batches]:
