@@ -20,10 +20,13 @@ empty table gives no rows. Columns other than id and text are not read.
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,8 +42,10 @@ CAPACITY, GRAIN, END = 4096, 16, 2
 STEPS = 3_000
 #: The program ends when no pattern can gain this share of a sequence.
 GAIN = 1e-4
-#: Chunks, and their characters, that a task remembers (no effect on results).
-CHUNKS, CHARACTERS = 400_000, 1 << 24
+#: Pieces, and their characters, that a worker remembers (no effect on results).
+CHUNKS, CHARACTERS = 1_200_000, 1 << 25
+#: Characters taken up at once.
+GROUP = 1 << 18
 
 Batches = Iterator[pa.RecordBatch]
 Pattern = tuple[tuple[int, int], ...]
@@ -48,8 +53,30 @@ Pattern = tuple[tuple[int, int], ...]
 
 # tokens ---------------------------------------------------------------------------------------------------------------
 
+#: The vocabulary's words in lower-case text of Latin-1 characters: endings, letters, single digits, runs of anything else but white space.
+_LETTERS, _DIGITS, _SPACES = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe", "\t-\r \x85\xa0"
+WORD = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_DIGITS}]|[^{_SPACES}{_LETTERS}{_DIGITS}]+")
+SPECIAL = "<|"
+#: Byte-level vocabularies write each byte as a visible character: itself, or the next one from 256 on.
+_SELF = [*range(33, 127), *range(161, 173), *range(174, 256)]
+VISIBLE = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(_SELF)))}
+
+
+def latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 class Chunks:
-    """Ids of whole texts from a table of chunks between spaces and line ends, which no token and no normalisation of this vocabulary crosses."""
+    """Ids of whole texts from a table of the pieces that are tokenised one by one.
+
+    Texts of Latin-1 characters are cut into lower-case words the way the vocabulary does it. All other texts, and those that may hold a
+    special token, are cut at spaces and line ends, which no token and no normalisation crosses. The library gives the ids of a piece, once: of a word
+    by its model alone, of a chunk by all its steps.
+    """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -59,21 +86,38 @@ class Chunks:
         self.size = self.library.get_vocab_size()
         self.table, self.characters = {"": b""}, 0
 
-    def _learn(self, chunks: list[str]) -> None:
+    def _learn(self, words: set[str], chunks: set[str]) -> None:
         if len(self.table) > CHUNKS or self.characters > CHARACTERS:
             self.table, self.characters = {"": b""}, 0
-        new = [c for c in set(chunks) if c not in self.table]
-        self.table.update(zip(new, (np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch(new, add_special_tokens=False))))
-        self.characters += sum(map(len, new))
-
-    def encode(self, text: str) -> bytes:
-        """Little-endian 32-bit ids."""
-        chunks = text.replace("\n", " ").split(" ")
-        try:
-            return b"".join(map(self.table.__getitem__, chunks))
-        except KeyError:
-            self._learn(chunks)
-            return b"".join(map(self.table.__getitem__, chunks))
+        chunks = list(chunks - words)
+        tokenize = self.library.model.tokenize
+        for w in words:
+            self.table[w] = array("I", [t.id for t in tokenize(w if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(VISIBLE))]).tobytes()
+        self.table.update(zip(chunks, (array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(chunks, add_special_tokens=False))))
+        self.characters += sum(map(len, words)) + sum(map(len, chunks))
+
+    def encode(self, texts: list[str]) -> Iterator[bytes]:
+        """Little-endian 32-bit ids of each text; texts are taken up in groups of about GROUP characters."""
+        group, size = [], 0
+        for text in texts:
+            group.append(text)
+            size += len(text)
+            if size >= GROUP:
+                yield from self._group(group)
+                group, size = [], 0
+        yield from self._group(group)
+
+    def _group(self, texts: list[str]) -> Iterator[bytes]:
+        plain = [SPECIAL not in t and latin(t) for t in texts]
+        cut = [WORD.findall(t.lower()) if p else t.replace("\n", " ").split(" ") for t, p in zip(texts, plain)]
+        rows = [list(map(self.table.get, pieces)) for pieces in cut]
+        new: tuple[set[str], set[str]] = set(), set()
+        for pieces, row, p in zip(cut, rows, plain):
+            if None in row:
+                new[not p].update(c for c, known in zip(pieces, row) if known is None)
+        self._learn(*new)
+        for pieces, row in zip(cut, rows):
+            yield b"".join(row) if None not in row else b"".join([self.table[c] if known is None else known for c, known in zip(pieces, row)])
 
 
 @lru_cache(maxsize=2)
@@ -94,8 +138,8 @@ def _tokenised(path: str, capacity: int, grain: int, end: int) -> Callable[[Batc
         for batch in batches:
             for a, b in ranges(batch.column("text")):
                 out: list[tuple] = []
-                for doc_id, text in zip(batch.column("doc_id")[a:b].to_pylist(), strings(batch.column("text")[a:b])):
-                    ids = own.encode(text) + mark
+                for doc_id, ids in zip(batch.column("doc_id")[a:b].to_pylist(), own.encode(strings(batch.column("text")[a:b]))):
+                    ids += mark
                     n = len(ids) // 4
                     full = n // capacity
                     crcs = [zlib.crc32(ids[4 * capacity * i:4 * capacity * (i + 1)]) for i in range(full)]
