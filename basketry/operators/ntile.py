@@ -1,28 +1,28 @@
 """Exact ntile over a whole table without a single-task window.
 
 ``ntile(n) over (order by v, id)`` needs only n-1 cut points: the rows at the
-ends of the first n-1 tiles. They are found by narrowing: count rows in a fixed
-number of equal-width bands of ``v``, keep the band that holds the wanted
-rank, and repeat inside it until the band is one value; then the tie-break is
-narrowed the same way. Every pass is one scan with a map-side combine whose
-result is bounded (bands x targets), no matter how the values are spread, and
-a value shared by a third of all rows is just one band. The tiles then are
-plain comparisons with literals.
+ends of the first n-1 tiles. All orders asked for are ranked together, in one
+shuffle: every row is sent once an order, as (order, value, tie-break), to sorted
+ranges of about equal size. A row's rank is the number of rows in the ranges before
+its own, a prefix sum over one number a range, plus its place inside. The rows
+at the ends of the tiles are then read by place, and the tiles are plain
+comparisons with literals, so nothing is joined back. A value that a third of all rows share is
+spread over ranges by the tie-break.
 
 Ties are broken by md5 of the id, which spreads evenly; ids must be distinct.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from dataclasses import dataclass
+import functools
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BAND_BITS = 12
-BANDS = 1 << BAND_BITS
-HEX_DIGITS = 4  # tie-break bands per round: 16 ** HEX_DIGITS
+from basketry.session import stage
+
+HEX_DIGITS = 4  # of a digest, looked at per round: 16 ** HEX_DIGITS bands
 
 _NO_VALUE = -(1 << 63)  # rank of null: before every other value
 
@@ -41,104 +41,53 @@ def tile_ends(rows: int, tiles: int) -> list[int]:
     return ends
 
 
-@dataclass
-class _Target:
-    """Search for the row of rank ``rank`` (1-based) in the order of ``column``."""
-
-    column: str
-    rank: int
-    low: int
-    high: int
-    prefix: str = ""
-    done: bool = False
-
-    @property
-    def shift(self) -> int:
-        """Bands are 2**shift wide, so that about ``BANDS`` of them span the range."""
-        span = (self.high - self.low).bit_length()
-        return max(0, span - BAND_BITS, span - 62)
-
-
 def _ordered(column: str) -> Column:
     return F.coalesce(F.col(column).cast("bigint"), F.lit(_NO_VALUE))
 
 
-def _pass_over(df: DataFrame, targets: list[_Target], id_column: str) -> dict[int, list[tuple]]:
-    """Rows per band for every open target, in one job."""
-    branches = []
-    for index, t in enumerate(targets):
-        if t.done:
-            continue
-        value = _ordered(t.column)
-        if t.low < t.high:
-            inside = value.between(t.low, t.high)
-            # bands begin at multiples of their width; the difference of shifted numbers cannot overflow
-            band = (F.shiftright(value, t.shift) - F.shiftright(F.lit(t.low), t.shift)).cast("string")
-        else:
-            digest = tie_break(id_column)
-            inside = (value == t.low) & digest.startswith(t.prefix)
-            band = F.substring(digest, len(t.prefix) + 1, HEX_DIGITS)
-        branches.append(F.when(inside, F.struct(F.lit(index).alias("target"), band.alias("band"))))
-    counted = (
-        df.select(F.explode(F.array_compact(F.array(*branches))).alias("hit"))
-        .groupBy("hit.target", "hit.band").agg(F.count(F.lit(1)).alias("rows"))
-    )
-    found: dict[int, list[tuple]] = {}
-    for row in counted.collect():  # bounded: bands x targets
-        found.setdefault(row["target"], []).append((row["band"], row["rows"]))
-    return found
+def ranked(df: DataFrame, columns: Sequence[str], id_column: str) -> DataFrame:
+    """(order, value, digest, part, at), as a written table: each row once for every column, in sorted ranges.
+
+    ``part`` numbers the ranges in order, ``at`` the rows inside from 0; ``order`` is the column's number.
+    """
+    orders = F.array(*[F.struct(F.lit(i).alias("order"), _ordered(c).alias("value")) for i, c in enumerate(columns)])
+    keyed = df.select(tie_break(id_column).alias("digest"), orders.alias("orders"))
+    keys = ["order", "value", "digest"]
+    rows = keyed.select("digest", F.inline("orders")).select(*keys)
+    ranges = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    inside = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    return stage(ranges.withColumns({"part": F.spark_partition_id(), "at": inside}), "ranks")
 
 
 def cut_points(df: DataFrame, columns: list[str], id_column: str, tiles: int) -> dict[str, list[tuple | None]]:
     """Per column the (value, md5) of the last row of each tile but the last.
 
-    None stands for an empty tile. ``df`` is read once per pass, so it should
-    be a table rather than a long plan.
+    None stands for an empty tile. ``df`` is read twice, once for the borders of the ranges,
+    so it should be a table rather than a long plan.
     """
-    limits = [F.count(F.lit(1)).alias("rows")]
-    for i, c in enumerate(columns):
-        limits += [F.min(c).cast("bigint").alias(f"low_{i}"), F.max(c).cast("bigint").alias(f"high_{i}"),
-                   F.count(F.when(F.col(c).isNull(), 1)).alias(f"nulls_{i}")]
-    seen = df.agg(*limits).first()
-
-    targets, slots = [], []
-    for i, c in enumerate(columns):
-        for end in tile_ends(seen["rows"], tiles):
-            if end == 0:
-                slots.append((c, None))
-                continue
-            nulls = seen[f"nulls_{i}"]
-            if end <= nulls:
-                target = _Target(c, end, _NO_VALUE, _NO_VALUE)
-            else:
-                target = _Target(c, end - nulls, seen[f"low_{i}"], seen[f"high_{i}"])
-            targets.append(target)
-            slots.append((c, target))
-
-    while any(not t.done for t in targets):
-        found = _pass_over(df, targets, id_column)
-        for index, t in enumerate(targets):
-            if t.done:
-                continue
-            on_value = t.low < t.high
-            bands = found[index]
-            bands.sort(key=(lambda b: int(b[0])) if on_value else (lambda b: b[0]))
-            for band, rows in bands:
-                if t.rank <= rows:
+    places = ranked(df, columns, id_column)
+    sizes = places.groupBy("order", "part").agg(F.count(F.lit(1)).alias("rows"), F.min("at").alias("first"))
+    runs: dict[int, list[tuple[int, int, int]]] = {}
+    for r in sizes.collect():  # one row a range and order
+        runs.setdefault(r["order"], []).append((r["part"], r["rows"], r["first"]))
+
+    wanted: dict[tuple[int, int], list[tuple[str, int]]] = {}
+    result: dict[str, list[tuple | None]] = {}
+    for number, column in enumerate(columns):
+        mine = sorted(runs.get(number, []))
+        ends = tile_ends(sum(rows for _, rows, _ in mine), tiles)
+        result[column] = [None] * len(ends)
+        for tile, end in enumerate(ends):
+            for part, rows, first in mine:
+                if 0 < end <= rows:
+                    wanted.setdefault((part, first + end - 1), []).append((column, tile))
                     break
-                t.rank -= rows
-            if on_value:
-                start = ((t.low >> t.shift) + int(band)) << t.shift
-                t.low, t.high = max(t.low, start), min(t.high, start + (1 << t.shift) - 1)
-            else:
-                t.prefix += band
-                t.done = len(t.prefix) == 32
-                if rows == 1 and not t.done:  # a single row: any longer prefix sorts after it
-                    t.prefix, t.done = t.prefix + "g", True
-
-    result: dict[str, list[tuple | None]] = {c: [] for c in columns}
-    for c, t in slots:
-        result[c].append(None if t is None else (t.low, t.prefix))
+                end -= rows
+    if wanted:
+        here = functools.reduce(Column.__or__, [(F.col("part") == part) & (F.col("at") == at) for part, at in wanted])
+        for r in places.where(here).collect():  # at most tiles - 1 rows an order
+            for column, tile in wanted[r["part"], r["at"]]:
+                result[column][tile] = (r["value"], r["digest"])
     return result
 
 

@@ -7,7 +7,7 @@ import pytest
 from conftest import rows
 
 from basketry.operators.faults import sample_exact
-from basketry.operators.ntile import add_ntiles, cut_points, tile_ends
+from basketry.operators.ntile import add_ntiles, cut_points, ranked, tile_ends
 from basketry.session import stage
 
 
@@ -52,6 +52,18 @@ def test_large_path_has_no_single_partition_window(spark):
     assert "SinglePartition" not in plan and "Window" not in plan
 
 
+def test_all_orders_take_one_shuffle_and_few_jobs(spark):
+    df = stage(spark.createDataFrame([(i, i * 7 % 11, -i, i % 3) for i in range(300)], "id long, a long, b long, c long"), "t")
+    spark.sparkContext.setJobGroup("ranks", "ranks")
+    cut_points(df, ["a", "b", "c"], "id", 3)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("ranks")
+    spark.sparkContext.setJobGroup("", "")
+    assert len(jobs) <= 8  # borders, ranges, sizes and ends, with their shuffles, for three orders
+    places = ranked(df, ["a", "b"], "id")
+    order = [tuple(r) for r in places.orderBy("part", "at").select("order", "value", "digest").collect()]
+    assert order == sorted(order) and len(order) == 600
+
+
 def test_two_columns_share_the_passes(spark):
     df = spark.createDataFrame([(i, i % 7, -i) for i in range(90)], "id long, a long, b long")
     cuts = cut_points(df, ["a", "b"], "id", 3)
