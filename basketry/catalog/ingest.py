@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 import uuid
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,11 +17,12 @@ from basketry.functions.columns import chosen
 from basketry.operators import cleaning, faults, synth
 from basketry.operators.decode import decode_inferred, decode_typed, field_presence, payload_type, unknown_fields
 from basketry.plans.roles import STAR_SCHEMAS, StarRetail, read_table
-from basketry.session import new_folder
+from basketry.session import new_folder, stage
 from basketry.sources import files
 from basketry.sources.lake import Lake, layer_counts, preview
-from basketry.sources.messages import envelope, number_lines, publish_stats, to_messages
-from basketry.streaming.ingest import as_topic, folder_stream, land, land_all, parsed, preview_stream
+from basketry.sources.messages import envelope, message_key, number_lines, publish_counted, publish_stats, to_messages
+from basketry.streaming.ingest import as_topic, folder_stream, land, land_all, late_flag, parsed, preview_stream
+from basketry.streaming.state import fan_out, first_arrivals, share_of, split_late, window_sums
 
 # ----- messages of the events table ---------------------------------------------------
 
@@ -113,6 +116,82 @@ def _ingest_all_topics(spark, sf):
     )
 
 
+@query("ingest_fan_out", " UNION ALL ".join(
+    f"SELECT '{name}' AS topic, COUNT(*) AS messages, COUNT(DISTINCT {key}) AS keys, MIN({key}) AS first, MAX({key}) AS last FROM {table}"
+    for name, table, key in (
+        ("customers", "customer", "c_custkey"), ("products", "part", "p_partkey"), ("orders", "lineitem", "l_orderkey"),
+        ("payments", "orders", "o_orderkey"), ("shipping", "lineitem", "l_orderkey"),
+    )))
+def _ingest_fan_out(spark, sf):
+    """One subscription of five topics, split by topic as it lands."""
+    lake = Lake(spark, root=new_folder(spark, "fan-out"))
+    topics = star_topics(spark, sf)
+    raw = functools.reduce(DataFrame.unionByName, topics.values())
+    fan_out(lake, envelope(raw), "bronze", "topic", f"{lake.root}/checkpoints/bronze")
+    landed = functools.reduce(DataFrame.unionByName, [share_of(lake, "bronze", "topic", t) for t in topics])
+    return landed.groupBy("topic").agg(
+        F.count(F.lit(1)).alias("messages"), F.count_distinct("message_key").alias("keys"), F.min("offset").alias("first"), F.max("offset").alias("last"))
+
+
+# ----- streams with state -------------------------------------------------------------------
+
+SLICES = 4
+
+
+def sliced_events(spark, sf):
+    """Events in files of a new folder, in the order of their time, some sent again, half of these a file later; returns the folder and a file's seconds."""
+    events = read_table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value")
+    ends = events.agg(F.min("ts").cast("bigint").alias("lo"), F.max("ts").cast("bigint").alias("hi")).first()
+    width = (ends["hi"] - ends["lo"]) // SLICES + 1
+    sent = faults.add_copies(events, "event_id", 0.2, "sent-again")
+    later = (F.col("copy_no") == 1) & chosen(0.5, "sent-later", F.col("event_id"))
+    number = F.least(F.floor((F.col("ts").cast("bigint") - ends["lo"]) / width) + later.cast("int"), F.lit(SLICES - 1))
+    sent, folder = stage(sent.withColumn("slice", number), "slices"), new_folder(spark, "sliced-events")
+    for i in range(SLICES):
+        sent.where(F.col("slice") == i).drop("slice").coalesce(1).write.mode("append").parquet(folder)
+    return folder, width
+
+
+_EVENT = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, copy_no int"
+
+
+@query("stream_dedupe", "SELECT event_id, ts, user_id, event_type FROM events")
+def _stream_dedupe(spark, sf):
+    """Four batches, copies in the same and in the next one: each event once."""
+    folder, width = sliced_events(spark, sf)
+    lake = Lake(spark, root=new_folder(spark, "first-arrivals"))
+    events = first_arrivals(folder_stream(spark, folder, _EVENT, "*.parquet", 1), ["event_id"], "ts", f"{2 * width} seconds")
+    lake.append_stream(events, "events", f"{lake.root}/checkpoints/events").awaitTermination()
+    return lake.read("events").select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "user_id", "event_type")
+
+
+@query("stream_window_sums", """SELECT date_trunc('hour', ts) AS start, COUNT(*) AS rows, CAST(SUM(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents
+  FROM events GROUP BY 1 HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT MAX(ts) FROM events) - INTERVAL 2 HOUR""")
+def _stream_window_sums(spark, sf):
+    """Hours that the watermark has closed, over four batches; the copies are dropped ahead of them."""
+    folder, _ = sliced_events(spark, sf)
+    lake = Lake(spark, root=new_folder(spark, "window-sums"))
+    events = folder_stream(spark, folder, _EVENT, "*.parquet", 1).where("copy_no = 0")
+    sums = window_sums(events, "ts", "2 hours", "1 hour", cents=F.rint(F.col("value") * 100).cast("bigint"))
+    lake.append_stream(sums, "sums", f"{lake.root}/checkpoints/sums").awaitTermination()
+    return lake.read("sums").select(F.col("start").cast("timestamp_ntz").alias("start"), "rows", "cents")
+
+
+@query("stream_late_split", f"""SELECT {q.chosen(FAULT_SHARES['late'], 'late', 'event_id')} AS is_late, event_type, COUNT(*) AS rows FROM events GROUP BY ALL""")
+def _stream_late_split(spark, sf):
+    """Late rows and rows on time land apart, and make up all rows."""
+    lake = Lake(spark, root=new_folder(spark, "late"))
+    events = folder_stream(spark, sf, STAR_SCHEMAS["events"], "events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    timed = faults.add_ingestion_time(events, "event_id", "ts", FAULT_SHARES["late"])
+    running = [
+        lake.append_stream(rows, name, f"{lake.root}/checkpoints/{name}")
+        for name, rows in zip(("on_time", "late"), split_late(timed, late_flag(F.col("ts"), F.col("ingestion_time"))))]
+    for stream in running:
+        stream.awaitTermination()
+    both = lake.read("on_time").withColumn("is_late", F.lit(False)).unionByName(lake.read("late").withColumn("is_late", F.lit(True)))
+    return both.groupBy("is_late", "event_type").agg(F.count(F.lit(1)).alias("rows"))
+
+
 @query("stream_preview_raw", f"SELECT * FROM ({ENVELOPE_SQL}) ORDER BY \"offset\" LIMIT 50")
 def _stream_preview_raw(spark, sf):
     """The first fifty messages to arrive, from the memory sink."""
@@ -167,9 +246,23 @@ def _publish_messages(spark, sf):
     return to_messages(numbered, "events", F.col("line"), "event_id")
 
 
+EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
+
+
 @query("publish_stats", f"""SELECT event_type AS topic, COUNT(*) FILTER ({_NO_KEY} OR {_NULL_KEY} OR NOT {_CUT}) AS published,
   COUNT(*) FILTER (NOT ({_NO_KEY} OR {_NULL_KEY} OR NOT {_CUT})) AS failed FROM events GROUP BY 1""")
 def _publish_stats(spark, sf):
+    """Counted by the job that sends the messages, here to a folder."""
+    sent = Lake(spark, root=new_folder(spark, "sent"))
+    lines = event_lines(spark, sf)
+    return publish_counted(lines, EVENT_TYPES, lambda good: sent.overwrite(
+        good.select(message_key(F.col("value"), "event_id", F.col("event_id")).alias("key"), "value", "topic"), "messages"))
+
+
+@query("publish_report", f"""SELECT event_type AS topic, COUNT(*) FILTER ({_NO_KEY} OR {_NULL_KEY} OR NOT {_CUT}) AS published,
+  COUNT(*) FILTER (NOT ({_NO_KEY} OR {_NULL_KEY} OR NOT {_CUT})) AS failed FROM events GROUP BY 1""")
+def _publish_report(spark, sf):
+    """The same figures of lines that are already stored, whatever their topics."""
     return publish_stats(event_lines(spark, sf))
 
 
@@ -255,7 +348,8 @@ def _silver_clean(spark, sf):
     sent = faults.add_copies(event_messages(spark, sf).drop("timestamp"), "offset", 0.1, "again")
     padded = F.concat(F.lit(" "), F.col("message_key"), F.lit("  "))
     key = F.when((F.col("copy_no") == 1) & chosen(0.5, "pad", F.col("offset")), padded).otherwise(F.col("message_key"))
-    return cleaning.clean(sent.withColumn("message_key", key).drop("copy_no"))
+    bronze = Lake(spark, root=new_folder(spark, "sent-twice")).overwrite(sent.withColumn("message_key", key).drop("copy_no"), "bronze_events")
+    return cleaning.clean_stored(bronze)
 
 
 def _envelope_of(df, topic, key, offset, at):
@@ -300,7 +394,7 @@ def build_layers(spark, sf):
     lake = Lake(spark, root=new_folder(spark, "layers"))
     for name, df in twice_sent(retail_messages(spark, sf)).items():
         bronze = lake.overwrite(df, f"bronze_{name}")
-        lake.overwrite(cleaning.clean(bronze), f"silver_{name}")
+        lake.overwrite(cleaning.clean_stored(bronze), f"silver_{name}")
     return lake
 
 

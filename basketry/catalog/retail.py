@@ -19,7 +19,6 @@ from basketry.contracts import (
 from basketry.functions.columns import chosen, draw_below, padded_id, real_null, to_event_date
 from basketry.operators import cleaning, faults, quality, synth
 from basketry.operators.decode import conform_entity
-from basketry.operators.joins import unmatched
 from basketry.plans.metrics import metric
 from basketry.plans.roles import EntityRetail, read_table
 from basketry.session import stage
@@ -301,26 +300,6 @@ def _fault_all(spark, sf):
 # ----- quality ---------------------------------------------------------------------------
 
 
-@query("dq_nulls", f"""{MESSY}, c AS (SELECT COUNT(*) AS n, {', '.join(f'COUNT(*) FILTER ({c} IS NULL) AS {c}' for c in _NULLABLE)} FROM messy)
-""" + " UNION ALL ".join(
-    f"SELECT 'orders' AS \"table\", '{c}' AS \"column\", {c} AS nulls, n AS rows, CAST((20000 * {c} + n) // (2 * n) AS DOUBLE) / 100 AS null_pct FROM c"
-    for c in _NULLABLE))
-def _dq_nulls(spark, sf):
-    return quality.null_report({"orders": (messy_orders(spark, sf), _NULLABLE)})
-
-
-@query("dq_duplicates", f"""{COPIED} SELECT 'orders by order_seq' AS "check", COUNT(*) AS rows, COUNT(*) - COUNT(DISTINCT order_seq) AS duplicates FROM copied
-UNION ALL SELECT 'orders without id', COUNT(*), COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT customer_id, product_id, amount, event_time FROM copied)) FROM copied
-UNION ALL SELECT 'lines by order and number', COUNT(*), COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)) FROM lineitem""")
-def _dq_duplicates(spark, sf):
-    orders = copied_orders(spark, sf)
-    return quality.duplicate_report({
-        "orders by order_seq": (orders, [KEY]),
-        "orders without id": (orders, ["customer_id", "product_id", "amount", "event_time"]),
-        "lines by order and number": (read_table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"]),
-    })
-
-
 @query("dq_rule_counts", f"""{MESSY}, {q.PAID.replace('paid AS', 'paid0 AS')}, {q.replaced('bad_paid', 'paid0', **q.spoiled(
     [("payment_status", q.pick(BAD_PAYMENT_STATUSES, "invalid-status", KEY)), ("amount", "-abs(amount)")],
     KEY, share=FAULT_SHARES["invalid"], salt="invalid"))}, {_BAD_PEOPLE_STEP}
@@ -347,32 +326,6 @@ def _dq_rule_counts(spark, sf):
     )
 
 
-@query("dq_referential", f"""{GHOSTS}, {q.PAID}, {q.replaced('gp', 'paid', order_id=q.ghosted('order_id', KEY))}, {q.SHIPPED},
-{q.replaced('gs', 'shipped', order_id=q.ghosted('order_id', KEY))}
-SELECT 'orders' AS child, 'customer_id' AS "column", 'customers' AS parent, COUNT(*) AS rows, COUNT(*) FILTER (customer_id NOT IN (SELECT customer_id FROM people)) AS orphans FROM x
-UNION ALL SELECT 'orders', 'product_id', 'products', COUNT(*), COUNT(*) FILTER (product_id NOT IN (SELECT product_id FROM items)) FROM x
-UNION ALL SELECT 'payments', 'order_id', 'orders', COUNT(*), COUNT(*) FILTER (order_id NOT IN (SELECT order_id FROM retail)) FROM gp
-UNION ALL SELECT 'shipping', 'order_id', 'orders', COUNT(*), COUNT(*) FILTER (order_id NOT IN (SELECT order_id FROM retail)) FROM gs""")
-def _dq_referential(spark, sf):
-    orders, clean = ghost_orders(spark, sf), retail_orders(spark, sf)
-    paid = faults.ghost_keys(synth.payments(clean), KEY, "order_id", FAULT_SHARES["ghost"])
-    shipped = faults.ghost_keys(synth.shipping(clean), KEY, "order_id", FAULT_SHARES["ghost"])
-    return quality.reference_report([
-        ("orders", orders, "customer_id", "customers", people(spark, sf), "customer_id"),
-        ("orders", orders, "product_id", "products", synth.catalog_products(spark), "product_id"),
-        ("payments", paid, "order_id", "orders", clean, "order_id"),
-        ("shipping", shipped, "order_id", "orders", clean, "order_id"),
-    ])
-
-
-@query("orphan_rows", f"""{GHOSTS} SELECT order_seq, customer_id, product_id FROM x
-  WHERE customer_id NOT IN (SELECT customer_id FROM people)""")
-def _orphan_rows(spark, sf):
-    """Orders whose customer does not exist."""
-    orders = ghost_orders(spark, sf).select(KEY, "customer_id", "product_id")
-    return unmatched(orders, people(spark, sf), "customer_id")
-
-
 @query("dq_late_arrival", f"""{INGESTED} SELECT COUNT(*) AS rows, COUNT(*) FILTER (is_late_arrival) AS late,
   CAST((20000 * COUNT(*) FILTER (is_late_arrival) + COUNT(*)) // (2 * COUNT(*)) AS DOUBLE) / 100 AS late_pct FROM x""")
 def _dq_late_arrival(spark, sf):
@@ -397,17 +350,6 @@ def _dq_schema_evolution(spark, sf):
     return quality.field_version_report(lines, "coupon_code", F.col(KEY) >= COUPON_VERSION_START)
 
 
-@query("quarantine_split", f"""{BAD_ORDERS}, flagged AS (SELECT *, concat_ws(',', CASE WHEN quantity < 0 THEN 'quantity_negative' END,
-  CASE WHEN price < 0 THEN 'price_negative' END, CASE WHEN event_time > {NOW_SQL} THEN 'event_time_in_future' END) AS reasons FROM x)
-SELECT reasons, COUNT(*) AS rows, CAST(SUM(order_seq) AS BIGINT) AS seq_sum FROM flagged GROUP BY 1""")
-def _quarantine_split(spark, sf):
-    """Rows per set of broken rules; the empty set is what passes."""
-    flagged = cleaning.quarantine(bad_orders(spark, sf), quality.rules_for("orders", NOW_SQL))
-    return flagged.groupBy(F.concat_ws(",", "reasons").alias("reasons")).agg(
-        F.count(F.lit(1)).alias("rows"), F.sum(KEY).alias("seq_sum")
-    )
-
-
 # ----- cleaning -------------------------------------------------------------------------------
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -99,6 +99,13 @@ def percent(part: Column, whole: Column, places: int = 2) -> Column:
     return rounded_ratio(part * 100, whole, places)
 
 
+def row_digest(columns: Sequence[str]) -> list[Column]:
+    """128 bits of some columns, nulls told apart from values; equal for equal rows."""
+    nulls = F.concat_ws("", *[F.col(c).isNull().cast("int").cast("string") for c in columns])
+    values = [F.col(c) for c in columns]
+    return [F.xxhash64(nulls, *values).alias("h1"), F.xxhash64(F.lit("second"), *values, nulls).alias("h2")]
+
+
 # ----- deterministic draws ----------------------------------------------------
 # Draws depend on a salt and the row's own key only, so a lost task that runs
 # again makes the same choice and any SQL engine can repeat it.

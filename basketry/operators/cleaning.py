@@ -4,11 +4,16 @@ from __future__ import annotations
 
 import functools
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from basketry.functions.columns import row_digest
+from basketry.operators.joins import left_lookup
+from basketry.session import stage
+
 
 def trim_strings(df: DataFrame) -> DataFrame:
     """Strip leading and trailing blanks of every string column."""
@@ -37,6 +42,32 @@ def clean(df: DataFrame, *, trim_first: bool = False) -> DataFrame:
     return df.transform(dedupe_rows).transform(drop_empty_rows).transform(trim_strings)
 
 
+#: Groups of copies that may be sent to every executor.
+COPIES_AT_ONCE = 500_000
+
+
+def drop_copies(stored: DataFrame) -> DataFrame:
+    """``dedupe_rows`` of a stored table of files, without a shuffle of its rows.
+
+    A row's identity is a digest of 128 bits of all its columns. Groups of equal rows are found by their digests alone, counted
+    before the exchange; of a group the row with the least place (file and row) stays. Only groups with copies are needed after that. They are sent to
+    the executors if they are few, and the rows are read once more and copies passed over where they are; else both sides meet by a shuffle.
+    """
+    columns = stored.columns
+    place = F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("__place")
+    digest = [h.alias(f"__{name}") for h, name in zip(row_digest(columns), ("h1", "h2"))]
+    again = stored.select(*digest, place).groupBy("__h1", "__h2").agg(F.min("__place").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    again = stage(again.where(F.col("__n") > 1).drop("__n"), "copies")
+    few = again.limit(COPIES_AT_ONCE + 1).count() <= COPIES_AT_ONCE
+    rows = stored.select(*columns, *digest, place).join(F.broadcast(again) if few else again, ["__h1", "__h2"], "left")
+    return rows.where(F.col("__first").isNull() | (F.col("__first") == F.col("__place"))).select(columns)
+
+
+def clean_stored(stored: DataFrame) -> DataFrame:
+    """``clean`` of a stored table of files: copies are found by digests, texts stay where they are."""
+    return drop_copies(stored).transform(drop_empty_rows).transform(trim_strings)
+
+
 def dedupe_by_key(
     df: DataFrame,
     keys: Sequence[str],
@@ -115,3 +146,49 @@ def accepted(flagged: DataFrame) -> DataFrame:
 
 def rejected(flagged: DataFrame) -> DataFrame:
     return flagged.where(F.size("reasons") > 0)
+
+
+def with_orphans(df: DataFrame, references: Sequence[tuple[str, DataFrame, str]], **options) -> tuple[DataFrame, dict[str, Column]]:
+    """Rows with a mark for each (column, parent, key), and rules that call a key without a parent ``<column>_orphan``.
+
+    A parent's key must be unique; a null key is an orphan. Options go to ``joins.left_lookup``.
+    """
+    rules = {}
+    for column, parent, key in references:
+        mark = f"__known_{column}"
+        known = parent.where(F.col(key).isNotNull()).select(F.col(key).alias(column), F.lit(True).alias(mark))
+        df = left_lookup(df, known, column, **options)
+        rules[f"{column}_orphan"] = F.col(mark).isNull()
+    return df, rules
+
+
+@dataclass(frozen=True)
+class Routed:
+    """A stored table of flagged rows, split by verdict: reading one side reads only its files."""
+
+    table: DataFrame
+
+    @property
+    def accepted(self) -> DataFrame:
+        return self.table.where(F.col("verdict") == "accepted").drop("verdict", "reasons")
+
+    @property
+    def rejected(self) -> DataFrame:
+        return self.table.where(F.col("verdict") == "rejected").drop("verdict")
+
+
+def judged(df: DataFrame, rules: Mapping[str, Column], references: Sequence[tuple[str, DataFrame, str]] = (), **options) -> DataFrame:
+    """Rows with ``reasons`` (rules in order, then orphans) and ``verdict``: accepted without a reason, else rejected.
+
+    Every input is read once: the rows, and each parent's key column.
+    """
+    columns = df.columns
+    marked, orphans = with_orphans(df, references, **options)
+    found = quarantine(marked, {**rules, **orphans})
+    verdict = F.when(F.size("reasons") == 0, "accepted").otherwise("rejected")
+    return found.select(*columns, "reasons", verdict.alias("verdict"))
+
+
+def route(df: DataFrame, rules: Mapping[str, Column], references: Sequence[tuple[str, DataFrame, str]], lake, name: str, **options) -> Routed:
+    """Write accepted and rejected rows in one pass, each to its own folder of the table; no row is lost or in both."""
+    return Routed(lake.overwrite(judged(df, rules, references, **options), name, partition_by=["verdict"]))

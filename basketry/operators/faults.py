@@ -84,7 +84,13 @@ def ghost_keys(df: DataFrame, key: str, column: str, share: float, salt: str = "
     return df.withColumn(column, F.when(chosen(share, f"{salt}-{column}", *at), ghost).otherwise(F.col(column)))
 
 
-def _spoil(df: DataFrame, key: str, share: float, salt: str, options: Sequence[tuple[str, Column]]) -> DataFrame:
+def ghost_numbers(df: DataFrame, key: str, column: str, share: float, salt: str = "ghost") -> DataFrame:
+    """Point a share of a positive numeric foreign key at numbers that do not exist: below zero."""
+    at = _key(df, key)
+    return df.withColumn(column, F.when(chosen(share, f"{salt}-{column}", *at), -F.abs(F.col(column))).otherwise(F.col(column)))
+
+
+def spoil(df: DataFrame, key: str, share: float, salt: str, options: Sequence[tuple[str, Column]]) -> DataFrame:
     """In a share of the rows replace one column, each option equally likely."""
     at = _key(df, key)
     hit, which = chosen(share, salt, *at), draw_below(len(options), f"{salt}-kind", *at)
@@ -97,7 +103,7 @@ def _spoil(df: DataFrame, key: str, share: float, salt: str, options: Sequence[t
 
 def invalid_customers(df: DataFrame, key: str, share: float, salt: str = "invalid") -> DataFrame:
     at = _key(df, key)
-    return _spoil(df, key, share, salt, [
+    return spoil(df, key, share, salt, [
         ("age", pick(BAD_AGES, f"{salt}-age", *at).cast(df.schema["age"].dataType)),
         ("email", pick(BAD_EMAILS, f"{salt}-email", *at)),
         ("phone", pick(BAD_PHONES, f"{salt}-phone", *at)),
@@ -108,7 +114,7 @@ def invalid_orders(df: DataFrame, key: str, now: Column, share: float, salt: str
     """Negative quantity, negative price, future event time or unknown status."""
     at = _key(df, key)
     future = now + F.make_dt_interval(days=draw_between(1, 60, f"{salt}-days", *at).cast("int"))
-    return _spoil(df, key, share, salt, [
+    return spoil(df, key, share, salt, [
         ("quantity", (-draw_between(1, 10, f"{salt}-quantity", *at)).cast(df.schema["quantity"].dataType)),
         ("price", -F.abs(F.col("price"))),
         ("event_time", future),
@@ -118,7 +124,7 @@ def invalid_orders(df: DataFrame, key: str, now: Column, share: float, salt: str
 
 def invalid_payments(df: DataFrame, key: str, share: float, salt: str = "invalid") -> DataFrame:
     at = _key(df, key)
-    return _spoil(df, key, share, salt, [
+    return spoil(df, key, share, salt, [
         ("payment_status", pick(BAD_PAYMENT_STATUSES, f"{salt}-status", *at)),
         ("amount", -F.abs(F.col("amount"))),
     ])
@@ -126,13 +132,13 @@ def invalid_payments(df: DataFrame, key: str, share: float, salt: str = "invalid
 
 def invalid_shipping(df: DataFrame, key: str, share: float, salt: str = "invalid") -> DataFrame:
     at = _key(df, key)
-    return _spoil(df, key, share, salt, [("delivery_status", pick(BAD_DELIVERY_STATUSES, f"{salt}-status", *at))])
+    return spoil(df, key, share, salt, [("delivery_status", pick(BAD_DELIVERY_STATUSES, f"{salt}-status", *at))])
 
 
 def outliers(df: DataFrame, key: str, share: float, salt: str = "outlier") -> DataFrame:
     """Huge amount, quantity or discount."""
     at = _key(df, key)
-    return _spoil(df, key, share, salt, [
+    return spoil(df, key, share, salt, [
         ("amount", draw_between(200_000_000, 5_000_000_000, f"{salt}-amount", *at) / 100),
         ("quantity", draw_between(1000, 9999, f"{salt}-quantity", *at).cast(df.schema["quantity"].dataType)),
         ("discount", pick(OUTLIER_DISCOUNTS, f"{salt}-discount", *at).cast(df.schema["discount"].dataType)),

@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.contracts import QUALITY_RULES
-from basketry.functions.columns import number_or_null, percent
-from basketry.operators.joins import unmatched_counts
+from basketry.functions.columns import number_or_null, percent, row_digest
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -36,19 +35,34 @@ def null_report(tables: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFr
     return _union(parts)
 
 
+def _by_table(frames: Sequence[DataFrame]) -> list[tuple[DataFrame, list[int]]]:
+    """Each different frame once, with the places where it stands."""
+    found: dict[int, tuple[DataFrame, list[int]]] = {}
+    for i, df in enumerate(frames):
+        found.setdefault(id(df), (df, []))[1].append(i)
+    return list(found.values())
+
+
 def duplicate_report(checks: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
     """(check, rows, duplicates): rows beyond the first of each value of the columns.
 
-    Nulls compare equal. Copies combine before the shuffle.
+    Nulls compare equal. Checks that name the same frame share its scan: a row is sent once a check, as a digest of 128 bits, and all
+    checks of all tables meet in one exchange. Copies combine before it, so a value that very many rows share is one row a task.
     """
+    names, frames, columns = list(checks), [df for df, _ in checks.values()], [c for _, c in checks.values()]
     parts = []
-    for name, (df, columns) in checks.items():
-        groups = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
-        parts.append(groups.agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
-            F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicates"),
-        ).select(F.lit(name).alias("check"), "rows", "duplicates"))
-    return _union(parts)
+    for df, places in _by_table(frames):
+        entries = [F.struct(F.lit(i).alias("check"), *row_digest(columns[i])) for i in places]
+        parts.append(df.select(F.inline(F.array(*entries))))
+    groups = _union(parts).groupBy("check", "h1", "h2").agg(F.count(F.lit(1)).alias("n"))
+    found = groups.groupBy("check").agg(F.sum("n").alias("rows"), F.sum(F.col("n") - 1).alias("duplicates"))
+    return _named(frames[0], names, "check").join(found.withColumnRenamed("check", "_number"), "_number", "left").select(
+        "check", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("rows", "duplicates")])
+
+
+def _named(df: DataFrame, names: Sequence[str], column: str) -> DataFrame:
+    """(_number, name), one row each."""
+    return df.sparkSession.createDataFrame(list(enumerate(names)), f"_number int, {column} string")
 
 
 def coerced(df: DataFrame, numbers: Sequence[str] = (), times: Sequence[str] = ()) -> DataFrame:
@@ -80,13 +94,29 @@ def rule_report(tables: Mapping[str, DataFrame], now: Column | str, rules=QUALIT
 
 
 def reference_report(links: Sequence[tuple[str, DataFrame, str, str, DataFrame, str]]) -> DataFrame:
-    """(child, column, parent, rows, orphans) for (child, df, column, parent, df, key) links."""
-    return _union([
-        unmatched_counts(child_df, parent_df, column, key).select(
-            F.lit(child).alias("child"), F.lit(column).alias("column"), F.lit(parent).alias("parent"), "rows", "orphans",
-        )
-        for child, child_df, column, parent, parent_df, key in links
-    ])
+    """(child, column, parent, rows, orphans) for (child, df, column, parent, df, key) links.
+
+    Every frame is read once, whether it is a child, a parent or both: it sends a row for each of its links, (link, key, child rows, known).
+    One exchange brings a link's keys together; rows of a key are added up before it, so a hot key is one row a task. No
+    summary stands in for the keys: a Bloom filter can show that a key is missing, but not that it is there, and nearly all are. A null key is an orphan.
+    """
+    frames = [df for _, df, *_ in links] + [parent for *_, parent, _ in links]
+    n = len(links)
+    parts = []
+    for df, places in _by_table(frames):
+        entries = []
+        for place in places:
+            link, as_child = place % n, place < n
+            key = F.col(links[link][2] if as_child else links[link][5]).cast("string")
+            child = F.lit(1) if as_child else F.lit(0)
+            entries.append(F.struct(F.lit(link).alias("link"), key.alias("key"), child.cast("bigint").alias("rows"), F.lit(not as_child).alias("known")))
+        parts.append(df.select(F.inline(F.array(*entries))))
+    keys = _union(parts).groupBy("link", "key").agg(F.sum("rows").alias("rows"), F.bool_or("known").alias("known"))
+    missing = ~F.col("known") | F.col("key").isNull()
+    found = keys.groupBy("link").agg(F.sum("rows").alias("rows"), F.sum(F.when(missing, F.col("rows")).otherwise(0)).alias("orphans"))
+    about = frames[0].sparkSession.createDataFrame(
+        [(i, child, column, parent) for i, (child, _, column, parent, _, _) in enumerate(links)], "link int, child string, column string, parent string")
+    return about.join(found, "link", "left").select("child", "column", "parent", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("rows", "orphans")])
 
 
 def late_report(df: DataFrame, flag: Column) -> DataFrame:

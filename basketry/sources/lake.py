@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 
@@ -28,9 +29,11 @@ class Lake:
     def _table(self, name: str) -> str:
         return f"{self.database}.{name}" if self.database else name
 
-    def read(self, name: str) -> DataFrame:
+    def read(self, name: str, schema: T.StructType | None = None) -> DataFrame:
+        """The table; ``schema`` is needed where a partitioned table may be empty, which leaves no file to tell it."""
         if self.root:
-            return self.spark.read.format(self.provider).load(self._path(name))
+            reader = self.spark.read.format(self.provider)
+            return (reader.schema(schema) if schema is not None else reader).load(self._path(name))
         return self.spark.table(self._table(name))
 
     def overwrite(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
@@ -42,7 +45,19 @@ class Lake:
             writer.save(self._path(name))
         else:
             writer.saveAsTable(self._table(name))
-        return self.read(name)
+        return self.read(name, df.schema if partition_by and self.provider != "delta" else None)
+
+    def replace_partitions(self, df: DataFrame, name: str, by: Sequence[str]) -> DataFrame:
+        """Replace the partitions that ``df`` has rows of, and no others; a repeated write leaves the same table."""
+        writer = df.write.format(self.provider).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        if self.root:
+            writer.partitionBy(*by).save(self._path(name))
+        elif self.spark.catalog.tableExists(self._table(name)):
+            rest = [c for c in df.columns if c not in by]
+            df.select(*rest, *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(self._table(name))
+        else:
+            writer.partitionBy(*by).saveAsTable(self._table(name))
+        return self.read(name, df.schema if self.provider != "delta" else None)
 
     def append_stream(self, df: DataFrame, name: str, checkpoint: str) -> StreamingQuery:
         """Start a run that appends everything available now and stops."""

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -94,6 +96,24 @@ def publish(messages: DataFrame, options: dict[str, str]) -> None:
     messages.write.format("kafka").options(**options).save()
 
 
+def publish_counted(lines: DataFrame, topics: Sequence[str], send: Callable[[DataFrame], None]) -> DataFrame:
+    """Send the readable lines and count them as they go by: (topic, published, failed), one row a topic.
+
+    ``lines`` has ``topic`` and what ``send`` needs. The counters are metrics of the sending job itself, so the lines are read
+    once. Lines of a topic that is not listed are counted under a null topic, if there are any.
+    """
+    good = is_document(F.col("value"))
+    known = F.col("topic").isin(*topics)
+    of = [F.col("topic") == t for t in topics] + [~F.coalesce(known, F.lit(False))]
+    metrics = [F.count_if(mine & F.coalesce(ok, F.lit(False))).alias(f"{name}_{i}") for i, mine in enumerate(of) for name, ok in (("published", good), ("failed", ~good))]
+    seen = Observation()
+    send(lines.observe(seen, *metrics).where(good))
+    found = seen.get
+    rows = [(t, found[f"published_{i}"], found[f"failed_{i}"]) for i, t in enumerate([*topics, None])]
+    rows = [r for r in rows if r[0] is not None or r[1] + r[2]]
+    return lines.sparkSession.createDataFrame(rows, "topic string, published long, failed long")
+
+
 def publish_stats(lines: DataFrame) -> DataFrame:
     """(topic, published, failed) of lines that carry their ``topic``."""
     return lines.groupBy("topic").agg(
