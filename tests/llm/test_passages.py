@@ -71,20 +71,6 @@ def test_segments_cover_every_window_once(monkeypatch):
 # benchmark overlaps ---------------------------------------------------------------------
 
 
-def overlap(doc: list[str], item: list[str]) -> bool:
-    """Plain form of the rule: a hit of a mask, and a window at the hit that agrees enough."""
-    masks = spaced_seeds.LONG if len(item) >= 12 else spaced_seeds.SHORT
-    span, size = len(masks[0]), min(len(item), spaced_seeds.WINDOW)
-    for at in range(len(doc) - span + 1):
-        for place in range(len(item) - span + 1):
-            if any(all(doc[at + i] == item[place + i] for i, c in enumerate(m) if c == "1") for m in masks):
-                for start in (min(place, len(item) - size), max(place + span - size, 0)):
-                    beside = [(at - place + j, j) for j in range(start, start + size)]
-                    if sum(0 <= d < len(doc) and doc[d] == item[j] for d, j in beside) >= spaced_seeds.LEAST * size:
-                        return True
-    return False
-
-
 @pytest.mark.parametrize("small", [True, False])
 def test_overlaps_equal_the_plain_rule(spark, docs_of, monkeypatch, small):
     if not small:
@@ -102,13 +88,25 @@ def test_overlaps_equal_the_plain_rule(spark, docs_of, monkeypatch, small):
     got = spaced_seeds.overlaps(
         docs_of([(i, " ".join(d).replace("w1 ", "W1, ")) for i, d in enumerate(docs)]),
         spark.createDataFrame([(i, " ".join(t)) for i, t in items], "item_id long, text string"))
-    want = {(i, k) for i, d in enumerate(docs) for k, item in items if len(item) >= 6 and overlap(d, item)}
-    assert {(r["doc_id"], r["item_id"]) for r in got.collect()} == want
+    want = {(i, k): share for i, d in enumerate(docs) for k, item in items if len(item) >= 6 and (share := whole_rule(d, item)) >= spaced_seeds.LEAST}
+    assert {(r["doc_id"], r["item_id"]): r["overlap"] for r in got.collect()} == want
     assert len(want) > 15
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
 
 
+@pytest.mark.parametrize("at_once", [500_000, 0])
+def test_long_texts_and_items_without_an_id(spark, docs_of, monkeypatch, at_once):
+    """An item far inside a text of 20,000 words; items without an id, with a repeated id, and repeated ones."""
+    monkeypatch.setattr(spaced_seeds, "SEEDS_AT_ONCE", at_once)
+    item = lambda k, n: " ".join(f"q{k}w{i}" for i in range(n))
+    items = [(None, item(1, 40)), (None, item(2, 40)), (7, item(3, 30)), (7, item(4, 8)), (8, item(5, 12)), (8, item(5, 12))]
+    lead = " ".join(f"v{i % 5003}" for i in range(20_000))
+    docs = [(1, f"{lead} {item(1, 40)} {lead}"), (2, item(4, 8) + " " + lead), (3, lead), (4, item(5, 12)), (5, item(2, 40)), (6, "q3w0 q4w1 q3w2 q4w3 q3w4 q4w5 q3w6 q4w7")]
+    got = spaced_seeds.overlaps(docs_of(docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["overlap"], r["first_word"]) for r in got) == [(1, None, 1.0, 20_000), (2, 7, 1.0, 0), (4, 8, 1.0, 0), (5, None, 1.0, 0)]
+
+
 def test_substituted_words_do_not_hide_an_item(spark, docs_of):
     item = [f"term{i}" for i in range(40)]
     doc = [w if i % 7 else "other" for i, w in enumerate(item)]
