@@ -11,11 +11,12 @@ from pyspark.sql import types as T
 
 from basketry.catalog import sqlkit as q
 from basketry.catalog.registry import query
-from basketry.catalog.retail import COPIED, KEY, RETAIL, copied_orders, people
+from basketry.catalog.retail import COPIED, KEY, RETAIL, copied_orders
 from basketry.contracts import ENTITIES, FAULT_SHARES, ORDER_PREVIEW
 from basketry.functions.columns import chosen
-from basketry.operators import cleaning, faults, synth
+from basketry.operators import cleaning, faults
 from basketry.operators.decode import decode_inferred, decode_typed, field_presence, payload_type, unknown_fields
+from basketry.plans import shop
 from basketry.plans.roles import STAR_SCHEMAS, StarRetail, read_table
 from basketry.session import new_folder, stage
 from basketry.sources import files
@@ -367,19 +368,19 @@ def retail_messages(spark, sf):
     share = FAULT_SHARES["duplicate"]
     today = F.lit(q.TODAY).cast("timestamp")
     sold = copied_orders(spark, sf)
-    paid = faults.add_copies(synth.payments(sold), KEY, share, "copy-payments")
-    who = faults.add_copies(people(spark, sf), "customer_id", share, "copy-customers")
+    paid = faults.add_copies(shop.payments(spark, sf), KEY, share, "copy-payments")
+    who = faults.add_copies(shop.customers(spark, sf), "customer_id", share, "copy-customers")
     number = F.substring("customer_id", 5, 20).cast("bigint")
     return {
         "customers": _envelope_of(who, "customers", "customer_id", number, today),
-        "products": _envelope_of(synth.catalog_products(spark), "products", "product_id", F.substring("product_id", 5, 20).cast("bigint"), today),
+        "products": _envelope_of(shop.products(spark, sf), "products", "product_id", F.substring("product_id", 5, 20).cast("bigint"), today),
         "orders": _envelope_of(sold, "orders", "order_id", F.col(KEY), F.col("event_time")),
         "payments": _envelope_of(paid, "payments", "payment_id", F.col(KEY), today),
-        "shipping": _envelope_of(synth.shipping(sold), "shipping", "shipment_id", F.col(KEY), today),
+        "shipping": _envelope_of(shop.shipping(spark, sf), "shipping", "shipment_id", F.col(KEY), today),
     }
 
 
-_LAYERS_SQL = f"""{COPIED}, {q.PAID}, {q.copies('paid2', 'paid', KEY, salt='copy-payments')}, {q.copies('people2', 'people', 'customer_id', salt='copy-customers')},
+_LAYERS_SQL = f"""{COPIED}, {q.SHOP_PAID}, {q.copies('paid2', 'paid', KEY, salt='copy-payments')}, {q.copies('people2', 'people', 'customer_id', salt='copy-customers')},
 sizes AS (SELECT 'customers' AS "table", COUNT(*) AS n FROM people2 UNION ALL SELECT 'products', COUNT(*) FROM items
 UNION ALL SELECT 'orders', COUNT(*) FROM copied UNION ALL SELECT 'payments', COUNT(*) FROM paid2 UNION ALL SELECT 'shipping', COUNT(*) FROM retail)"""
 

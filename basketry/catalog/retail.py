@@ -1,7 +1,4 @@
-"""Queries on synthetic retail rows keyed by the star tables.
-
-Synthesis, fault injection, data quality, cleaning and codecs.
-"""
+"""Queries on retail entities: fault injection, rules, cleaning and codecs on columns of the star tables, and synthesis over their keys."""
 
 from __future__ import annotations
 
@@ -12,13 +9,13 @@ from pyspark.sql import functions as F
 from basketry.catalog import sqlkit as q
 from basketry.catalog.registry import query
 from basketry.contracts import (
-    BAD_AGES, BAD_DELIVERY_STATUSES, BAD_EMAILS, BAD_ORDER_STATUSES, BAD_PAYMENT_STATUSES, BAD_PHONES, CATEGORY_SPELLINGS,
-    CITY_SPELLINGS, CITY_STATE, COUPON_VERSION_START, ENTITIES, FAULT_SHARES, ORDER_STATUS_SPELLINGS, OUTLIER_DISCOUNTS,
-    PAYMENT_METHOD_SPELLINGS, PRODUCT_CATALOG,
+    BAD_AGES, BAD_DELIVERY_STATUSES, BAD_EMAILS, BAD_ORDER_STATUSES, BAD_PAYMENT_STATUSES, BAD_PHONES, COUPON_VERSION_START, ENTITIES, FAULT_SHARES,
+    OUTLIER_DISCOUNTS, PRODUCT_CATALOG,
 )
 from basketry.functions.columns import chosen, draw_below, padded_id, real_null, to_event_date
 from basketry.operators import cleaning, faults, quality, synth
 from basketry.operators.decode import conform_entity
+from basketry.plans import shop
 from basketry.plans.metrics import metric
 from basketry.plans.roles import EntityRetail, read_table
 from basketry.session import stage
@@ -34,45 +31,53 @@ AT = (KEY, COPY)
 # ----- synthetic tables over the star keys -------------------------------------------
 
 
-def people(spark, sf):
+def drawn_people(spark, sf):
     return synth.customers(read_table(spark, sf, "customer"), "c_custkey", TODAY)
 
 
-def retail_orders(spark, sf):
+def drawn_orders(spark, sf):
     keys = read_table(spark, sf, "orders")
     return synth.orders(
         keys, "o_orderkey", padded_id("CUST", F.col("o_custkey"), 6),
         padded_id("PROD", draw_below(len(PRODUCT_CATALOG), "product", F.col("o_orderkey")) + 1, 4),
-        people(spark, sf), synth.catalog_products(spark), TODAY,
+        drawn_people(spark, sf), synth.catalog_products(spark), TODAY,
     )
 
 
 def copied_orders(spark, sf):
-    return faults.add_copies(retail_orders(spark, sf), KEY, FAULT_SHARES["duplicate"])
+    return faults.add_copies(shop.orders(spark, sf), KEY, FAULT_SHARES["duplicate"])
 
 
-RETAIL = f"WITH {q.ORDERS}"
+DRAWN = f"WITH {q.ORDERS}"
+RETAIL = f"WITH {q.SHOP}"
 COPIED = f"{RETAIL}, {q.copies('copied', 'retail', KEY)}"
-_ORDER_COLUMNS = (
+_DRAWN_COLUMNS = (
     "order_seq, order_id, customer_id, product_id, quantity, price, discount, payment_method, order_status, city, state, country,"
     " event_time, amount, coupon_code"
 )
 
 
-@query("synth_orders", f"{RETAIL} SELECT {_ORDER_COLUMNS} FROM retail")
+_ORDER_COLUMNS = _DRAWN_COLUMNS.replace(" country,", "")
+
+
+def drawn_copies(spark, sf):
+    return faults.add_copies(drawn_orders(spark, sf), KEY, FAULT_SHARES["duplicate"])
+
+
+@query("synth_orders", f"{DRAWN} SELECT {_DRAWN_COLUMNS} FROM retail")
 def _synth_orders(spark, sf):
-    return retail_orders(spark, sf)
+    return drawn_orders(spark, sf)
 
 
-@query("order_amount", f"{RETAIL} SELECT order_seq, amount_decimal AS amount FROM retail")
+@query("order_amount", f"{DRAWN} SELECT order_seq, amount_decimal AS amount FROM retail")
 def _order_amount(spark, sf):
-    orders = retail_orders(spark, sf)
+    orders = drawn_orders(spark, sf)
     return orders.select(KEY, synth.order_amount(F.col("price"), F.col("quantity"), F.col("discount")).alias("amount"))
 
 
 @query("synth_customers", f"WITH {q.PEOPLE} SELECT customer_id, name, age, gender, city, signup_date, phone, email FROM people")
 def _synth_customers(spark, sf):
-    return people(spark, sf)
+    return drawn_people(spark, sf)
 
 
 _CATEGORIES = sorted({c for _, c, _, _, _ in PRODUCT_CATALOG})
@@ -88,14 +93,14 @@ def _synth_keys(spark, sf):
     return synth.products(read_table(spark, sf, "part"), "p_partkey", "p_name", "p_brand", "p_retailprice")
 
 
-@query("synth_weighted", f"""{RETAIL} SELECT 'payment_method' AS field, payment_method AS choice, COUNT(*) AS rows FROM retail GROUP BY 2
+@query("synth_weighted", f"""{DRAWN} SELECT 'payment_method' AS field, payment_method AS choice, COUNT(*) AS rows FROM retail GROUP BY 2
   UNION ALL SELECT 'order_status', order_status, COUNT(*) FROM retail GROUP BY 2
   UNION ALL SELECT 'discount', CAST(discount AS VARCHAR), COUNT(*) FROM retail GROUP BY 2
   UNION ALL SELECT 'quantity', CAST(quantity AS VARCHAR), COUNT(*) FROM retail GROUP BY 2
   UNION ALL SELECT 'hour', CAST(hour(event_time) AS VARCHAR), COUNT(*) FROM retail GROUP BY 2""")
 def _synth_weighted(spark, sf):
     """Realised shares of the weighted choices, all fields in one pass."""
-    orders = retail_orders(spark, sf)
+    orders = drawn_orders(spark, sf)
     fields = {
         "payment_method": F.col("payment_method"), "order_status": F.col("order_status"),
         "discount": F.col("discount").cast("string"), "quantity": F.col("quantity").cast("string"),
@@ -105,15 +110,15 @@ def _synth_weighted(spark, sf):
     return orders.select(F.inline(pairs)).groupBy("field", "choice").agg(F.count(F.lit(1)).alias("rows"))
 
 
-@query("synth_payments", f"{RETAIL}, {q.PAID} SELECT * FROM paid")
+@query("synth_payments", f"{DRAWN}, {q.PAID} SELECT * FROM paid")
 def _synth_payments(spark, sf):
     """Copies of an order must not spawn further payments."""
-    return synth.payments(copied_orders(spark, sf))
+    return synth.payments(drawn_copies(spark, sf))
 
 
-@query("synth_shipping", f"{RETAIL}, {q.SHIPPED} SELECT * FROM shipped")
+@query("synth_shipping", f"{DRAWN}, {q.SHIPPED} SELECT * FROM shipped")
 def _synth_shipping(spark, sf):
-    return synth.shipping(copied_orders(spark, sf))
+    return synth.shipping(drawn_copies(spark, sf))
 
 
 # ----- fault injection ------------------------------------------------------------------
@@ -137,7 +142,7 @@ _NULLABLE = ["discount", "payment_method", "event_time", "coupon_code"]
 
 @query("fault_nulls", f"{RETAIL}, {q.replaced('x', 'retail', **q.nulled(_NULLABLE, KEY))} SELECT {_ORDER_COLUMNS} FROM x")
 def _fault_nulls(spark, sf):
-    return faults.set_nulls(retail_orders(spark, sf), KEY, [*_NULLABLE, "no_such_column"], FAULT_SHARES["null"])
+    return faults.set_nulls(shop.orders(spark, sf), KEY, [*_NULLABLE, "no_such_column"], FAULT_SHARES["null"])
 
 
 @query("fault_duplicates", f"{COPIED} SELECT {_ORDER_COLUMNS}, copy_no FROM copied")
@@ -146,17 +151,17 @@ def _fault_duplicates(spark, sf):
 
 
 def misspelt_orders(spark, sf):
-    orders = retail_orders(spark, sf)
+    orders = shop.orders(spark, sf)
     for column, spellings in (
-        ("payment_method", PAYMENT_METHOD_SPELLINGS), ("city", CITY_SPELLINGS), ("order_status", ORDER_STATUS_SPELLINGS),
+        ("payment_method", shop.PRIORITY_SPELLINGS), ("city", shop.NATION_SPELLINGS), ("order_status", shop.STATUS_SPELLINGS),
     ):
         orders = faults.misspell(orders, KEY, column, spellings, 0.3)
     return orders
 
 
 MISSPELT = f"{RETAIL}, " + q.replaced(
-    "x", "retail", payment_method=q.misspelt("payment_method", PAYMENT_METHOD_SPELLINGS, KEY, share=0.3),
-    city=q.misspelt("city", CITY_SPELLINGS, KEY, share=0.3), order_status=q.misspelt("order_status", ORDER_STATUS_SPELLINGS, KEY, share=0.3),
+    "x", "retail", payment_method=q.misspelt("payment_method", shop.PRIORITY_SPELLINGS, KEY, share=0.3),
+    city=q.misspelt("city", shop.NATION_SPELLINGS, KEY, share=0.3), order_status=q.misspelt("order_status", shop.STATUS_SPELLINGS, KEY, share=0.3),
 )
 
 
@@ -166,7 +171,7 @@ def _fault_variants(spark, sf):
 
 
 def ghost_orders(spark, sf):
-    orders = faults.ghost_keys(retail_orders(spark, sf), KEY, "customer_id", FAULT_SHARES["ghost"])
+    orders = faults.ghost_keys(shop.orders(spark, sf), KEY, "customer_id", FAULT_SHARES["ghost"])
     return faults.ghost_keys(orders, KEY, "product_id", FAULT_SHARES["ghost"])
 
 
@@ -192,7 +197,7 @@ def _now():
 
 
 def bad_orders(spark, sf):
-    return faults.invalid_orders(retail_orders(spark, sf), KEY, _now(), FAULT_SHARES["invalid"])
+    return faults.invalid_orders(shop.orders(spark, sf), KEY, _now(), FAULT_SHARES["invalid"])
 
 
 BAD_ORDERS = f"{RETAIL}, " + q.replaced("x", "retail", **_bad_orders_sql(KEY))
@@ -204,7 +209,7 @@ def _fault_invalid(spark, sf):
 
 
 def bad_people(spark, sf):
-    return faults.invalid_customers(people(spark, sf), "customer_id", FAULT_SHARES["invalid"])
+    return faults.invalid_customers(shop.customers(spark, sf), "customer_id", FAULT_SHARES["invalid"])
 
 
 _BAD_PEOPLE_STEP = q.replaced("bad_people", "people", **q.spoiled([
@@ -213,16 +218,16 @@ _BAD_PEOPLE_STEP = q.replaced("bad_people", "people", **q.spoiled([
 ], "customer_id", share=FAULT_SHARES["invalid"], salt="invalid"))
 
 
-@query("fault_invalid_customers", f"WITH {q.PEOPLE}, {_BAD_PEOPLE_STEP} SELECT customer_id, age, email, phone FROM bad_people")
+@query("fault_invalid_customers", f"WITH {q.SHOP}, {_BAD_PEOPLE_STEP} SELECT customer_id, age, email, phone FROM bad_people")
 def _fault_invalid_customers(spark, sf):
     return bad_people(spark, sf).select("customer_id", "age", "email", "phone")
 
 
 def bad_payments(spark, sf):
-    return faults.invalid_payments(synth.payments(retail_orders(spark, sf)), KEY, FAULT_SHARES["invalid"])
+    return faults.invalid_payments(shop.payments(spark, sf), KEY, FAULT_SHARES["invalid"])
 
 
-BAD_PAYMENTS = f"{RETAIL}, {q.PAID}, " + q.replaced("x", "paid", **q.spoiled(
+BAD_PAYMENTS = f"{RETAIL}, {q.SHOP_PAID}, " + q.replaced("x", "paid", **q.spoiled(
     [("payment_status", q.pick(BAD_PAYMENT_STATUSES, "invalid-status", KEY)), ("amount", "-abs(amount)")],
     KEY, share=FAULT_SHARES["invalid"], salt="invalid"))
 
@@ -232,11 +237,11 @@ def _fault_invalid_payments(spark, sf):
     return bad_payments(spark, sf).select(KEY, "payment_status", "amount")
 
 
-@query("fault_invalid_shipping", f"{RETAIL}, {q.SHIPPED}, " + q.replaced("x", "shipped", **q.spoiled(
+@query("fault_invalid_shipping", f"{RETAIL}, {q.SHOP_SHIPPED}, " + q.replaced("x", "shipped", **q.spoiled(
     [("delivery_status", q.pick(BAD_DELIVERY_STATUSES, "invalid-status", KEY))], KEY, share=FAULT_SHARES["invalid"], salt="invalid"))
     + " SELECT order_seq, delivery_status FROM x")
 def _fault_invalid_shipping(spark, sf):
-    shipments = synth.shipping(retail_orders(spark, sf))
+    shipments = shop.shipping(spark, sf)
     return faults.invalid_shipping(shipments, KEY, FAULT_SHARES["invalid"]).select(KEY, "delivery_status")
 
 
@@ -250,7 +255,7 @@ def _outliers_sql(*key):
 
 @query("fault_outliers", f"{RETAIL}, {q.replaced('x', 'retail', **_outliers_sql(KEY))} SELECT order_seq, amount, quantity, discount FROM x")
 def _fault_outliers(spark, sf):
-    return faults.outliers(retail_orders(spark, sf), KEY, FAULT_SHARES["outlier"]).select(KEY, "amount", "quantity", "discount")
+    return faults.outliers(shop.orders(spark, sf), KEY, FAULT_SHARES["outlier"]).select(KEY, "amount", "quantity", "discount")
 
 
 def _ingested_sql(name, source, *key):
@@ -262,7 +267,7 @@ def _ingested_sql(name, source, *key):
 
 
 def ingested_orders(spark, sf):
-    return faults.add_ingestion_time(retail_orders(spark, sf), KEY, "event_time", FAULT_SHARES["late"])
+    return faults.add_ingestion_time(shop.orders(spark, sf), KEY, "event_time", FAULT_SHARES["late"])
 
 
 INGESTED = f"{RETAIL}, {_ingested_sql('x', 'retail', KEY)}"
@@ -274,7 +279,8 @@ def _fault_late_arrival(spark, sf):
 
 
 def messy_orders(spark, sf):
-    return faults.messy_orders(retail_orders(spark, sf), KEY, _now())
+    return faults.messy_orders(shop.orders(spark, sf), KEY, _now(), spellings={
+        "payment_method": shop.PRIORITY_SPELLINGS, "city": shop.NATION_SPELLINGS, "order_status": shop.STATUS_SPELLINGS})
 
 
 MESSY = ", ".join([
@@ -283,8 +289,8 @@ MESSY = ", ".join([
     q.replaced("m2", "m1", **q.nulled(_NULLABLE, *AT)),
     q.replaced("m3", "m2", **_bad_orders_sql(*AT)),
     q.replaced(
-        "m4", "m3", payment_method=q.misspelt("payment_method", PAYMENT_METHOD_SPELLINGS, *AT),
-        city=q.misspelt("city", CITY_SPELLINGS, *AT), order_status=q.misspelt("order_status", ORDER_STATUS_SPELLINGS, *AT),
+        "m4", "m3", payment_method=q.misspelt("payment_method", shop.PRIORITY_SPELLINGS, *AT),
+        city=q.misspelt("city", shop.NATION_SPELLINGS, *AT), order_status=q.misspelt("order_status", shop.STATUS_SPELLINGS, *AT),
     ),
     q.replaced("m5", "m4", **_outliers_sql(*AT)),
     q.replaced("messy", "m5", customer_id=q.ghosted("customer_id", *AT), product_id=q.ghosted("product_id", *AT)),
@@ -300,7 +306,7 @@ def _fault_all(spark, sf):
 # ----- quality ---------------------------------------------------------------------------
 
 
-@query("dq_rule_counts", f"""{MESSY}, {q.PAID.replace('paid AS', 'paid0 AS')}, {q.replaced('bad_paid', 'paid0', **q.spoiled(
+@query("dq_rule_counts", f"""{MESSY}, {q.SHOP_PAID.replace('paid AS', 'paid0 AS')}, {q.replaced('bad_paid', 'paid0', **q.spoiled(
     [("payment_status", q.pick(BAD_PAYMENT_STATUSES, "invalid-status", KEY)), ("amount", "-abs(amount)")],
     KEY, share=FAULT_SHARES["invalid"], salt="invalid"))}, {_BAD_PEOPLE_STEP}
 """ + " UNION ALL ".join(
@@ -339,7 +345,7 @@ VERSIONED_SQL = f"""SELECT CASE WHEN order_seq >= {COUPON_VERSION_START} THEN 'a
 
 
 def versioned_lines(spark, sf):
-    orders = retail_orders(spark, sf).select(KEY, "customer_id", "payment_method", "event_time", "coupon_code")
+    orders = shop.orders(spark, sf).select(KEY, "customer_id", "payment_method", "event_time", "coupon_code")
     text = files.versioned_json(orders, "coupon_code", F.col(KEY) >= COUPON_VERSION_START)
     return orders.select(KEY, text.alias("value"))
 
@@ -358,24 +364,23 @@ def _canonicalize(spark, sf):
     """Undoing every misspelling must give the clean rows back."""
     orders = misspelt_orders(spark, sf).select(KEY, "payment_method", "city", "order_status")
     for column, spellings in (
-        ("payment_method", PAYMENT_METHOD_SPELLINGS), ("city", CITY_SPELLINGS), ("order_status", ORDER_STATUS_SPELLINGS),
+        ("payment_method", shop.PRIORITY_SPELLINGS), ("city", shop.NATION_SPELLINGS), ("order_status", shop.STATUS_SPELLINGS),
     ):
         orders = cleaning.canonicalize(orders, column, spellings)
     return orders
 
 
-@query("canonicalize_category", f"WITH {_PARTS} SELECT product_id, category FROM parts")
+@query("canonicalize_category", f"{RETAIL} SELECT product_id, category FROM items")
 def _canonicalize_category(spark, sf):
-    items = synth.products(read_table(spark, sf, "part"), "p_partkey", "p_name", "p_brand", "p_retailprice")
-    spelt = faults.misspell(items, "product_id", "category", CATEGORY_SPELLINGS, 0.5)
-    return cleaning.canonicalize(spelt, "category", CATEGORY_SPELLINGS).select("product_id", "category")
+    spelt = faults.misspell(shop.products(spark, sf), "product_id", "category", shop.TYPE_SPELLINGS, 0.5)
+    return cleaning.canonicalize(spelt, "category", shop.TYPE_SPELLINGS).select("product_id", "category")
 
 
-@query("city_state_lookup", f"{MISSPELT} SELECT order_seq, city, {q.dictionary(CITY_STATE, 'city', q.lit('Delhi'))} AS state FROM x")
+@query("city_state_lookup", f"{MISSPELT} SELECT order_seq, city, {q.dictionary(shop.NATION_REGION, 'city', q.lit('elsewhere'))} AS state FROM x")
 def _city_state_lookup(spark, sf):
     """A spelling the dictionary lacks takes the default state."""
     orders = misspelt_orders(spark, sf)
-    return orders.select(KEY, "city", cleaning.lookup_literal(F.col("city"), CITY_STATE, "Delhi").alias("state"))
+    return orders.select(KEY, "city", cleaning.lookup_literal(F.col("city"), shop.NATION_REGION, "elsewhere").alias("state"))
 
 
 _TEXT_TIME = f"""CASE WHEN {q.chosen(0.05, 'nat', 'o_orderkey')} THEN 'NaT' WHEN {q.chosen(0.05, 'blank', 'o_orderkey')} THEN ''
@@ -446,7 +451,7 @@ SELECT CAST(json_object('order_seq', order_seq, 'customer_id', customer_id, 'qua
   'event_time', strftime(event_time, '%Y-%m-%dT%H:%M:%S')) AS VARCHAR) AS value FROM x""")
 def _jsonl_encode(spark, sf):
     """A missing time is a JSON null, never a text."""
-    orders = faults.set_nulls(retail_orders(spark, sf), KEY, ["payment_method", "event_time"], FAULT_SHARES["null"])
+    orders = faults.set_nulls(shop.orders(spark, sf), KEY, ["payment_method", "event_time"], FAULT_SHARES["null"])
     return files.encode(orders.select(KEY, "customer_id", "quantity", "payment_method", "event_time"))
 
 
@@ -500,7 +505,7 @@ def _entity_daily_revenue(spark, sf):
 
 
 _COPY_PAID = q.copies("paid2", "paid", KEY, salt="copy-payments").replace("copy_no", "pc")
-_ENTITY_FANOUT = f"{COPIED}, {q.PAID}, {_COPY_PAID}, {q.copies('people2', 'people', 'customer_id', salt='copy-customers').replace('copy_no', 'cc')}, {q.SHIPPED}"
+_ENTITY_FANOUT = f"{COPIED}, {q.SHOP_PAID}, {_COPY_PAID}, {q.copies('people2', 'people', 'customer_id', salt='copy-customers').replace('copy_no', 'cc')}, {q.SHOP_SHIPPED}"
 
 
 @query("entity_daily_revenue_fanout", f"""{_ENTITY_FANOUT}, sales AS (SELECT copied.* FROM copied LEFT JOIN people2 USING (customer_id)

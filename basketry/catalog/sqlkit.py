@@ -14,6 +14,8 @@ from basketry.contracts import (
     SAME_CITY_SHARE, SIGNUP_WINDOW_DAYS,
 )
 
+from basketry.plans.shop import DELIVERED, NATION_REGION, PAID as PAID_NAMES
+
 TODAY = "2024-06-01"
 
 
@@ -123,6 +125,32 @@ SHIPPED = f"""shipped AS (SELECT order_seq, {id_text('shipment', 'order_seq')} A
   {outcome('order_status', DELIVERY_OUTCOMES, draw('delivery-status', 'order_seq'))} AS delivery_status FROM retail)"""
 
 
+# ----- the entities from columns of the star tables ------------------------------
+
+
+def _named_sql(code: str, names: Mapping[str, str]) -> str:
+    return f"CASE {code} " + " ".join(f"WHEN {lit(k)} THEN {lit(v)}" for k, v in names.items()) + " END"
+
+
+SHOP = f"""items AS (SELECT printf('PROD%04d', p_partkey) AS product_id, p_name AS product_name, p_type AS category, p_brand AS brand, p_retailprice AS price,
+  concat_ws(' ', p_brand, p_name, p_type) AS description FROM part),
+people AS (SELECT printf('CUST%06d', c_custkey) AS customer_id, c_name AS name, c_nationkey + 18 AS age, c_mktsegment AS gender, n_name AS city,
+  substr(c_name, 10) AS phone, lower(c_mktsegment) || substr(c_name, 10) || '@example.org' AS email FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey),
+line_sums AS (SELECT l_orderkey, MIN(l_partkey) AS part, MIN(l_suppkey) AS supplier, CAST(SUM(CAST(l_quantity AS BIGINT)) AS INTEGER) AS quantity,
+  MAX(l_extendedprice) AS price, MAX(CAST(round(l_discount * 100) AS INTEGER)) AS discount, MIN(l_linestatus) AS line_status, MIN(l_returnflag) AS flag
+  FROM lineitem GROUP BY 1),
+retail AS (SELECT o_orderkey AS order_seq, CAST(o_orderkey AS VARCHAR) AS order_id, printf('CUST%06d', o_custkey) AS customer_id,
+  CASE WHEN part IS NOT NULL THEN printf('PROD%04d', part) END AS product_id, quantity, price, discount, o_orderpriority AS payment_method,
+  o_orderstatus AS order_status, city, {_named_sql('city', NATION_REGION)} AS state, CAST(o_orderdate AS TIMESTAMP) AS event_time, o_totalprice AS amount,
+  CASE WHEN o_orderkey >= {COUPON_VERSION_START} THEN line_status END AS coupon_code
+  FROM orders LEFT JOIN line_sums ON l_orderkey = o_orderkey LEFT JOIN people ON people.customer_id = printf('CUST%06d', o_custkey))"""
+SHOP_PAID = f"""paid AS (SELECT o_orderkey AS order_seq, 'PAY' || o_orderkey AS payment_id, CAST(o_orderkey AS VARCHAR) AS order_id, o_orderpriority AS payment_method,
+  {_named_sql('o_orderstatus', PAID_NAMES)} AS payment_status, o_totalprice AS amount FROM orders)"""
+SHOP_SHIPPED = f"""shipped AS (SELECT o_orderkey AS order_seq, 'SHIP' || o_orderkey AS shipment_id, CAST(o_orderkey AS VARCHAR) AS order_id,
+  CASE WHEN supplier IS NOT NULL THEN printf('SUPP%04d', supplier) END AS courier, {_named_sql('flag', DELIVERED)} AS delivery_status
+  FROM orders LEFT JOIN line_sums ON l_orderkey = o_orderkey)"""
+
+
 # ----- faults ------------------------------------------------------------------------
 
 

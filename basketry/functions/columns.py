@@ -53,7 +53,7 @@ def number_or_null(column: Column, kind: str = "double") -> Column:
 
 def padded_id(prefix: str, number: Column, width: int) -> Column:
     """``prefix`` followed by at least ``width`` digits."""
-    return F.format_string(f"{prefix}%0{width}d", number.cast("bigint"))
+    return F.when(number.isNotNull(), F.format_string(f"{prefix}%0{width}d", number.cast("bigint")))
 
 
 # ----- money ----------------------------------------------------------------

@@ -160,21 +160,27 @@ def add_ingestion_time(df: DataFrame, key: str, event: str, share: float, salt:
 # ----- all faults of an entity, in order ----------------------------------------------
 
 
-def messy_orders(df: DataFrame, key: str, now: Column, shares: Mapping[str, float] = FAULT_SHARES) -> DataFrame:
+ORDER_SPELLINGS = {"payment_method": PAYMENT_METHOD_SPELLINGS, "city": CITY_SPELLINGS, "order_status": ORDER_STATUS_SPELLINGS}
+
+
+def messy_orders(
+    df: DataFrame, key: str, now: Column, shares: Mapping[str, float] = FAULT_SHARES, spellings: Mapping[str, Mapping[str, Sequence[str]]] = ORDER_SPELLINGS,
+) -> DataFrame:
     """Copies, ingestion time, nulls, invalid values, spellings, outliers, ghosts.
 
     The order matters: ingestion time must see the clean event time, and copies
     must exist before anything that tells them apart.
     """
-    return (
+    spoilt = (
         df.transform(add_copies, key, shares["duplicate"])
         .transform(add_ingestion_time, key, "event_time", shares["late"])
         .transform(set_nulls, key, ["discount", "payment_method", "event_time", "coupon_code"], shares["null"])
         .transform(invalid_orders, key, now, shares["invalid"])
-        .transform(misspell, key, "payment_method", PAYMENT_METHOD_SPELLINGS, shares["spelling"])
-        .transform(misspell, key, "city", CITY_SPELLINGS, shares["spelling"])
-        .transform(misspell, key, "order_status", ORDER_STATUS_SPELLINGS, shares["spelling"])
-        .transform(outliers, key, shares["outlier"])
+    )
+    for column, known in spellings.items():
+        spoilt = spoilt.transform(misspell, key, column, known, shares["spelling"])
+    return (
+        spoilt.transform(outliers, key, shares["outlier"])
         .transform(ghost_keys, key, "customer_id", shares["ghost"])
         .transform(ghost_keys, key, "product_id", shares["ghost"])
     )
