@@ -3,6 +3,6 @@
 from __future__ import annotations
 
 from basketry.catalog.registry import REGISTRY, Entry
-from basketry.catalog import ingest as _ingest, metrics as _metrics, retail as _retail, tables as _tables  # noqa: F401
+from basketry.catalog import ingest as _ingest, metrics as _metrics, retail as _retail, tables as _tables, entities as _entities  # noqa: F401
 
 __all__ = ["REGISTRY", "Entry"]

@@ -303,6 +303,46 @@ def _fault_all(spark, sf):
     return messy_orders(spark, sf)
 
 
+def _chain(*steps: str) -> str:
+    return f"{RETAIL}, {q.SHOP_PAID}, {q.SHOP_SHIPPED}, " + ", ".join(steps)
+
+
+@query("fault_all_customers", _chain(
+    q.copies("c0", "people", "customer_id"), q.replaced("c1", "c0", **q.nulled(["phone", "email"], "customer_id", "copy_no")),
+    q.replaced("c2", "c1", **q.spoiled([
+        ("age", q.pick(BAD_AGES, "invalid-age", "customer_id", "copy_no")), ("email", q.pick(BAD_EMAILS, "invalid-email", "customer_id", "copy_no")),
+        ("phone", q.pick(BAD_PHONES, "invalid-phone", "customer_id", "copy_no"))], "customer_id", "copy_no", share=FAULT_SHARES["invalid"], salt="invalid")),
+    q.replaced("c3", "c2", city=q.misspelt("city", shop.NATION_SPELLINGS, "customer_id", "copy_no"))) + " SELECT * FROM c3")
+def _fault_all_customers(spark, sf):
+    return faults.messy_customers(shop.customers(spark, sf), "customer_id", spellings=shop.NATION_SPELLINGS)
+
+
+@query("fault_all_products", _chain(
+    q.replaced("c1", "items", **q.nulled(["description"], "product_id")),
+    q.replaced("c2", "c1", category=q.misspelt("category", shop.TYPE_SPELLINGS, "product_id"))) + " SELECT * FROM c2")
+def _fault_all_products(spark, sf):
+    return faults.messy_products(shop.products(spark, sf), "product_id", shop.TYPE_SPELLINGS)
+
+
+@query("fault_all_payments", _chain(
+    q.copies("c0", "paid", KEY), q.replaced("c1", "c0", **q.nulled(["payment_method"], *AT)),
+    q.replaced("c2", "c1", **q.spoiled(
+        [("payment_status", q.pick(BAD_PAYMENT_STATUSES, "invalid-status", *AT)), ("amount", "-abs(amount)")], *AT, share=FAULT_SHARES["invalid"], salt="invalid")),
+    q.replaced("c3", "c2", payment_method=q.misspelt("payment_method", shop.PRIORITY_SPELLINGS, *AT)),
+    q.replaced("c4", "c3", order_id=q.ghosted("order_id", *AT))) + " SELECT * FROM c4")
+def _fault_all_payments(spark, sf):
+    return faults.messy_payments(shop.payments(spark, sf), KEY, spellings=shop.PRIORITY_SPELLINGS)
+
+
+@query("fault_all_shipping", _chain(
+    q.replaced("c1", "shipped", **q.nulled(["courier"], KEY)),
+    q.replaced("c2", "c1", **q.spoiled(
+        [("delivery_status", q.pick(BAD_DELIVERY_STATUSES, "invalid-status", KEY))], KEY, share=FAULT_SHARES["invalid"], salt="invalid")),
+    q.replaced("c3", "c2", order_id=q.ghosted("order_id", KEY))) + " SELECT * FROM c3")
+def _fault_all_shipping(spark, sf):
+    return faults.messy_shipping(shop.shipping(spark, sf), KEY)
+
+
 # ----- quality ---------------------------------------------------------------------------
 
 
@@ -490,7 +530,7 @@ def _schema_report(spark, sf):
 _DAILY = "SELECT CAST(event_time AS DATE) AS order_date, CAST(SUM(CAST(round(amount * 100) AS BIGINT)) AS DOUBLE) / 100 AS revenue, COUNT(*) AS orders FROM {t} GROUP BY 1"
 
 
-def _entities(spark, sf, unique, used=ENTITIES):
+def decoded_entities(spark, sf, unique, used=ENTITIES):
     """Messages cleaned, decoded once and stored typed: no metric parses JSON."""
     from basketry.catalog.ingest import retail_messages
 
@@ -501,7 +541,7 @@ def _entities(spark, sf, unique, used=ENTITIES):
 @query("entity_daily_revenue", f"{RETAIL} {_DAILY.format(t='retail')}")
 def _entity_daily_revenue(spark, sf):
     """JSON messages with re-deliveries, decoded and keyed: each order counts once."""
-    return metric("daily_revenue", _entities(spark, sf, True, ("orders",)), ordered=True)
+    return metric("daily_revenue", decoded_entities(spark, sf, True, ("orders",)), ordered=True)
 
 
 _COPY_PAID = q.copies("paid2", "paid", KEY, salt="copy-payments").replace("copy_no", "pc")
@@ -513,7 +553,7 @@ _ENTITY_FANOUT = f"{COPIED}, {q.SHOP_PAID}, {_COPY_PAID}, {q.copies('people2', '
 {_DAILY.format(t='sales')}""")
 def _entity_daily_revenue_fanout(spark, sf):
     """The same messages through plain joins: re-deliveries multiply."""
-    return metric("daily_revenue", _entities(spark, sf, False), fanout=True, ordered=True)
+    return metric("daily_revenue", decoded_entities(spark, sf, False), fanout=True, ordered=True)
 
 
 @query("entity_top_customers", f"""{_ENTITY_FANOUT}, sales AS (SELECT copied.*, name, age, gender, people2.city AS customer_city FROM copied LEFT JOIN people2 USING (customer_id)
@@ -523,4 +563,4 @@ SELECT customer_id, name, CAST(age AS DOUBLE) AS age, gender, customer_city, CAS
   CAST((2 * CAST(SUM(CAST(round(amount * 100) AS BIGINT)) AS HUGEINT) + COUNT(amount)) // (2 * COUNT(amount)) AS DOUBLE) / 100 AS avg_order_value
 FROM sales GROUP BY ALL""")
 def _entity_top_customers(spark, sf):
-    return metric("top_customers", _entities(spark, sf, False), fanout=True)
+    return metric("top_customers", decoded_entities(spark, sf, False), fanout=True)

@@ -34,18 +34,24 @@ FAULTY = {
 IDS = {"customer": ["c_custkey"], "part": ["p_partkey"], "orders": ["o_orderkey"], "lineitem": ["l_orderkey", "l_linenumber"], "events": ["event_id"]}
 
 
-def faulty(spark, sf, table):
-    key, columns, nulls, ghosts = FAULTY[table]
+def copied(spark, sf, table):
+    """Columns of a table, some rows twice."""
+    key, columns, *_ = FAULTY[table]
     df = read_table(spark, sf, table).select(*columns.split(), F.expr(key).cast("bigint").alias(KEY))
-    df = df.transform(faults.add_copies, KEY, FAULT_SHARES["duplicate"], f"copy-{table}")
-    df = df.transform(faults.set_nulls, KEY, nulls.split(), FAULT_SHARES["null"])
+    return df.transform(faults.add_copies, KEY, FAULT_SHARES["duplicate"], f"copy-{table}")
+
+
+def faulty(spark, sf, table):
+    """The same with nulls and ghost keys; copies are hit each for itself."""
+    _, _, nulls, ghosts = FAULTY[table]
+    df = copied(spark, sf, table).transform(faults.set_nulls, KEY, nulls.split(), FAULT_SHARES["null"])
     for column in ghosts.split():
         df = faults.ghost_numbers(df, KEY, column, FAULT_SHARES["ghost"])
     return df
 
 
 def faulty_sql(table):
-    """Common table expressions that end in <table>_x."""
+    """Common table expressions that end in <table>_c with copies and <table>_x with all faults."""
     key, columns, nulls, ghosts = FAULTY[table]
     changes = q.nulled(nulls.split(), *AT)
     changes |= {c: f"CASE WHEN {q.chosen(FAULT_SHARES['ghost'], f'ghost-{c}', *AT)} THEN -abs({c}) ELSE {c} END" for c in ghosts.split()}
@@ -74,13 +80,13 @@ def _without_id(table):
 
 
 @query("dq_duplicates", f"WITH {', '.join(map(faulty_sql, FAULTY))} " + " UNION ALL ".join(
-    f"""SELECT '{t} {how}' AS "check", COUNT(*) AS rows, COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT {', '.join(columns)} FROM {t}_x)) AS duplicates FROM {t}_x"""
+    f"""SELECT '{t} {how}' AS "check", COUNT(*) AS rows, COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT {', '.join(columns)} FROM {t}_c)) AS duplicates FROM {t}_c"""
     for t in FAULTY for how, columns in (("by id", IDS[t]), ("without id", _without_id(t)))))
 def _dq_duplicates(spark, sf):
     """Ten checks on five tables: five scans and one exchange of rows."""
     checks = {}
     for t in FAULTY:
-        df = faulty(spark, sf, t)
+        df = copied(spark, sf, t)
         checks |= {f"{t} by id": (df, IDS[t]), f"{t} without id": (df, _without_id(t))}
     return quality.duplicate_report(checks)
 

@@ -186,12 +186,14 @@ def messy_orders(
     )
 
 
-def messy_customers(df: DataFrame, key: str, shares: Mapping[str, float] = FAULT_SHARES) -> DataFrame:
+def messy_customers(
+    df: DataFrame, key: str, shares: Mapping[str, float] = FAULT_SHARES, spellings: Mapping[str, Sequence[str]] = CITY_SPELLINGS,
+) -> DataFrame:
     return (
         df.transform(add_copies, key, shares["duplicate"])
         .transform(set_nulls, key, ["phone", "email"], shares["null"])
         .transform(invalid_customers, key, shares["invalid"])
-        .transform(misspell, key, "city", CITY_SPELLINGS, shares["spelling"])
+        .transform(misspell, key, "city", spellings, shares["spelling"])
     )
 
 
@@ -202,12 +204,14 @@ def messy_products(df: DataFrame, key: str, spellings: Mapping[str, Sequence[str
     )
 
 
-def messy_payments(df: DataFrame, key: str, shares: Mapping[str, float] = FAULT_SHARES) -> DataFrame:
+def messy_payments(
+    df: DataFrame, key: str, shares: Mapping[str, float] = FAULT_SHARES, spellings: Mapping[str, Sequence[str]] = PAYMENT_METHOD_SPELLINGS,
+) -> DataFrame:
     return (
         df.transform(add_copies, key, shares["duplicate"])
         .transform(set_nulls, key, ["payment_method"], shares["null"])
         .transform(invalid_payments, key, shares["invalid"])
-        .transform(misspell, key, "payment_method", PAYMENT_METHOD_SPELLINGS, shares["spelling"])
+        .transform(misspell, key, "payment_method", spellings, shares["spelling"])
         .transform(ghost_keys, key, "order_id", shares["ghost"])
     )
 

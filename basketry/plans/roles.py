@@ -118,12 +118,15 @@ class Retail:
 
 
 def stored(retail: Retail) -> Retail:
-    """The same roles with the sales fact written once, for many metrics to read."""
+    """The same roles with what many metrics read written once: lines added up per order and product, from these the totals per order, and the attributes."""
     kept = copy.copy(retail)
-    if kept.totals is not None:
-        kept.totals = replace(kept.totals, df=stage(kept.totals.df, "totals"))
-    else:
-        kept.lines = replace(kept.lines, df=stage(kept.lines.df, "lines"))
+    kept.customers = stage(retail.customers, "customers")
+    if retail.totals is None:
+        kept.lines = replace(retail.lines, df=stage(retail.lines.df, "lines"))
+        return kept
+    keys = ["order_id", "product_id"]
+    kept.rolled_up(stage(retail.lines.df.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in SALES_MEASURES]), "lines"))
+    kept.totals = replace(kept.totals, df=stage(kept.totals.df, "totals"))
     return kept
 
 
@@ -209,6 +212,12 @@ class StarRetail(Retail):
             _one().alias("line_count"), _one().alias("priced"),
         )
 
+    def rolled_up(self, lines: DataFrame) -> None:
+        """Take these lines, added up per order and product, for the sales facts from now on."""
+        for name in ("lines", "totals", "_to_customers"):
+            self.__dict__.pop(name, None)
+        self._lines = lines
+
     @cached_property
     def _to_customers(self) -> Lookup:
         columns = ("name", "gender", "customer_city", "city", "state")
