@@ -46,8 +46,6 @@ from basketry.session import stage
 BLOCK = 16
 #: Runs shorter than this are sorted at once.
 SMALL = 2048
-#: Stands for the id of rows without one.
-_NO_ID = -(1 << 63)
 
 
 # the sort -----------------------------------------------------------------------------------------------------------
@@ -175,9 +173,9 @@ def _parts(text: Column) -> Column:
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """Text with the key of its row: id and a hash of the text."""
-    text = whole_text()
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc_id"), F.hash(text).alias("h"), text.alias("text"))
+    """Text with the key of its row: id and a hash of the text; two hashes where the id is null. ``id`` is the id as it is."""
+    text, own = whole_text(), F.col("doc_id").cast("long")
+    return docs.select(F.coalesce(own, F.xxhash64(F.lit("no id"), text)).alias("doc_id"), F.xxhash64(text).alias("h"), own.alias("id"), text.alias("text"))
 
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -325,14 +323,14 @@ def removed_runs(docs: DataFrame, parts: DataFrame) -> DataFrame:
 
 def report(docs: DataFrame) -> DataFrame:
     """One row a document: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
-    parts = stage(_keyed(docs).select("doc_id", "h", _parts(F.col("text")).alias("p")).select("doc_id", "h", "p.*"), "suffix-parts")
+    parts = stage(_keyed(docs).select("doc_id", "h", "id", _parts(F.col("text")).alias("p")).select("doc_id", "h", "id", "p.*"), "suffix-parts")
     runs = removed_runs(docs, parts)
     sizes = parts.select("doc_id", "h", "n_bytes").distinct()
     partly = stage(runs.join(sizes, ["doc_id", "h"]).where("n_removed < n_bytes").select("doc_id", "h", "runs"), "suffix-partly")
     kept = _texts(docs, partly).select("doc_id", "h", _kept_sha(F.col("text"), F.col("runs")).alias("kept"))
-    found = parts.select("doc_id", "h", "n_bytes", "sha").join(runs.drop("runs"), ["doc_id", "h"], "left").join(kept, ["doc_id", "h"], "left")
+    found = parts.select("doc_id", "h", "id", "n_bytes", "sha").join(runs.drop("runs"), ["doc_id", "h"], "left").join(kept, ["doc_id", "h"], "left")
     nothing = F.lit(hashlib.sha256(b"").hexdigest())
     return found.select(
-        F.nullif(F.col("doc_id"), F.lit(_NO_ID)).alias("doc_id"), "n_bytes", F.coalesce("n_removed", F.lit(0)).alias("n_removed"),
+        F.col("id").alias("doc_id"), "n_bytes", F.coalesce("n_removed", F.lit(0)).alias("n_removed"),
         F.coalesce("n_spans", F.lit(0)).alias("n_spans"),
         F.coalesce("kept", F.when(F.col("n_removed").isNull(), F.col("sha")).otherwise(nothing)).alias("kept_sha256"))

@@ -68,6 +68,17 @@ def test_segments_cover_every_window_once(monkeypatch):
     assert set(whole.anchor) <= set(cut.anchor) and cut.count.sum() == whole.count.sum()
 
 
+def test_texts_without_an_id_are_told_apart(spark, docs_of):
+    """Two texts of equal 32-bit hash, both without id, one of them repeated elsewhere: the other stays."""
+    from pyspark.sql import functions as F
+
+    texts = spark.range(200_000).select(F.concat(*[F.sha2(F.concat_ws(":", F.lit(i), "id"), 256) for i in range(7)]).alias("text"))
+    alike = texts.groupBy(F.hash("text")).agg(F.collect_list("text").alias("t")).where(F.size("t") > 1).first()["t"]
+    docs = [(None, alike[0]), (None, alike[1]), (5, "x " + alike[0] + " y"), (None, "short")]
+    got = {(r["doc_id"], r["n_bytes"], r["n_removed"]) for r in suffix_dedup.report(docs_of(docs)).collect()}
+    assert got == {(None, 448, 448), (None, 448, 0), (5, 452, 448), (None, 5, 0)}
+
+
 # benchmark overlaps ---------------------------------------------------------------------
 
 
