@@ -20,7 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.llm.common import ranges, strings, whole_text, with_ids
@@ -208,62 +208,68 @@ def _check(nodes: DataFrame, pairs: DataFrame, links: _Links) -> None:
 
 
 def _open(members: DataFrame, links: _Links) -> DataFrame:
-    """Members (bucket, node, pending) of buckets with several components and pending members: adds comp and size; a written table."""
+    """Members (bucket, node) of buckets that hold several components: adds comp and size; a written table."""
     rows = links.of(members, "node", "comp")
-    ends = rows.groupBy("bucket").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max("pending").alias("any"))
-    open_ = stage(ends.where("lo <> hi AND any").select("bucket", "size"), "open")
+    ends = rows.groupBy("bucket").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    open_ = stage(ends.where("lo <> hi").select("bucket", "size"), "open")
     return stage(rows.join(open_, "bucket"), "members")
 
 
-def _ordered(a: str, b: str) -> list[Column]:
-    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
-
-
 def _resolve(nodes: DataFrame, members: DataFrame, links: _Links) -> None:
     """Find all links between members (bucket, node) of a bucket.
 
     Small buckets compare all their members. A large one compares them with its centre c, the member that meets the most
     others. Two members x and y without a common shingle outside of c share at most min(|x & c|, |y & c|) shingles, which
-    with the sizes bounds their similarity. Of the members near c, pairs that the bound allows are compared, by groups of
-    equal profile (size, shared with c), and members with a common shingle outside of c make new buckets.
-    A member far from c stays pending: by the triangle inequality of the Jaccard distance it can be linked only with
-    members at some distance from c, which stay in the bucket for it. From level to level larger buckets count as small,
-    so the levels end.
+    with the sizes bounds their similarity: pairs that the bound allows are compared, by groups of equal profile (size,
+    shared with c). Members with a common shingle outside of c make new buckets, by the rarest of these (``_own_buckets``).
+    So what many texts share, a passage or the text most are copies of, is the centre's and never brings them together
+    again. From level to level larger buckets count as small, so the levels end.
     """
-    members = members.withColumn("pending", F.lit(True))
     most, percent = SMALL, links.like.percent
     while True:
         members = _open(members, links)
         if members.isEmpty():
             return
         small = members.where(F.col("size") <= most)
-        one = small.where("pending").select("bucket", F.col("node").alias("x"), F.col("comp").alias("cx"))
-        two = small.select("bucket", F.col("node").alias("y"), F.col("comp").alias("cy"))
-        _check(nodes, one.join(two, "bucket").where("cx <> cy").select(*_ordered("x", "y")).distinct(), links)
+        one = small.select("bucket", F.col("node").alias("a"), F.col("comp").alias("_x"))
+        two = small.select("bucket", F.col("node").alias("b"), F.col("comp").alias("_y"))
+        _check(nodes, one.join(two, "bucket").where("a < b AND _x <> _y").select("a", "b").distinct(), links)
 
-        large = members.where(F.col("size") > most).select("bucket", "node", "size", "pending")
+        large = members.where(F.col("size") > most).select("bucket", "node", "size")
         most *= 4
         if large.isEmpty():
             return
         degree = stage(large.groupBy("node").agg(F.sum("size").alias("degree")), "degrees")
         top = F.max(F.struct("degree", (-F.col("node")).alias("last")))
-        centre = large.where("pending").join(degree, "node").groupBy("bucket").agg(top.alias("top")).select("bucket", (-F.col("top.last")).alias("a"))
-        around = stage(large.join(stage(centre, "centres"), "bucket").where("node <> a").select("bucket", "a", F.col("node").alias("b"), "pending"), "around")
-        profiles = links.profiles(stage(around.select("a", "b").distinct(), "around-pairs"))
+        centre = large.join(degree, "node").groupBy("bucket").agg(top.alias("top")).select("bucket", (-F.col("top.last")).alias("a"))
+        around = large.join(stage(centre, "centres"), "bucket").where("node <> a").select("a", F.col("node").alias("b"))
+        profiles = links.profiles(stage(around.distinct(), "around-pairs"))
         links.add(profiles.where("linked"))
 
-        alike = 100 * F.col("common") / (F.col("m") + F.col("n") - F.col("common"))
-        near = stage(links.of(profiles.where(alike >= percent - 25).select("a", "b", "n", "common", "own"), "b", "comp"), "profile-rows")
-        _check(nodes, _allowed(near, percent), links)
-        left = around.drop("pending").join(profiles.where(alike < 75).select("a", "b", (alike < percent - 25).alias("far")), ["a", "b"])
-        left = left.select("bucket", F.col("b").alias("node"), F.col("far").alias("pending"))
-        members = left.unionByName(_own_buckets(near))
+        rows = links.of(profiles, "b", "comp")
+        apart = rows.groupBy("a").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("a")
+        rows = stage(rows.join(stage(apart, "centres-apart"), "a").select("a", "b", "n", "common", "own", "comp"), "profile-rows")
+        # a set that has less than its share at the threshold inside of c fits no other without a shingle outside of c
+        _check(nodes, _allowed(rows.where(F.col("common") * 100 >= F.col("n") * percent), percent), links)
+        members = _own_buckets(rows, percent)
 
 
-def _own_buckets(rows: DataFrame) -> DataFrame:
-    """Members by the shingles they have outside of their centre."""
-    return rows.select("a", F.col("b").alias("node"), F.explode("own").alias("shingle")).select(
-        F.xxhash64("a", "shingle").alias("bucket"), "node", F.lit(True).alias("pending"))
+def _own_buckets(rows: DataFrame, percent: int) -> DataFrame:
+    """Members by the rarest shingles they have outside of their centre.
+
+    In any one order of all shingles two sets at similarity t have their first common shingle among the first
+    n - ceil(t n) + 1 of each. The order here puts shingles outside of the centre first, those of fewer members around it
+    before others. A shingle of one member only takes its place but meets nothing and is not kept.
+    """
+    own = rows.select("a", "b", (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).alias("first"),
+                      F.size("own").alias("owned"), F.explode("own").alias("shingle"))
+    known = stage(own.groupBy("a", "shingle").agg(F.count("*").alias("known")).where("known > 1"), "known-shingles")
+    met = own.join(known, ["a", "shingle"])
+    each = Window.partitionBy("a", "b")
+    placed = met.select("a", "b", "shingle", "first", "owned", F.count("*").over(each).alias("met"),
+                        F.row_number().over(each.orderBy("known", "shingle")).alias("place"))
+    kept = placed.where(F.col("owned") - F.col("met") + F.col("place") <= F.col("first"))
+    return kept.select(F.xxhash64("a", "shingle").alias("bucket"), F.col("b").alias("node")).distinct()
 
 
 def _allowed(rows: DataFrame, percent: int) -> DataFrame:
@@ -279,7 +285,7 @@ def _allowed(rows: DataFrame, percent: int) -> DataFrame:
     x = rows.select("a", F.col("n").alias("n_1"), F.col("common").alias("common_1"), F.col("b").alias("x"), F.col("comp").alias("cx"))
     y = rows.select("a", F.col("n").alias("n_2"), F.col("common").alias("common_2"), F.col("b").alias("y"), F.col("comp").alias("cy"))
     met = pairs.join(x, ["a", "n_1", "common_1"]).join(y, ["a", "n_2", "common_2"]).where("cx <> cy")
-    return met.select(*_ordered("x", "y")).distinct()
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, signer: Signer, like: Likeness = Likeness()) -> DataFrame:
