@@ -182,7 +182,7 @@ class _Links:
         found = stage(pairs.select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
         if self.labels is not None:
             found = found.unionByName(self.labels.select(F.col("node").alias("u"), F.col("component").alias("v")))
-        self.labels = stage(connected(found), "labels")
+        self.labels = connected(found)
 
     def apart(self, pairs: DataFrame) -> DataFrame:
         """Pairs whose ends are in different components."""

@@ -11,7 +11,7 @@ from fixtures import docs_of  # noqa: F401
 import pytest
 
 from basketry.llm import catalog, circulant, fingerprints, neardup
-from basketry.llm.components import connected
+from basketry.llm.components import PART, connected
 from basketry.llm.neardup import Likeness
 from basketry.llm.tokens import SPACES, byte_table, shingles, word_hashes
 
@@ -108,9 +108,10 @@ def test_words_and_shingles_of_blocks_equal_whole_texts():
     assert list(np.diff(ends)) == [max(len(t.split()) - 2, min(1, len(t.split()))) for t in texts]
 
 
+@pytest.mark.parametrize("part", [9, PART])
 @pytest.mark.parametrize("edges", [
     [(i, i + 1) for i in range(40)], [(0, i) for i in range(1, 30)], [(i % 17, (i * 7) % 53) for i in range(60)], [(1, 1), (2, None)], []])
-def test_components(spark, edges):
+def test_components(spark, edges, part):
     parent = {}
 
     def root(x):
@@ -124,7 +125,7 @@ def test_components(spark, edges):
             a, b = sorted((root(a), root(b)))
             parent[b] = a
     want = {x: root(x) for x in parent if root(x) != x}
-    assert dict(map(tuple, connected(spark.createDataFrame(edges, "u long, v long")).collect())) == want
+    assert dict(map(tuple, connected(spark.createDataFrame(edges, "u long, v long"), part).collect())) == want
 
 
 # fingerprints ---------------------------------------------------------------------------
