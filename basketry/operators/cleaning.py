@@ -6,7 +6,7 @@ import functools
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,25 +42,37 @@ def clean(df: DataFrame, *, trim_first: bool = False) -> DataFrame:
     return df.transform(dedupe_rows).transform(drop_empty_rows).transform(trim_strings)
 
 
-#: Groups of copies that may be sent to every executor.
-COPIES_AT_ONCE = 500_000
+#: Groups of 64 stored rows whose marks may be sent to every executor: one number a group, so 256 million rows.
+COPIES_AT_ONCE = 4_000_000
+_ROWS_A_FILE = 40  # bits
+
+
+def _placed(stored: DataFrame, files: DataFrame) -> DataFrame:
+    """Rows with ``__place``: number of the file and place in it."""
+    place = F.shiftleft("__file", _ROWS_A_FILE) + F.col("__row")
+    rows = stored.select("*", F.col("_metadata.file_path").alias("__path"), F.col("_metadata.row_index").alias("__row"))
+    return rows.join(F.broadcast(files), "__path").withColumn("__place", place).drop("__path", "__row", "__file")
 
 
 def drop_copies(stored: DataFrame) -> DataFrame:
     """``dedupe_rows`` of a stored table of files, without a shuffle of its rows.
 
-    A row's identity is a digest of 128 bits of all its columns. Groups of equal rows are found by their digests alone, counted
-    before the exchange; of a group the row with the least place (file and row) stays. Only groups with copies are needed after that. They are sent to
-    the executors if they are few, and the rows are read once more and copies passed over where they are; else both sides meet by a shuffle.
+    A row's identity is a digest of 128 bits of all its columns. Only digests and places (file and row) are shuffled; of equal rows
+    the one with the least place stays. Rows that stay are marked by one bit each, 64 rows a number, however many copies there are. The marks are
+    sent to the executors, and the rows are read once more and passed over where they are; only beyond ``COPIES_AT_ONCE`` do both sides meet by a shuffle.
     """
     columns = stored.columns
-    place = F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("__place")
+    paths = stored.select(F.col("_metadata.file_path").alias("__path")).distinct()
+    # one row a file; the number is stored, so both passes use the same one
+    files = stage(paths.withColumn("__file", F.row_number().over(Window.orderBy("__path")).cast("bigint")), "files")
     digest = [h.alias(f"__{name}") for h, name in zip(row_digest(columns), ("h1", "h2"))]
-    again = stored.select(*digest, place).groupBy("__h1", "__h2").agg(F.min("__place").alias("__first"), F.count(F.lit(1)).alias("__n"))
-    again = stage(again.where(F.col("__n") > 1).drop("__n"), "copies")
-    few = again.limit(COPIES_AT_ONCE + 1).count() <= COPIES_AT_ONCE
-    rows = stored.select(*columns, *digest, place).join(F.broadcast(again) if few else again, ["__h1", "__h2"], "left")
-    return rows.where(F.col("__first").isNull() | (F.col("__first") == F.col("__place"))).select(columns)
+    kept = _placed(stored, files).select(*digest, "__place").groupBy("__h1", "__h2").agg(F.min("__place").alias("__place"))
+    word, bit = F.shiftright("__place", 6).alias("__word"), F.col("__place").bitwiseAND(F.lit(63)).cast("int")
+    mark = F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)
+    marks = stage(kept.groupBy(word).agg(F.bit_or(mark).alias("__marks")), "copies")
+    few = marks.limit(COPIES_AT_ONCE + 1).count() <= COPIES_AT_ONCE
+    rows = _placed(stored, files).select(*columns, word, bit.alias("__bit")).join(F.broadcast(marks) if few else marks, "__word")
+    return rows.where(F.getbit("__marks", F.col("__bit")) == 1).select(columns)
 
 
 def clean_stored(stored: DataFrame) -> DataFrame:

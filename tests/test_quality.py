@@ -82,3 +82,12 @@ def test_drop_copies_equals_distinct(spark, monkeypatch, at_once):
     assert rows(cleaning.clean_stored(stored)) == rows(cleaning.clean(df))
     if at_once:  # the texts stay where they are
         assert "Exchange hashpartitioning" not in plan(kept) and "SortMergeJoin" not in plan(kept)
+
+
+def test_many_copies_shuffle_no_texts(spark, monkeypatch):
+    monkeypatch.setattr(cleaning, "COPIES_AT_ONCE", 100)
+    df = spark.range(300).select(F.col("id").cast("string").alias("message_key"), F.repeat(F.lit("text"), 20).alias("value"))
+    stored = Lake(spark, root=new_folder(spark, "bronze")).overwrite(df.unionByName(df).repartition(3, "message_key"), "bronze")
+    kept = cleaning.drop_copies(stored)
+    assert rows(kept) == rows(df)
+    assert "SortMergeJoin" not in plan(kept) and "Exchange hashpartitioning" not in plan(kept)
