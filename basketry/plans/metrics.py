@@ -88,7 +88,9 @@ def _group(fact: Fact, keys: list[str], parts: set[str]) -> DataFrame:
     df = fact.df
     columns = []
     for part in sorted(parts):
-        if part == "orders":
+        if part in fact.counted:
+            one = F.coalesce(F.sum(f"{part}_count"), F.lit(0))
+        elif part == "orders":
             one = F.count("order_id") if fact.order_unique else F.count_distinct("order_id")
         elif part == "products":
             one = F.count_distinct("product_id")
@@ -117,7 +119,7 @@ def _measure_parts(fact: Fact, keys: list[str], parts: set[str]) -> DataFrame:
         if link in keys:  # the attributes hang on a key of the metric itself
             grouped = _group(fact, first, parts)
             return Fact(grouped, fact.lookups).attach(outside, unique_on).df
-        additive = {p for p in parts if p not in ("orders", "products") or (p == "orders" and fact.order_unique)}
+        additive = {p for p in parts if p not in ("orders", "products") or p in fact.counted or (p == "orders" and fact.order_unique)}
         if link == "product_id" and "products" in parts and first == [link]:
             additive.add("products")
         early = None
@@ -149,6 +151,7 @@ def run(metric: Metric, retail: Retail, *, fanout: bool = False, ordered: bool =
     payments and shipping would give: every row counts once per match.
     """
     base = {k: "event_date" if k in DATE_KEYS else k for k in metric.keys}
+    parts = {p for m in metric.measures.values() for p in MEASURES[m].parts}
     carrier = retail.lines if metric.source == "sales" else getattr(retail, metric.source)
     # A key the tables do not carry is left out of the grouping.
     keys = [k for k in metric.keys if carrier.has(base[k])]
@@ -158,13 +161,12 @@ def run(metric: Metric, retail: Retail, *, fanout: bool = False, ordered: bool =
     elif fanout:
         fact = weighted_sales(retail, base_keys)
     else:  # a grand total needs no order grain
-        fact = retail.sales(base_keys) if base_keys else retail.lines
+        fact = retail.rolled(base_keys, parts) or (retail.sales(base_keys) if base_keys else retail.lines)
     if any(k in DATE_KEYS for k in keys):
         fact = fact.attach(["event_date"])
         fact = replace(fact, df=fact.df.withColumns({k: DATE_KEYS[k](F.col("event_date")) for k in keys if k in DATE_KEYS}))
     if metric.where is not None:
         fact = replace(fact, df=fact.df.where(metric.where()))
-    parts = {p for m in metric.measures.values() for p in MEASURES[m].parts}
     grouped = _measure_parts(fact, keys, parts)
     result = grouped.select(
         *[F.col(k).alias(metric.rename.get(k, k)) for k in keys],

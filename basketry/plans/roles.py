@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import copy
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 from functools import cached_property
 
@@ -56,6 +57,7 @@ class Fact:
     df: DataFrame
     lookups: tuple[Lookup, ...] = ()
     order_unique: bool = False  # at most one row per order_id
+    counted: tuple[str, ...] = ()  # distinct counts the rows carry, as ``<name>_count``: "orders", "products"
     owners: tuple[Owner, ...] = ()  # stored tables of the row-level keys, to look for hot ones in
 
     def has(self, column: str) -> bool:
@@ -109,16 +111,27 @@ class Retail:
     customers: DataFrame
     products: DataFrame
     order_dates: DataFrame  # order_id, order_date: one row per order
+    roll_ups: tuple[Callable[[list[str]], Fact | None], ...] = ()  # stored sales facts above orders; each names the keys it serves
+
+    def rolled(self, keys: list[str], parts: Iterable[str]) -> Fact | None:
+        """A stored roll-up that gives these parts of measures per ``keys``."""
+        distinct = {"orders", "products"} & set(parts)
+        found = (serve(keys) for serve in self.roll_ups)
+        return next((fact for fact in found if fact is not None and distinct <= set(fact.counted)), None)
 
     def sales(self, keys: Iterable[str]) -> Fact:
-        """Coarsest sales fact that can be grouped by ``keys``."""
+        """Coarsest fact of orders or lines that can be grouped by ``keys``."""
         if self.totals is not None and all(self.totals.has(k) for k in keys):
             return self.totals
         return self.lines
 
 
 def stored(retail: Retail) -> Retail:
-    """The same roles with what many metrics read written once: lines added up per order and product, from these the totals per order, and the attributes."""
+    """The same roles with what many metrics read written once.
+
+    Lines added up per order and product, from these the totals per order, and the attributes. Where totals exist, sales are
+    also stored per day, customer, product and category, each with its distinct orders.
+    """
     kept = copy.copy(retail)
     kept.customers = stage(retail.customers, "customers")
     if retail.totals is None:
@@ -127,9 +140,40 @@ def stored(retail: Retail) -> Retail:
     keys = ["order_id", "product_id"]
     kept.rolled_up(stage(retail.lines.df.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in SALES_MEASURES]), "lines"))
     kept.totals = replace(kept.totals, df=stage(kept.totals.df, "totals"))
+    kept.roll_ups = _roll_ups(kept)
     return kept
 
 
+def _roll_ups(kept: Retail) -> tuple[Callable[[list[str]], Fact | None], ...]:
+    """Sales per day, customer, product and category from lines of one row per order and product and totals of one per order.
+
+    An order has one day and one customer, so orders of these add up; a product's and a category's do not, so
+    those serve only keys that tell them apart.
+    """
+    sums = [F.sum(m).alias(m) for m in SALES_MEASURES]
+    orders, lines, totals = F.count("order_id").alias("orders_count"), kept.lines, kept.totals
+    baskets = replace(lines, df=lines.df.select("order_id", "product_id")).attach(["category"]).df
+    with ThreadPoolExecutor() as pool:  # each reads the stored lines or totals, none another
+        tables = list(pool.map(lambda item: stage(*item), (
+            (totals.df.groupBy("event_date").agg(*sums, orders), "days"),
+            (totals.df.groupBy("customer_id").agg(*sums, orders), "buyers"),
+            (lines.df.groupBy("product_id").agg(*sums, orders), "goods"),
+            (baskets.groupBy("category").agg(F.count_distinct("order_id").alias("orders_count")), "baskets"),
+        )))
+    days, buyers = Fact(tables[0], counted=("orders",)), replace(totals, df=tables[1], counted=("orders",))
+    goods = replace(lines, df=tables[2], lookups=tuple(l for l in lines.lookups if l.key == "product_id"), counted=("orders",))
+    early = goods.attach(["category"], "product_id").df.groupBy("category").agg(*sums, F.count("product_id").alias("products_count"))
+    same = early["category"].eqNullSafe(tables[3]["category"])
+    kinds = early.join(tables[3], same).select(*[early[c] for c in early.columns], "orders_count")
+    kinds = Fact(stage(kinds, "categories"), counted=("orders", "products"))
+    return (
+        lambda keys: days if all(k == "event_date" for k in keys) else None,
+        lambda keys: buyers if all(buyers.has(k) for k in keys) else None,
+        lambda keys: goods if "product_id" in keys and all(goods.has(k) for k in keys) else None,
+        lambda keys: kinds if keys == ["category"] else None,
+    )
+
+
 def _per_order(lines: DataFrame) -> DataFrame:
     """Lines added up per order; copies of a hot order combine before the shuffle."""
     return lines.groupBy("order_id").agg(*[F.sum(m).alias(m) for m in SALES_MEASURES])

@@ -14,7 +14,7 @@ from basketry.operators import joins
 from basketry.operators.joins import hot_keys
 from basketry.plans.metrics import METRICS, metric
 from basketry.plans.rfm import rfm_base
-from basketry.plans.roles import StarRetail
+from basketry.plans.roles import StarRetail, stored
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
@@ -135,3 +135,13 @@ def test_a_third_of_all_rows_on_one_key_spreads_over_the_partitions(spark):
         for key in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled"):
             spark.conf.unset(key)
         spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_gold_metrics_read_small_roll_ups(retail):
+    """Of the stored roles no sales metric reads lines or orders again, and all figures stay."""
+    kept = stored(retail)
+    for name, record in METRICS.items():
+        found = metric(name, kept)
+        assert rows(found) == rows(metric(name, retail)), name
+        if record.source == "sales":
+            assert not re.search(r"/(lines|totals)-|/(lineitem|orders)\.parquet", plan(found)), name
