@@ -356,7 +356,7 @@ def _sales_fanout_report(spark, sf):
     return fanout_report(orders, [
         ("customers", customers, "customer_id"), ("products", products, "product_id"),
         ("payments", payments, "order_id"), ("shipping", shipping, "order_id"),
-    ])
+    ], StarRetail(spark, sf).owners)
 
 
 # Segment sizes straight from the scores, without a view.

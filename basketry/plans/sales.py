@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,22 +46,28 @@ def sales_table(
 def fanout_report(
     orders: DataFrame,
     sides: list[tuple[str, DataFrame, str]],
+    owners: Iterable[Owner] = (),
 ) -> DataFrame:
     """(step, joined, rows): rows after each plain left join, without running the joins.
 
     Matches are counted per key and multiplied. ``sides`` are (name, table,
-    key) in join order.
+    key) in join order. Orders are not grouped first: few share all keys, and a table of their keys
+    would fill a task's memory. ``owners`` as in ``sales_table``.
     """
-    keys = sorted({key for _, _, key in sides})
-    base = orders.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
-    packed = base
-    totals = [F.sum("rows").alias("rows_0")]
-    product = F.col("rows")
+    steps: dict[str, list[tuple[int, DataFrame]]] = {}
     for step, (_, table, key) in enumerate(sides, start=1):
-        counted = table.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias(f"__m{step}"))
-        packed = left_lookup(packed, counted, key)
-        product = product * F.coalesce(F.col(f"__m{step}"), F.lit(1))
-        totals.append(F.sum(product).alias(f"rows_{step}"))
+        steps.setdefault(key, []).append((step, table.where(F.col(key).isNotNull()).select(key, F.lit(step).alias("__step"))))
+    packed = orders.select(*sorted(steps))
+    # Sides that share a key are counted in one table; the key most sides share goes first.
+    for key, tables in sorted(steps.items(), key=lambda item: -len(item[1])):
+        matches = reduce(DataFrame.unionByName, [marked for _, marked in tables]).groupBy(key).agg(
+            *[F.count_if(F.col("__step") == step).alias(f"__m{step}") for step, _ in tables])
+        owner = next((o for o in owners if key in o), None)
+        packed = left_lookup(packed, matches, key, keys_from=owner, spread=owner is not None)
+    product, totals = F.lit(1).cast("bigint"), [F.count(F.lit(1)).alias("rows_0")]
+    for step in range(1, len(sides) + 1):
+        product = product * F.greatest(F.col(f"__m{step}"), F.lit(1))  # null without any match
+        totals.append(F.coalesce(F.sum(product), F.lit(0)).alias(f"rows_{step}"))
     names = ["orders", *[name for name, _, _ in sides]]
     report = F.array(*[
         F.struct(F.lit(i).alias("step"), F.lit(name).alias("joined"), F.col(f"rows_{i}").alias("rows"))

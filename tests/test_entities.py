@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 import pytest
 from conftest import rows
@@ -132,6 +133,14 @@ def test_fanout_report_counts_what_the_joins_give(tables, plain):
     assert steps["shipping"] == plain.count()
 
 
+def test_fanout_report_keeps_no_table_of_all_keys(tables):
+    sides = [("customers", tables["customers"], "customer_id"), ("payments", tables["payments"], "order_id"), ("shipping", tables["shipping"], "order_id")]
+    plan = fanout_report(tables["orders"], sides)._jdf.queryExecution().executedPlan().toString()
+    assert "keys=[customer_id" in plan and "keys=[order_id" in plan
+    assert not re.search(r"keys=\[[^\]]*customer_id[^\]]*order_id", plan)
+    assert rows(fanout_report(tables["orders"].limit(0), sides)) == [(0, "orders", 0), (1, "customers", 0), (2, "payments", 0), (3, "shipping", 0)]
+
+
 def test_new_vs_returning(tables):
     # c1 has two orders, c2 two, c3, c4, the ghost and the null customer one each
     assert rows(metric("new_vs_returning", EntityRetail(tables))) == [("New", 4, 4), ("Returning", 2, 4)]
