@@ -36,6 +36,10 @@ MISS = 1e-8
 SLACK = 0.2
 #: Buckets of at most so many members compare them all; four times as many on every further level.
 SMALL = 24
+#: Percent of a centre's members that another centre must meet too for the two to be one.
+MERGED = 90
+#: Members around a centre that show which shingles are frequent there, and how many such shingles are listed at most.
+TRIED, HOT = 64, 1_000
 
 
 @dataclass(frozen=True)
@@ -221,7 +225,7 @@ def _resolve(nodes: DataFrame, members: DataFrame, links: _Links) -> None:
     Small buckets compare all their members. A large one compares them with its centre c, the member that meets the most
     others. Two members x and y without a common shingle outside of c share at most min(|x & c|, |y & c|) shingles, which
     with the sizes bounds their similarity: pairs that the bound allows are compared, by groups of equal profile (size,
-    shared with c). Members with a common shingle outside of c make new buckets, by the rarest of these (``_own_buckets``).
+    shared with c). Members with a common shingle outside of c make new buckets, by the first of these (``_own_buckets``).
     So what many texts share, a passage or the text most are copies of, is the centre's and never brings them together
     again. From level to level larger buckets count as small, so the levels end.
     """
@@ -242,34 +246,49 @@ def _resolve(nodes: DataFrame, members: DataFrame, links: _Links) -> None:
         degree = stage(large.groupBy("node").agg(F.sum("size").alias("degree")), "degrees")
         top = F.max(F.struct("degree", (-F.col("node")).alias("last")))
         centre = large.join(degree, "node").groupBy("bucket").agg(top.alias("top")).select("bucket", (-F.col("top.last")).alias("a"))
-        around = large.join(stage(centre, "centres"), "bucket").where("node <> a").select("a", F.col("node").alias("b"))
+        met = stage(large.select("bucket", "node").join(stage(centre, "centres"), "bucket").join(degree.withColumnRenamed("node", "a"), "a"), "around")
+        around = _merged(met).where("node <> a").select("a", F.col("node").alias("b"))
         profiles = links.profiles(stage(around.distinct(), "around-pairs"))
         links.add(profiles.where("linked"))
 
         rows = links.of(profiles, "b", "comp")
-        apart = rows.groupBy("a").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("a")
-        rows = stage(rows.join(stage(apart, "centres-apart"), "a").select("a", "b", "n", "common", "own", "comp"), "profile-rows")
+        apart = rows.groupBy("a").agg(F.count("*").alias("around"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
+        rows = stage(rows.join(stage(apart.select("a", "around"), "centres-apart"), "a").select("a", "b", "n", "common", "own", "comp", "around"), "profile-rows")
         # a set that has less than its share at the threshold inside of c fits no other without a shingle outside of c
         _check(nodes, _allowed(rows.where(F.col("common") * 100 >= F.col("n") * percent), percent), links)
         members = _own_buckets(rows, percent)
 
 
+def _merged(met: DataFrame) -> DataFrame:
+    """Members (a, node) by centre; buckets of a centre whose members nearly all meet one other centre too are that one's.
+
+    ``met`` has bucket, a, node and the degree of a. A bucket goes to another centre as a whole, so members that met still meet.
+    """
+    best = met.groupBy("node").agg(F.max(F.struct("degree", "a")).alias("best")).select("node", F.col("best.a").alias("best"))
+    pairs = stage(met.select("a", "node").distinct(), "members-around")
+    counts = pairs.join(stage(best, "best-centres"), "node").groupBy("a", "best").agg(F.count("*").alias("n"))
+    most = counts.groupBy("a").agg(F.max(F.struct("n", "best")).alias("most"), F.sum("n").alias("n"))
+    to = most.select("a", F.when(F.col("most.n") * 100 >= F.col("n") * MERGED, F.col("most.best")).otherwise(F.col("a")).alias("to"))
+    return pairs.join(stage(to, "merged-centres"), "a").select(F.col("to").alias("a"), "node")
+
+
 def _own_buckets(rows: DataFrame, percent: int) -> DataFrame:
-    """Members by the rarest shingles they have outside of their centre.
+    """Members by the first shingles they have outside of their centre.
 
     In any one order of all shingles two sets at similarity t have their first common shingle among the first
-    n - ceil(t n) + 1 of each. The order here puts shingles outside of the centre first, those of fewer members around it
-    before others. A shingle of one member only takes its place but meets nothing and is not kept.
+    n - ceil(t n) + 1 of each. The order here puts shingles outside of the centre first, and among these the ones that
+    many members around it have last: those seen twice among about TRIED of them, at most HOT. So only the first ones are
+    expanded; what is seen decides where members meet, not which links are found.
     """
-    own = rows.select("a", "b", (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).alias("first"),
-                      F.size("own").alias("owned"), F.explode("own").alias("shingle"))
-    known = stage(own.groupBy("a", "shingle").agg(F.count("*").alias("known")).where("known > 1"), "known-shingles")
-    met = own.join(known, ["a", "shingle"])
-    each = Window.partitionBy("a", "b")
-    placed = met.select("a", "b", "shingle", "first", "owned", F.count("*").over(each).alias("met"),
-                        F.row_number().over(each.orderBy("known", "shingle")).alias("place"))
-    kept = placed.where(F.col("owned") - F.col("met") + F.col("place") <= F.col("first"))
-    return kept.select(F.xxhash64("a", "shingle").alias("bucket"), F.col("b").alias("node")).distinct()
+    tried = rows.where(F.pmod(F.xxhash64("b"), F.col("around")) < TRIED)
+    seen = tried.select("a", F.explode("own").alias("shingle")).groupBy("a", "shingle").agg(F.count("*").alias("times")).where("times > 1")
+    place = Window.partitionBy("a").orderBy(F.desc("times"), "shingle")
+    top = seen.withColumn("place", F.row_number().over(place)).where(F.col("place") <= HOT)
+    hot = top.groupBy("a").agg(F.sort_array(F.collect_list(F.struct("times", "shingle"))).getField("shingle").alias("hot"))
+    known = rows.join(stage(hot, "hot-shingles"), "a", "left").withColumn("hot", F.coalesce("hot", F.array().cast("array<bigint>")))
+    ordered = F.concat(F.array_except("own", "hot"), F.array_intersect("hot", "own"))
+    first = F.slice(ordered, 1, (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int"))
+    return known.select("a", "b", F.explode(first).alias("shingle")).select(F.xxhash64("a", "shingle").alias("bucket"), F.col("b").alias("node")).distinct()
 
 
 def _allowed(rows: DataFrame, percent: int) -> DataFrame:

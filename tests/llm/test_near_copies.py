@@ -81,6 +81,35 @@ def test_large_buckets_equal_all_pairs(docs_of, monkeypatch):
     assert 2 < len({c for _, c in want.values()}) < 48
 
 
+def test_centres_that_meet_the_same_members_are_one(docs_of, monkeypatch):
+    """Members of many large buckets are held against few centres, not against one of every bucket."""
+    monkeypatch.setattr(neardup, "SMALL", 6)
+    draw, made = random.Random(4), []
+    base = [f"b{i}" for i in range(100)]
+    rows = []
+    for i in range(80):
+        text = list(base)
+        for _ in range(draw.randrange(1, 9)):
+            text[draw.randrange(100)] = f"x{draw.randrange(10**6)}"
+        rows.append((i, " ".join(text)))
+    real = neardup._Links.profiles
+    monkeypatch.setattr(neardup._Links, "profiles", lambda self, pairs: made.append(pairs.count()) or real(self, pairs))
+    got = circulant.near_copies(docs_of(rows), Likeness(3, 85)).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == plain.components(rows, 3, 85)
+    assert 0 < made[0] < 160
+
+
+def test_frequent_shingles_outside_of_a_centre_bring_nobody_together(spark):
+    """Each member has 60 shingles outside of the centre: 47 that one other has too, one that all have."""
+    rows = [(0, b, 100, 40, [7, *range(1000 * b + 100, 1000 * b + 112), *range(10**6 + b // 2 * 47, 10**6 + b // 2 * 47 + 47)], 70) for b in range(70)]
+    got = neardup._own_buckets(spark.createDataFrame(rows, "a long, b long, n long, common long, own array<long>, around long"), 50)
+    counts = {}
+    for r in got.collect():
+        counts.setdefault(r["bucket"], set()).add(r["node"])
+    assert {frozenset(c) for c in counts.values() if len(c) > 1} == {frozenset((2 * i, 2 * i + 1)) for i in range(35)}
+    assert sum(map(len, counts.values())) == 70 * 51
+
+
 def test_bands_miss_almost_nothing_at_the_threshold():
     for like in (Likeness(3, 85), Likeness()):
         rows, bands = like.shape
