@@ -109,14 +109,15 @@ def _features(like: Likeness, signer: Signer, rows: int, bands: int, texts: list
 
 
 def _agreement(a: Column, b: Column) -> Column:
-    """Share of equal bytes of two signatures."""
+    """Share of equal bytes of two signatures, computed once: a filter on it is not moved below, where it would be
+    computed again by a second Python worker a task."""
 
     @F.arrow_udf("double")
     def run(x: pa.Array, y: pa.Array) -> pa.Array:
         pairs = zip(x.to_pylist(), y.to_pylist())
         return pa.array([float((np.frombuffer(p, np.uint8) == np.frombuffer(q, np.uint8)).mean()) for p, q in pairs], pa.float64())
 
-    return run(a, b)
+    return run.asNondeterministic()(a, b)
 
 
 PROFILE_DDL = "linked boolean, m long, n long, common long, own array<long>"

@@ -32,8 +32,9 @@ from basketry.llm.common import ranges, strings, structs
 
 MARK = "▁"
 CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
-#: Distinct chunks a task remembers between batches; beyond it the table starts anew (no effect on results).
-REMEMBERED = 300_000
+#: Distinct chunks a worker remembers between batches; beyond it the table starts anew (no effect on results). About 6 MB,
+#: which stay with the worker when its task ends.
+REMEMBERED = 30_000
 #: Characters taken up at once.
 GROUP = 1 << 18
 

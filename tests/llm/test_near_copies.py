@@ -127,6 +127,14 @@ def test_signatures_estimate_the_similarity(signer):
     assert abs(np.mean(errors)) < 0.012 and np.std(errors) < 0.05
 
 
+def test_signatures_are_compared_once(spark):
+    rows = spark.createDataFrame([(1, 2, b"ab", b"ab"), (1, 3, b"ab", b"cd")], "a long, b long, x binary, y binary")
+    near = rows.select("a", "b", neardup._agreement(rows.x, rows.y).alias("est")).where("est >= 0.5")
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    assert list(map(tuple, near.collect())) == [(1, 2, 1.0)]
+
+
 def test_words_and_shingles_of_blocks_equal_whole_texts():
     texts = [t.encode() for _, t in copies(9) if t] + [b"", b" a", ("é" * 300 + " b").encode()]
     table = byte_table(SPACES)

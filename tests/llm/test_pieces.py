@@ -42,6 +42,13 @@ def test_a_full_table_starts_anew(own, monkeypatch):
     assert list(pieces.Codec(piece_model()).encode(texts)) == want
 
 
+def test_a_worker_keeps_a_small_table():
+    codec = pieces.Codec(piece_model())
+    for first in range(0, 100_000, 1_000):
+        list(codec.encode([" ".join(f"w{i}" for i in range(first, first + 1_000))]))
+    assert len(codec.table) < 50_000
+
+
 def test_a_vocabulary_without_the_condition_goes_text_by_text(own):
     other = pieces.Codec(piece_model())
     other.by_chunk = False
