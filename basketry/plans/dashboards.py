@@ -76,8 +76,7 @@ def build_gold(
 ) -> list[str]:
     """Write every gold table, or the ones named; returns the names of the written tables.
 
-    What most tables come from is stored first (``roles.stored``): lines per order and product, totals per order, and sales per day,
-    customer, product and category. The tables do not depend on each other, so several are written at a time.
+    What most tables come from is stored first (``roles.stored``): totals per order, and sales per day, customer, product and category. The tables do not depend on each other, so several are written at a time.
     """
     wanted = None if only is None else set(only)
     builders = gold_builders(stored(retail) if wanted is None else retail, snapshot, fanout=fanout)

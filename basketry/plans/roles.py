@@ -127,45 +127,43 @@ class Retail:
 
 
 def stored(retail: Retail) -> Retail:
-    """The same roles with what many metrics read written once.
+    """The same roles with what many metrics read written once: the attributes, and the totals per order or else the lines.
 
-    Lines added up per order and product, from these the totals per order, and the attributes. Where totals exist, sales are
-    also stored per day, customer, product and category, each with its distinct orders.
+    Where totals exist, sales are also stored per day, customer, product and category, each with its distinct orders.
     """
     kept = copy.copy(retail)
     kept.customers = stage(retail.customers, "customers")
     if retail.totals is None:
         kept.lines = replace(retail.lines, df=stage(retail.lines.df, "lines"))
         return kept
-    keys = ["order_id", "product_id"]
-    kept.rolled_up(stage(retail.lines.df.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in SALES_MEASURES]), "lines"))
-    kept.totals = replace(kept.totals, df=stage(kept.totals.df, "totals"))
+    kept.rebuilt()
     kept.roll_ups = _roll_ups(kept)
     return kept
 
 
 def _roll_ups(kept: Retail) -> tuple[Callable[[list[str]], Fact | None], ...]:
-    """Sales per day, customer, product and category from lines of one row per order and product and totals of one per order.
+    """Sales per day, customer, product and category; stores the totals per order on the way.
 
     An order has one day and one customer, so orders of these add up; a product's and a category's do not, so
-    those serve only keys that tell them apart.
+    those are counted from the lines' keys, apart from the measures, and serve only keys that tell them apart. Lines are not
+    stored: adding them up per order and product leaves nearly as many, at the price of a shuffle of all their measures.
     """
     sums = [F.sum(m).alias(m) for m in SALES_MEASURES]
-    orders, lines, totals = F.count("order_id").alias("orders_count"), kept.lines, kept.totals
-    baskets = replace(lines, df=lines.df.select("order_id", "product_id")).attach(["category"]).df
-    with ThreadPoolExecutor() as pool:  # each reads the stored lines or totals, none another
-        tables = list(pool.map(lambda item: stage(*item), (
-            (totals.df.groupBy("event_date").agg(*sums, orders), "days"),
-            (totals.df.groupBy("customer_id").agg(*sums, orders), "buyers"),
-            (lines.df.groupBy("product_id").agg(*sums, orders), "goods"),
-            (baskets.groupBy("category").agg(F.count_distinct("order_id").alias("orders_count")), "baskets"),
-        )))
-    days, buyers = Fact(tables[0], counted=("orders",)), replace(totals, df=tables[1], counted=("orders",))
-    goods = replace(lines, df=tables[2], lookups=tuple(l for l in lines.lookups if l.key == "product_id"), counted=("orders",))
+    orders, distinct = F.count("order_id").alias("orders_count"), F.count_distinct("order_id").alias("orders_count")
+    lines = kept.lines
+    pairs = replace(lines, df=lines.df.select("order_id", "product_id"))
+    sold, met = lines.df.groupBy("product_id").agg(*sums), pairs.df.groupBy("product_id").agg(distinct)
+    with ThreadPoolExecutor() as pool:
+        goods = pool.submit(stage, _side_by_side(sold, met, "product_id"), "goods")
+        baskets = pool.submit(stage, pairs.attach(["category"]).df.groupBy("category").agg(distinct), "baskets")
+        kept.totals = replace(kept.totals, df=stage(kept.totals.df, "totals"))
+        totals = kept.totals
+        days = pool.submit(stage, totals.df.groupBy("event_date").agg(*sums, orders), "days")
+        buyers = pool.submit(stage, totals.df.groupBy("customer_id").agg(*sums, orders), "buyers")
+    days, buyers = Fact(days.result(), counted=("orders",)), replace(totals, df=buyers.result(), counted=("orders",))
+    goods = replace(lines, df=goods.result(), lookups=tuple(l for l in lines.lookups if l.key == "product_id"), counted=("orders",))
     early = goods.attach(["category"], "product_id").df.groupBy("category").agg(*sums, F.count("product_id").alias("products_count"))
-    same = early["category"].eqNullSafe(tables[3]["category"])
-    kinds = early.join(tables[3], same).select(*[early[c] for c in early.columns], "orders_count")
-    kinds = Fact(stage(kinds, "categories"), counted=("orders", "products"))
+    kinds = Fact(stage(_side_by_side(early, baskets.result(), "category"), "categories"), counted=("orders", "products"))
     return (
         lambda keys: days if all(k == "event_date" for k in keys) else None,
         lambda keys: buyers if all(buyers.has(k) for k in keys) else None,
@@ -174,6 +172,12 @@ def _roll_ups(kept: Retail) -> tuple[Callable[[list[str]], Fact | None], ...]:
     )
 
 
+def _side_by_side(one: DataFrame, two: DataFrame, key: str) -> DataFrame:
+    """Two tables of one row a key, the null key too, with the same keys: the columns of both."""
+    rest = [two[c] for c in two.columns if c != key]
+    return one.join(two, one[key].eqNullSafe(two[key])).select(*[one[c] for c in one.columns], *rest)
+
+
 def _per_order(lines: DataFrame) -> DataFrame:
     """Lines added up per order; copies of a hot order combine before the shuffle."""
     return lines.groupBy("order_id").agg(*[F.sum(m).alias(m) for m in SALES_MEASURES])
@@ -256,11 +260,10 @@ class StarRetail(Retail):
             _one().alias("line_count"), _one().alias("priced"),
         )
 
-    def rolled_up(self, lines: DataFrame) -> None:
-        """Take these lines, added up per order and product, for the sales facts from now on."""
+    def rebuilt(self) -> None:
+        """Build the sales facts anew when they are next asked for, with the attributes as they are now."""
         for name in ("lines", "totals", "_to_customers"):
             self.__dict__.pop(name, None)
-        self._lines = lines
 
     @cached_property
     def _to_customers(self) -> Lookup:

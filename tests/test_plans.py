@@ -145,3 +145,20 @@ def test_gold_metrics_read_small_roll_ups(retail):
         assert rows(found) == rows(metric(name, retail)), name
         if record.source == "sales":
             assert not re.search(r"/(lines|totals)-|/(lineitem|orders)\.parquet", plan(found)), name
+
+
+def test_gold_lines_are_not_stored(retail):
+    """Lines added up per order and product are nearly as many as the lines: the roll-ups are made from these themselves."""
+    assert [f.rsplit("/", 1)[-1] for f in stored(retail).lines.df.inputFiles()] == ["lineitem.parquet"]
+
+
+def test_gold_roll_ups_with_missing_and_repeated_keys(spark, tmp_path):
+    for name in ("region", "nation", "customer", "part", "orders", "supplier"):
+        os.symlink(f"{SF}/{name}.parquet", tmp_path / f"{name}.parquet")
+    lines = spark.read.parquet(f"{SF}/lineitem.parquet")
+    gone = {c: F.when(F.col("l_linenumber") != n, F.col(c)) for c, n in (("l_partkey", 2), ("l_orderkey", 3))}
+    lines.unionByName(lines.withColumns(gone)).unionByName(lines.withColumn("l_partkey", F.col("l_partkey") + 1_000_000)).write.parquet(str(tmp_path / "lineitem.parquet"))
+    odd = StarRetail(spark, str(tmp_path))
+    kept = stored(odd)
+    for name in ("revenue_per_product", "sales_by_category", "top_products", "daily_revenue", "new_vs_returning"):
+        assert rows(metric(name, kept)) == rows(metric(name, odd)), name
