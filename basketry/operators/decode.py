@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketry.contracts import CONTRACTS
-from basketry.functions.columns import to_event_date
+from basketry.functions.columns import row_digest, to_event_date
+from basketry.operators.cleaning import drop_empty_rows, trim_strings
 
 
 def decode_typed(df: DataFrame, schema: T.StructType, keep: dict[str, str] | None = None) -> DataFrame:
@@ -22,20 +24,32 @@ def decode_typed(df: DataFrame, schema: T.StructType, keep: dict[str, str] | Non
     return df.select(F.from_json("value", schema).alias("data"), *kept).select("data.*", *[k for k in (keep or {}).values()])
 
 
-def decode_entity(df: DataFrame, entity: str) -> DataFrame:
-    """Business columns of an entity plus the message time."""
-    return decode_typed(df, CONTRACTS[entity], keep={"timestamp": "kafka_timestamp"})
+def decode_entity(df: DataFrame, entity: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Business columns of an entity plus the message time and the columns in ``keep``."""
+    return decode_typed(df, CONTRACTS[entity], keep={"timestamp": "kafka_timestamp", **{c: c for c in keep}})
 
 
-def conform_entity(df: DataFrame, entity: str) -> DataFrame:
+def conform_entity(df: DataFrame, entity: str, keep: Sequence[str] = ()) -> DataFrame:
     """Decoded entity with the parsing that every metric would otherwise repeat.
 
     Orders get ``event_date`` next to the event time text.
     """
-    typed = decode_entity(df, entity)
+    typed = decode_entity(df, entity, keep)
     return typed.withColumn("event_date", to_event_date(typed)) if "event_time" in typed.columns else typed
 
 
+def conform_messages(messages: DataFrame, entity: str) -> DataFrame:
+    """``conform_entity`` of the cleaned messages, without a shuffle of their texts.
+
+    A message's identity is a digest of 128 bits of all its columns as they came. Texts are decoded where they are, and only
+    digests and the decoded columns that are asked for are shuffled. Fields are no keys of that aggregate, so
+    Spark moves no condition on them below it, where the text would be made and parsed once more for it.
+    """
+    digest = [h.alias(f"__{name}") for h, name in zip(row_digest(messages.columns), ("h1", "h2"))]
+    marked = trim_strings(drop_empty_rows(messages).select("*", *digest))
+    return conform_entity(marked, entity, ("__h1", "__h2")).dropDuplicates(["__h1", "__h2"]).drop("__h1", "__h2")
+
+
 def payload_type(df: DataFrame, column: str = "value") -> DataFrame:
     """One row: type that fits every payload, merged over all rows."""
     return df.agg(F.expr(f"schema_of_variant_agg(try_parse_json({column}))").alias("payload_type"))

@@ -9,8 +9,10 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from basketry import session
 from basketry.catalog import REGISTRY, tables
 from basketry.operators import cleaning, quality
+from basketry.operators.decode import conform_entity, conform_messages
 from basketry.session import new_folder
 from basketry.sources.lake import Lake
 
@@ -91,3 +93,29 @@ def test_many_copies_shuffle_no_texts(spark, monkeypatch):
     kept = cleaning.drop_copies(stored)
     assert rows(kept) == rows(df)
     assert "SortMergeJoin" not in plan(kept) and "Exchange hashpartitioning" not in plan(kept)
+
+
+def test_messages_are_decoded_before_copies_meet(spark):
+    """The same rows as decoding cleaned messages; texts are not shuffled, and no condition has them parsed twice."""
+    at = "timestamp'2024-05-01 10:00:00'"
+    made = spark.range(40).selectExpr("cast(id as string) message_key", "to_json(struct(concat('p', id) payment_id, concat('o', id % 7) order_id, id * 1.5D amount)) value", "id offset", f"{at} timestamp")
+    odd = spark.createDataFrame(
+        [("a", " {\"order_id\": \"o1\"} ", 100), ("a ", "{\"order_id\": \"o1\"}", 100), ("a", "{broken", 101), ("a", None, 102), (None, "{}", 103), (None, None, None),
+         ("a", "{\"order_id\": null, \"amount\": \"much\"}", 104), (None, "a", 105), ("a", None, 105)] + [("b", "{\"payment_id\": \"x\", \"amount\": -0.0}", 106)] * 3,
+        "message_key string, value string, offset long").withColumn("timestamp", F.expr(f"if(offset is null, null, {at})"))
+    messages = made.unionByName(made).unionByName(odd).unionByName(odd)
+    expected = conform_entity(cleaning.clean(messages), "payments")
+    got = conform_messages(messages, "payments")
+    assert got.columns == expected.columns and rows(got) == rows(expected) and got.count() == 49
+    used = plan(conform_messages(made.unionByName(made), "payments").where("order_id is not null").select("order_id"))
+    dealt = [line for line in used.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(dealt) == 1 and "value" not in dealt[0]
+    assert not re.search(r"Filter [^\n]*from_json", used)
+
+
+@needs_tables
+def test_plain_joins_store_no_entities(spark):
+    before = len(session._FOLDERS)
+    for name in ("entity_daily_revenue_fanout", "entity_top_customers"):
+        REGISTRY[name].run(spark, SF)
+    assert len(session._FOLDERS) == before
