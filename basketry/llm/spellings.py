@@ -13,6 +13,9 @@ A word's form is its near word of most occurrences if it has at least twice as m
 
 Defined results: null or empty text has no words. Rows that repeat count each. A null id is written as the empty text before the colon. Words
 may be as long as a text; what a word adds to the index grows with its length only. Only id and text are read; an empty table gives no rows.
+
+Joins are sorted merges, never broadcasts: Spark sizes a side by the compressed file it comes from, and a key by the word
+it was made of, so a few MB of words look small enough to be sent whole while their keys fill the driver.
 """
 
 from __future__ import annotations
@@ -157,7 +160,7 @@ def near_pairs(counted: DataFrame) -> DataFrame:
     postings = {r["gram"]: r["n"] for r in grams.collect()}  # two letters of 90: at most 8,100
     one, two = (counted.select("word", "n").mapInArrow(_index(postings, p), "key long, word string, n long") for p in (True, False))
     x, y = one.select("key", F.col("word").alias("x"), F.col("n").alias("n_x")), two.select("key", F.col("word").alias("y"), F.col("n").alias("n_y"))
-    met = x.join(y, (x["key"] == y["key"]) & (F.col("x") != F.col("y")) & (F.levenshtein("x", "y", 1) == 1))
+    met = x.join(y.hint("merge"), (x["key"] == y["key"]) & (F.col("x") != F.col("y")) & (F.levenshtein("x", "y", 1) == 1))
     low, high = (F.when(c, F.struct(F.col("x").alias("w"), F.col("n_x").alias("n"))).otherwise(F.struct(F.col("y").alias("w"), F.col("n_y").alias("n")))
                  for c in (F.col("x") < F.col("y"), F.col("x") > F.col("y")))
     return met.select(low.alias("l"), high.alias("h")).select(
@@ -169,7 +172,7 @@ def _roots(forms: DataFrame) -> DataFrame:
     at = forms.select("word", F.col("form").alias("root"))
     while True:
         onward = at.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        at = stage(at.join(onward, "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")), "spelling-roots")
+        at = stage(at.join(onward.hint("merge"), "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")), "spelling-roots")
         if at.where("moved").isEmpty():
             return at.select("word", "root")
         at = at.select("word", "root")
@@ -188,5 +191,5 @@ def variants(docs: DataFrame) -> DataFrame:
     has = -F.col("near.n") >= 2 * F.col("own")
     formed = stage(best.select("word", "n_near", F.when(has, F.col("near.word")).alias("form"), F.when(has, -F.col("near.n")).alias("form_n")), "spelling-forms")
     roots = _roots(stage(formed.where("form is not null").select("word", "form"), "spelling-links"))
-    return counted.join(formed, "word", "left").join(roots, "word", "left").select(
+    return counted.join(formed.hint("merge"), "word", "left").join(roots.hint("merge"), "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), "form_n")

@@ -160,6 +160,22 @@ def test_long_runs_and_edge_rows(spark, edge, empty):
     assert spellings.variants(empty).collect() == []
 
 
+def test_no_join_of_words_is_broadcast(spark, monkeypatch):
+    """A few MB of words have keys of hundreds: stored tables look small, so small ones show what a middling size gets."""
+    plans, stage = [], spellings.stage
+
+    def seen(df, purpose):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stage(df, purpose)
+
+    monkeypatch.setattr(spellings, "stage", seen)
+    rows = [(i, " ".join(near_words(i, "abc", 30) * 3)) for i in range(3)]
+    out = spellings.variants(spark.createDataFrame(rows, "doc_id long, text string"))
+    plans.append(out._jdf.queryExecution().executedPlan().toString())
+    assert sorted(map(tuple, out.collect())) == plain_variants(plain_words(rows))
+    assert sum(p.count("SortMergeJoin") for p in plans) >= 4 and not any("Broadcast" in p for p in plans)
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text("abé", min_size=5, max_size=9), st.integers(0, 8), st.sampled_from("abé"), st.integers(0, 2), st.integers(0, 5))
 def test_near_words_share_a_pivot_key(word, at, letter, kind, seed):
